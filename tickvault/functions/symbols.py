@@ -96,7 +96,7 @@ def parse_continuous_symbol(symbol="symbol") -> Column:
     parts = F.split(s, r"\.")
     ok = (F.size(parts) >= 3) & parts[1].isin("c", "v", "o")
     rank_txt = parts[2]
-    rank = F.when(rank_txt.rlike(r"^[0-9]+$"), F.coalesce(F.try_to_number(rank_txt, "9999999999").cast("int"), F.lit(0))).otherwise(F.lit(0))
+    rank = F.when(rank_txt.rlike(r"^[0-9]+$"), F.coalesce(rank_txt.try_cast("int"), F.lit(0))).otherwise(F.lit(0))
     return F.when(ok, F.struct(parts[0].alias("root"), rank.alias("rank"))) \
         .otherwise(F.struct(s.alias("root"), F.lit(0).alias("rank")))
 
@@ -160,7 +160,7 @@ def parse_ranks(ranks) -> Column:
 
     def one(p):
         a = F.trim(F.split_part(p, F.lit("-"), F.lit(1))).cast("int")
-        b = F.trim(F.substring_index(p, "-", -1) if False else F.regexp_extract(p, r"^[^-]*-(.*)$", 1)).cast("int")
+        b = F.trim(F.regexp_extract(p, r"^[^-]*-(.*)$", 1)).cast("int")
         rng = F.when(a > b, F.raise_error(F.concat(F.lit("Invalid rank range '"), p, F.lit("' (start > end)."))).cast("array<int>")) \
             .otherwise(F.sequence(a, b))
         return F.when(p.contains("-"), rng).otherwise(F.array(p.cast("int")))
