@@ -121,6 +121,15 @@ select trading_date, case contract_series when 'SR3_FRONT_CALENDAR' then '@VX=10
  from fx_bar_daily where contract_series in ('SR3_FRONT_CALENDAR', 'SR3_RANK_1_CALENDAR', 'SR3_RANK_2_CALENDAR')
 """
 
+# Symbol table of the underlying contracts of the raw daily bars (stands in
+# for a symbology lookup); rank-2 contracts get a symbol that does not parse.
+FIXTURES["fx_symbol_map"] = """
+select distinct underlying_instrument_id as instrument_id,
+ case when contract_rank = 2 then concat(root, '-BACK') else
+ concat(root, substr('HMUZ', cast(extract(quarter from trading_date) as int), 1), substr(cast(extract(year from trading_date) as varchar(4)), 3, 2)) end as native_symbol
+ from fx_ohlcv_raw
+"""
+
 _FX_RE = re.compile(r"\bfx_[a-z_0-9]+\b")
 
 
