@@ -6,7 +6,7 @@ import importlib
 
 from .registry import REGISTRY, oracle_text, spark_fn
 
-MODULES = ["q_bars", "q_checks", "q_symbols", "q_windows"]
+MODULES = ["q_bars", "q_checks", "q_symbols", "q_windows", "q_rolls"]
 
 for _m in MODULES:
     importlib.import_module(f"{__package__}.{_m}")

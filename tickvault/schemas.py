@@ -1,6 +1,6 @@
 """Declared table schemas (never inferred).
 
-Spark DDL strings; ``T._parse_datatype_string`` turns them into StructTypes.
+Flat DDL strings; ``struct`` turns them into StructTypes without a session.
 All timestamps are zone-less UTC values (``timestamp_ntz``).
 """
 
@@ -69,5 +69,20 @@ LATEST_DEFINITION_VIEW = [
 # ---------------------------------------------------------------------------
 
 
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+          "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(), "timestamp": T.TimestampType(),
+          "boolean": T.BooleanType()}
+
+
+def fields(ddl: str) -> list[tuple[str, str]]:
+    """``"a bigint, b string"`` -> [("a", "bigint"), ("b", "string")] (flat
+    schemas only; parsed without a Spark session)."""
+    out = []
+    for part in ddl.split(","):
+        name, ty = part.strip().rsplit(" ", 1)
+        out.append((name.strip("`"), ty))
+    return out
+
+
 def struct(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl)
+    return T.StructType([T.StructField(n, _TYPES[t], True) for n, t in fields(ddl)])
