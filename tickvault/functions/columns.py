@@ -68,6 +68,14 @@ def round4(c) -> Column:
     return F.round(col(c), 4)
 
 
+def round_dp(c, n: int) -> Column:
+    """Round to ``n`` decimals as round(x * 10^n) / 10^n: IEEE operations, so
+    every engine gives the same double (decimal half-up rounding of the
+    printed value and binary rounding disagree on ties)."""
+    f = 10 ** n
+    return F.round(col(c) * f) / f
+
+
 def safe_div(a, b) -> Column:
     return F.try_divide(col(a), col(b))
 

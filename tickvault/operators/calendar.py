@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col
+from ..functions.columns import col, round_dp
 
 
 def _d(x):
@@ -140,7 +140,7 @@ def minute_coverage(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_eve
     exp = (span / 60 + 1).cast("long")
     return per.select(symbol, "minutes_present", exp.alias("minutes_expected"),
                       (exp - F.col("minutes_present")).alias("minutes_missing"),
-                      F.round(F.col("minutes_present") * 100.0 / exp, 2).alias("coverage_pct"),
+                      round_dp(F.col("minutes_present") * 100.0 / exp, 2).alias("coverage_pct"),
                       "first_minute", "last_minute")
 
 

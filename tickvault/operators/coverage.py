@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, mid, spread
+from ..functions.columns import col, mid, round_dp, spread
 from ..functions.symbols import series_rank, series_root
 
 # --- fixed values (must equal the reference's) -----------------------------
@@ -33,12 +33,6 @@ SYMBOL_LIKE = ["contract_series", "series_id", "symbol", "instrument_id", "root"
 # ---------------------------------------------------------------------------
 
 
-def round_dp(c, n: int) -> Column:
-    """Round to ``n`` decimals as round(x * 10^n) / 10^n (IEEE, engine-stable)."""
-    f = 10 ** n
-    return F.round(col(c) * f) / f
-
-
 def _between(df, date_col, start, end):
     if start is not None:
         df = df.filter(F.col(date_col) >= F.lit(start).cast("date"))
@@ -336,6 +330,12 @@ def root_ranges(canonical: DataFrame, canonical_map: DataFrame) -> DataFrame:
     return canonical_map.select("root", "optional").distinct().join(per, "root", "left")
 
 
+def default_window_df(canonical: DataFrame, days: int) -> DataFrame:
+    """C27 as a one-row frame (lazy): [last canonical date - days, last date]."""
+    return canonical.agg(F.max("trading_date").alias("window_end")) \
+        .select(F.date_sub("window_end", days).alias("window_start"), "window_end")
+
+
 def default_window(canonical: DataFrame, days: int):
     """The ``days``-long window ending at the last canonical date.
     One scalar aggregate (Parquet min/max statistics can answer it)."""
