@@ -189,6 +189,7 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             df = spark.sql(text)
             df.createOrReplaceTempView(n)
             out[n] = df
+        out["sf_dir"] = sf_dir.rstrip("/")
         _cache[key] = out
         return out
 
