@@ -18,7 +18,13 @@ def col(c) -> Column:
 
 def order_key(order: Sequence) -> Column:
     """A single comparable value for "first"/"last": a struct of the order
-    columns (field-wise comparison), so ties fall through to the next column."""
+    columns (field-wise comparison), so ties fall through to the next column.
+
+    Performance: with ONE fixed-width order column (a timestamp or an arrival
+    sequence number) ``min_by``/``max_by`` keep a fixed-width buffer and run
+    as hash aggregation; a struct order makes Spark fall back to sort-based
+    aggregation (still partial map-side, still spill-safe, about 2-3x slower).
+    Callers that have a unique arrival number should pass it alone."""
     cols = [col(c) for c in order]
     return cols[0] if len(cols) == 1 else F.struct(*cols)
 

@@ -8,6 +8,15 @@ from .registry import query
 ORDER = ("ts_event", "event_id")
 HOUR = 3600
 
+
+def _arrival(df):
+    """Input order of the raw daily rows as one fixed-width key: line numbers
+    are 1..7, so ``l_orderkey * 8 + l_linenumber`` is unique and sorts like
+    (l_orderkey, l_linenumber, ...).  A single primitive order column keeps
+    ``min_by``/``max_by`` on hash aggregation (a struct forces sort-based)."""
+    return df.withColumn("arrival", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+
+
 _Q_AGG = """
 select date_trunc('hour', ts_event) as ts_minute, instrument_id,
  min_by((bid_px + ask_px) / 2, (ts_event, event_id)) as o_mid, max((bid_px + ask_px) / 2) as h_mid,
@@ -112,7 +121,7 @@ select trading_date, contract_series,
 """)
 def q_daily_consolidate(t):
     """Consolidate raw daily rows in input order (nulls skipped)."""
-    return bars.daily_consolidate(t["fx_ohlcv_raw"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "open", "volume"])
+    return bars.daily_consolidate(_arrival(t["fx_ohlcv_raw"]), ["arrival"])
 
 
 _RAW_NULLS = """(select trading_date, contract_series, case when l_linenumber = 1 then null else underlying_instrument_id end as underlying_instrument_id,
@@ -130,7 +139,7 @@ select trading_date, contract_series, max(case when rf = 1 then underlying_instr
 def q_daily_consolidate_positional(t):
     """first/last by position, nulls kept (input with injected nulls)."""
     raw = t["fx_ohlcv_raw"].sparkSession.sql(f"select * from {_RAW_NULLS} x")
-    return bars.daily_consolidate(raw, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], positional=True)
+    return bars.daily_consolidate(_arrival(raw), ["arrival"], positional=True)
 
 
 @query("daily_consolidate_skipna", rnd=("open", "high", "low", "close"), ops="B5 Q7", oracle=f"""
@@ -143,7 +152,7 @@ select trading_date, contract_series,
 def q_daily_consolidate_skipna(t):
     """B5 on the same null-injected input: first/last skip nulls."""
     raw = t["fx_ohlcv_raw"].sparkSession.sql(f"select * from {_RAW_NULLS} x")
-    return bars.daily_consolidate(raw, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return bars.daily_consolidate(_arrival(raw), ["arrival"])
 
 
 @query("daily_consolidate_month", rnd=("open", "high", "low", "close"), ops="B6 W9", oracle="""
@@ -156,7 +165,7 @@ select trading_date, contract_series,
 """)
 def q_daily_consolidate_month(t):
     """Month batch with the month partition column."""
-    return bars.daily_consolidate_month(t["fx_ohlcv_raw"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "open", "volume"])
+    return bars.daily_consolidate_month(_arrival(t["fx_ohlcv_raw"]), ["arrival"])
 
 
 @query("quote_close", rnd=("mid_close", "spread_close"), ops="B8", oracle="""

@@ -67,7 +67,8 @@ select root, rank, trading_date as roll_date, old_id as old_instrument_id, instr
 """)
 def q_detect_rolls_raw(t):
     """L2: rolls from raw calendar-code rows, first id per date by arrival."""
-    return L.detect_rolls_raw(t["fx_ohlcv_raw"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    from .q_bars import _arrival
+    return L.detect_rolls_raw(_arrival(t["fx_ohlcv_raw"]), ["arrival"])
 
 
 _OPT = r"'^([A-Z]+)([A-Z])(\d)\s+([CP])(\d+)$'"

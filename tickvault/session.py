@@ -29,8 +29,10 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tickvault") -> SparkSession:
+                app_name: str = "tickvault", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     for k, v in _DEFAULTS.items():

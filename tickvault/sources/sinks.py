@@ -124,10 +124,11 @@ def insert_missing_dates(spark: SparkSession, batch: DataFrame, path: str, key:
 
 def delete_days_and_rebuild(spark: SparkSession, rebuilt: DataFrame, path: str, day_col: str = "trading_date") -> None:
     """Replace every partition (day) present in ``rebuilt`` with its rows
-    (dynamic partition overwrite); other days are untouched."""
+    (dynamic partition overwrite); other days are untouched.  ``rebuilt`` may
+    read the target itself, so it is staged first (never read and overwrite
+    one path in a single plan)."""
     configure(spark)
-    rebuilt.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(day_col).parquet(path)
+    _overwrite_partitions(spark, rebuilt, path, [day_col], "rebuild")
 
 
 def write_by_trading_date(df: DataFrame, path: str, day_col: str = "trading_date") -> None:
