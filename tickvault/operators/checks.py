@@ -204,19 +204,15 @@ def session_fresh(session: DataFrame, bars: DataFrame) -> DataFrame:
 def tables_exist(spark: SparkSession, required: dict[str, str]) -> DataFrame:
     """Required tables (name -> Parquet path or catalog name) exist.
     A driver-side catalog / file-system lookup; no job runs."""
+    from ..sources.readers import list_files
     rows = []
-    jvm_fs = None
     for name, where in required.items():
-        ok = False
-        if spark.catalog.tableExists(where):
-            ok = True
+        if "/" in where or ":" in where:
+            ok = bool(list_files(spark, where))
         else:
             try:
-                if jvm_fs is None:
-                    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
-                    jvm_fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-                ok = bool(jvm_fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)))
-            except Exception:  # noqa: BLE001
+                ok = bool(spark.catalog.tableExists(where))
+            except Exception:  # noqa: BLE001 -- not a valid table identifier
                 ok = False
         rows.append((f"schema.table_exists.{name}", f"Table exists: {name}", "PASS" if ok else "FAIL",
                      "HARD", 0 if ok else 1, "ok" if ok else "missing"))

@@ -148,8 +148,10 @@ def read_vendor_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def date_from_filename(path_col=None) -> F.Column:
-    """``YYYY-MM-DD`` out of the input file name (null when absent)."""
-    p = path_col if path_col is not None else F.col("_metadata.file_name")
+    """``YYYY-MM-DD`` out of the input file path (null when absent);
+    the path, not the bare name, so a date-named directory written by Spark
+    (``2024-01-02.parquet/part-*.parquet``) also counts."""
+    p = path_col if path_col is not None else F.col("_metadata.file_path")
     s = F.regexp_extract(p, FILE_DATE_RE, 1)
     return F.when(s != "", s.try_cast("date"))
 
@@ -165,8 +167,17 @@ def scan_tolerant(spark: SparkSession, glob: str, fmt: str = "parquet", schema=N
     if not files:
         return spark.createDataFrame([], schemas.struct(schema) if isinstance(schema, str) else T.StructType([])), []
     df = reader.load(files)
-    seen = {r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()}
-    return df, [f for f in files if f not in seen and f.replace("file:", "file://") not in seen]
+    seen = set()
+    for r in df.select(F.col("_metadata.file_path")).distinct().collect():
+        parts = _norm(r[0]).split("/")
+        for i in range(2, len(parts) + 1):          # the file and every parent directory
+            seen.add("/".join(parts[:i]))
+    return df, [f for f in files if _norm(f) not in seen]
+
+
+def _norm(path: str) -> str:
+    import re
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
