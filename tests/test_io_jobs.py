@@ -85,6 +85,10 @@ def test_partitioned_writers(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/by_date")
     assert back.filter(F.col("trading_date") == day).count() == 1
     assert back.count() == b.filter(F.col("trading_date") != day).count() + 1
+    # Full replace of the canonical map
+    W.replace_small_table(t["fx_canonical"], f"{tmp_dir}/canon")
+    W.replace_small_table(t["fx_canonical"].filter("not optional"), f"{tmp_dir}/canon")
+    assert spark.read.parquet(f"{tmp_dir}/canon").count() == 5
     # W5 / W6
     assert W.create_like(b).count() == 0 and W.create_like(b).schema == b.schema
     W.insert_missing_dates(spark, t["fx_index_old"], f"{tmp_dir}/idx", ["series_id", "date"])

@@ -208,3 +208,13 @@ def q_check_report(t):
     c = checks.negative_spread(t["fx_quotes"]).unionByName(checks.daily_bar_violations(t["fx_bar_dirty"])) \
         .unionByName(q_dup_keys(t))
     return checks.check_report(c)
+
+
+@query("critical_checks", ops="V11b V3", oracle=f"""
+select * from (
+{_v3_sql()}
+) c where status <> 'PASS' and not starts_with(message, 'Warning:')
+""")
+def q_critical_checks(t):
+    """Only the failing, non-tolerated checks of the daily-bar validator."""
+    return checks.critical_only(checks.daily_bar_violations(t["fx_bar_dirty"]))

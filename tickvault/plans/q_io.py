@@ -145,3 +145,22 @@ select q.ts_event, q.instrument_id, d.root, d.symbol_feed, q.bid_px, q.bid_sz, q
 def q_export_quotes(t):
     """The quote export frame (written as CSV by ``export_quotes_csv``)."""
     return W.export_quotes_frame(t["fx_quotes"], t["fx_fut_instrument"])
+
+
+@query("load_option_instruments", ops="R2 B9", oracle="""
+with p as (select instrument_id, ts_event, event_id, symbol from fx_quote_raw where regexp_matches(symbol, '^([A-Z]+)([A-Z])(\\d)\\s+([CP])(\\d+)$')),
+ f as (select * from (select *, row_number() over (partition by instrument_id order by ts_event, event_id) as rn from p) x where rn = 1)
+select instrument_id, 'American' as exerc_style, cast(50 as double) as multiplier, cast(0.25 as double) as tick_size,
+ symbol as symbol_feed, symbol as symbol_canonical from f
+""")
+def q_load_option_instruments(t):
+    """R2: option instruments loaded from a feed that omits the optional
+    columns; the defaults (American, 50, 0.25, canonical = feed) fill in."""
+    from ..operators.instruments import build_instrument_dim
+    dim = build_instrument_dim(t["fx_quote_raw"], "options", ["ts_event", "event_id"])
+    raw = dim.select("instrument_id", "root", "expiry", "strike", "put_call", "symbol_feed",
+                     *[F.lit(None).cast(ty).alias(c) for c, ty in
+                       (("exerc_style", "string"), ("multiplier", "double"), ("tick_size", "double"),
+                        ("symbol_canonical", "string"))])
+    return R.load_option_instruments(raw).select("instrument_id", "exerc_style", "multiplier", "tick_size",
+                                                 "symbol_feed", "symbol_canonical")

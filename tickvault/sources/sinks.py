@@ -104,6 +104,15 @@ def replace_by_key_list(old: DataFrame, src: DataFrame, keys: Sequence, col: str
     return old.filter(~F.col(col).isin(k)).unionByName(src.filter(F.col(col).isin(k)).select(*old.columns))
 
 
+def replace_small_table(df: DataFrame, path: str) -> None:
+    """Full replace of a configuration-sized table (the canonical map):
+    written to staging, then swapped in with one overwrite."""
+    spark = df.sparkSession
+    staging = scratch_path(spark, "small-table")
+    df.write.mode("overwrite").parquet(staging)
+    spark.read.parquet(staging).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def create_like(df: DataFrame) -> DataFrame:
     """An empty table with the source schema."""
     return df.sparkSession.createDataFrame([], df.schema)
