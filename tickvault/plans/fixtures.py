@@ -130,6 +130,23 @@ select distinct underlying_instrument_id as instrument_id,
  from fx_ohlcv_raw
 """
 
+def _spark_bar_daily(t: dict) -> DataFrame:
+    """``fx_bar_daily`` is by definition the B5 consolidation of
+    ``fx_ohlcv_raw`` in input order.  Spark builds it with the B5 operator
+    (one hash aggregation on a single arrival key; ``l_linenumber`` is 1..7,
+    so ``l_orderkey * 8 + l_linenumber`` is unique and ordered like the SQL
+    text's order columns) instead of the two full-table windows of the SQL
+    text; the query ``daily_consolidate`` checks the two agree."""
+    from pyspark.sql import functions as F
+    from ..operators.bars import daily_consolidate
+    raw = t["fx_ohlcv_raw"].withColumn("arrival", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return daily_consolidate(raw, ["arrival"]).select(
+        "trading_date", "contract_series", "underlying_instrument_id", "open", "high", "low", "close", "volume")
+
+
+# Spark-side builders that produce exactly the rows of the SQL text.
+SPARK_BUILDERS = {"fx_bar_daily": _spark_bar_daily}
+
 _FX_RE = re.compile(r"\bfx_[a-z_0-9]+\b")
 
 
@@ -186,7 +203,7 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             df.createOrReplaceTempView(t)
             out[t] = df
         for n, text in FIXTURES.items():
-            df = spark.sql(text)
+            df = SPARK_BUILDERS[n](out) if n in SPARK_BUILDERS else spark.sql(text)
             df.createOrReplaceTempView(n)
             out[n] = df
         out["sf_dir"] = sf_dir.rstrip("/")
