@@ -2,8 +2,8 @@
 
 Plain Parquet has no MERGE, so keyed writes are done partition-wise:
 
-1. read only the target partitions the batch touches (a semi join on the
-   partition columns; dynamic partition pruning skips the other partitions),
+1. read only the target partitions the batch touches (its distinct partition
+   values as a literal IN filter, which prunes directories at planning time),
 2. merge them with the batch (``dedupe.upsert_replace`` / ``upsert_ignore``),
 3. write the merged partitions to a staging table under the cluster-shared
    ``spark.checkpoint.dir`` (this also cuts the lineage, so a lost executor
@@ -40,13 +40,30 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def _touched(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows of the partitions present in the batch: a semi join on the
-    partition columns, which dynamic partition pruning turns into a
-    partition filter on the target scan (no driver round trip)."""
+    """Target rows of the partitions present in the batch.
+
+    The batch's distinct partition values (one row per touched partition --
+    days or symbols, never data rows) become a literal ``IN`` filter, which
+    the planner turns into ``PartitionFilters`` so only those directories are
+    listed and read.  A semi join against the batch would be simpler, but
+    dynamic partition pruning does not fire for it without a selective
+    predicate on the batch side (checked), so the whole target would be read.
+    """
     if not partition_by:
         return existing
-    parts = batch.select(*partition_by).distinct()
-    return existing.join(parts, list(partition_by), "left_semi")
+    vals = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
+    if not vals:
+        return existing.limit(0)
+    if len(partition_by) == 1:
+        return existing.filter(F.col(partition_by[0]).isin([v[0] for v in vals]))
+    cond = None
+    for v in vals:
+        c = None
+        for k, x in zip(partition_by, v):
+            e = F.col(k).eqNullSafe(F.lit(x))
+            c = e if c is None else (c & e)
+        cond = c if cond is None else (cond | c)
+    return existing.filter(cond)
 
 
 def _overwrite_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str],
