@@ -8,7 +8,6 @@ never under a machine-local temporary folder.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,17 +24,25 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Partition sizing for large inputs: scan splits and post-shuffle
+    # partitions around 256 MB; AQE coalesces small ones and splits skewed
+    # ones (joins and rebalance-hinted writes).
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tickvault", extra: dict | None = None) -> SparkSession:
+    active = SparkSession.getActiveSession()
+    if active is not None:          # a platform-provided session: keep its settings
+        configure(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
+    for k, v in {**_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -58,17 +65,19 @@ def configure(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root named by ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a folder under the system
-    temp dir is set, and the setting is written back so later calls agree.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    Read from the session.  Only in local mode (tests, a laptop) and only
+    when nothing is configured, a temporary folder is set and written back;
+    on a cluster an unset value is an error, because a machine-local folder
+    would not survive the loss of an executor."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a cluster-shared folder (staging, stream checkpoints)")
         import tempfile
         d = tempfile.mkdtemp(prefix="tickvault-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d) if not spark.sparkContext.getCheckpointDir() else None
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
@@ -77,5 +86,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tickvault/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)
