@@ -119,8 +119,11 @@ def root_rank_summary(bars: DataFrame) -> DataFrame:
 
 def missing_ranks(expected: DataFrame, bars: DataFrame) -> DataFrame:
     """Expected (root, rank) from the universe minus ranks found."""
-    found = bars.select(series_root("contract_series").alias("root"),
-                        series_rank("contract_series", "sql").alias("rank")).distinct()
+    # distinct series first: the name parsing then runs once per series,
+    # not once per bar
+    series = bars.select("contract_series").distinct()
+    found = series.select(series_root("contract_series").alias("root"),
+                          series_rank("contract_series", "sql").alias("rank")).distinct()
     return expected.select("root", "rank").join(found, ["root", "rank"], "left_anti")
 
 
