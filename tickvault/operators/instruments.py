@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.symbols import (ROLL_CODES, imm_date, parse_continuous_symbol, parse_future_symbol,
-                                 parse_native_symbol, parse_option_symbol, series_rank)
+                                 parse_native_symbol, parse_option_symbol)
 from .dedupe import keep_first, keep_last
 
 # --- fixed values (must equal the reference's) -----------------------------
@@ -158,7 +158,3 @@ def last_trading_date(defs: DataFrame, bars: DataFrame, asset: str | None = None
     last = bars.groupBy(F.col("underlying_instrument_id").alias("instrument_id")).agg(F.max("trading_date").alias("_l"))
     return d.join(last, "instrument_id", "inner").groupBy("native_symbol", "expiration") \
             .agg(F.max("_l").alias("last_trading_date"))
-
-
-def series_rank_of(df: DataFrame, col: str = "contract_series") -> DataFrame:
-    return df.withColumn("rank", series_rank(col))

@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 from ..operators import calendar as C
 from .registry import query
 
-_ISO_DOW_WEEKDAY = "isodow({d}) <= 5"
-
 
 @query("trading_days", ops="G1", oracle="""
 select distinct trading_date from fx_bar_daily where trading_date between date '1996-01-01' and date '1997-12-31'

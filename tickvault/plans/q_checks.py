@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 from ..operators import checks
 from .registry import query
 
-_CHK = "check_id, name, status, severity, violations, message"
-
-
 def _chk_sql(cid, name, sev, expr_sql, unit="violations"):
     """Oracle text of one check row from a scalar subquery."""
     return f"""select '{cid}' as check_id, '{name}' as name,
