@@ -76,7 +76,8 @@ def test_partitioned_writers(spark, tmp_dir):
     from tickvault.operators.bars import daily_consolidate_month
     W.compact_month(daily_consolidate_month(raw, ["arrival"]), f"{tmp_dir}/months")
     assert spark.read.parquet(f"{tmp_dir}/months").count() == b.count()
-    W.write_by_rank_date(t["fx_ohlcv_raw"].select("root", "contract_rank", "trading_date", "open"), f"{tmp_dir}/rank")
+    one_year = t["fx_ohlcv_raw"].filter(F.year("trading_date") == 1996)     # fewer tiny directories
+    W.write_by_rank_date(one_year.select("root", "contract_rank", "trading_date", "open"), f"{tmp_dir}/rank")
     assert "root=ES" in os.listdir(f"{tmp_dir}/rank")
     # Rebuilding one day replaces only that partition
     day = b.agg(F.max("trading_date")).first()[0]

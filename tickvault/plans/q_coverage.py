@@ -41,7 +41,7 @@ def q_series_coverage_offenders(t):
 
 
 @query("series_coverage_totals", rnd=("overall_pct",), ops="C1", oracle=_C1 + """
-select count(*) as total_series, sum(actual_days) as total_actual, sum(missing_days) as total_missing,
+select count(*) as total_series, cast(sum(actual_days) as bigint) as total_actual, cast(sum(missing_days) as bigint) as total_missing,
  count(*) * max(expected_days) as total_expected,
  case when count(*) * max(expected_days) > 0 then sum(actual_days) / (count(*) * max(expected_days)) * 100 else 0.0 end as overall_pct from c1
 """)
@@ -218,7 +218,7 @@ def q_spread_stats(t):
 @query("day_volume_class", ops="C16", oracle="""
 with per as (select instrument_id, cast(ts_event as date) as date, count(*) as quotes from fx_quotes group by 1, 2)
 select instrument_id, case when quotes >= 1200 then 'full' when quotes >= 200 then 'partial' when quotes >= 50 then 'very_partial' else 'test' end as day_class,
- count(*) as days, sum(quotes) as quotes from per group by 1, 2
+ count(*) as days, cast(sum(quotes) as bigint) as quotes from per group by 1, 2
 """)
 def q_day_volume_class(t):
     """Days per instrument and quote-count class."""
