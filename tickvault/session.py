@@ -8,7 +8,10 @@ never under a machine-local temporary folder.
 
 from __future__ import annotations
 
+import os
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -86,3 +89,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tickvault/{name}-{uuid.uuid4().hex[:12]}"
 
 
+
+
+_shipped: set = set()
+_ship_lock = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickvault`` importable in Python workers (needed only by the
+    operators that run Python on executors, e.g. the ST5 state function).
+    The package is zipped once per SparkContext under the shared folder and
+    added with ``addPyFile``, which distributes it to every executor."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    with _ship_lock:
+        if key in _shipped:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        path = f"{shared_dir(spark)}/tickvault/pkg-{uuid.uuid4().hex[:12]}.zip"
+        local = path[len("file:"):] if path.startswith("file:") else path
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        sc.addPyFile(local)
+        _shipped.add(key)

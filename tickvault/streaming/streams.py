@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import first_by, last_by
 from ..functions.symbols import series_rank
-from ..session import configure, scratch_path
+from ..session import configure, scratch_path, ship_package
 from ..sources import sinks
 
 QUOTE, TRADE = "Q", "T"
@@ -177,6 +177,7 @@ def _roll_state_fn(key, pdfs, state):
 def roll_stream(bars: DataFrame) -> DataFrame:
     """ST5: roll rows from a stream of daily bars arriving in date order per
     series (late, older bars are not re-ordered against the state)."""
+    ship_package(bars.sparkSession)          # the state function runs in Python workers
     b = bars.select("contract_series", series_rank("contract_series").alias("rank"), "trading_date",
                     "underlying_instrument_id")
     return b.groupBy("contract_series").applyInPandasWithState(
