@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, round_dp
+from ..functions.columns import col
 
 
 def _d(x):
@@ -132,7 +132,7 @@ def normalize_business_daily(obs: DataFrame, start, end, series: str = "series_i
 
 def minute_coverage(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_event") -> DataFrame:
     """Per symbol minutes present, expected ((last-first)/60s + 1),
-    missing, pct, first, last -- no grid needed."""
+    missing, coverage as a fraction, first and last minute -- no grid needed."""
     m = quotes.select(symbol, F.date_trunc("minute", col(ts)).cast("timestamp_ntz").alias("minute"))
     per = m.groupBy(symbol).agg(F.count_distinct("minute").alias("minutes_present"),
                                 F.min("minute").alias("first_minute"), F.max("minute").alias("last_minute"))
@@ -140,8 +140,8 @@ def minute_coverage(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_eve
     exp = (span / 60 + 1).cast("long")
     return per.select(symbol, "minutes_present", exp.alias("minutes_expected"),
                       (exp - F.col("minutes_present")).alias("minutes_missing"),
-                      round_dp(F.col("minutes_present") * 100.0 / exp, 2).alias("coverage_pct"),
-                      "first_minute", "last_minute")
+                      (F.col("minutes_present") / exp).alias("coverage_pct"),
+                      F.col("first_minute").alias("first_ts"), F.col("last_minute").alias("last_ts"))
 
 
 def missing_minutes(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_event") -> DataFrame:

@@ -28,8 +28,9 @@ MONTHLY_ROOTS = ["SI", "GC", "CL"]
 MAJOR_ASSETS = ["ES", "NQ", "RTY", "SI", "GC", "CL", "ZT", "ZF", "ZN", "UB"]
 DEFINITION_DRIFT_PCT = 20
 SYMBOL_COUNT_CV_LIMIT = 0.05
-DATE_LIKE = ["trading_date", "date", "ts_event", "timestamp", "trade_date", "ts_minute"]
-SYMBOL_LIKE = ["contract_series", "series_id", "symbol", "instrument_id", "root", "native_symbol"]
+# Column-name parts that mark a date-like and a symbol-like column (table profile).
+DATE_LIKE_PARTS = ["date", "timestamp", "ts_"]
+SYMBOL_LIKE_PARTS = ["symbol", "series", "contract", "root", "series_id", "asset"]
 # ---------------------------------------------------------------------------
 
 
@@ -154,36 +155,39 @@ def quotes_by_root(instruments: DataFrame, quotes: DataFrame) -> DataFrame:
     quotes, first, last, ``total_rows`` (the reference's count(*), which is
     1 for an instrument without quotes, Q16) and ``total_quotes``.
     Quotes are pre-aggregated per instrument before the join."""
-    qa = quotes.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("_n"), F.min("ts_event").alias("_f"),
-                                             F.max("ts_event").alias("_l"))
+    qa = quotes.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.to_date("ts_event")).alias("_f"),
+                                             F.max(F.to_date("ts_event")).alias("_l"))
     j = instruments.select("instrument_id", "root").join(qa, "instrument_id", "left")
-    return j.groupBy("root").agg(F.count_distinct("instrument_id").alias("instruments"),
+    return j.groupBy("root").agg(F.count_distinct("instrument_id").alias("unique_instruments"),
                                  F.count_distinct(F.when(F.col("_n").isNotNull(), F.col("instrument_id"))).alias("instruments_with_quotes"),
-                                 F.min("_f").alias("first_quote"), F.max("_l").alias("last_quote"),
+                                 F.min("_f").alias("first_date"), F.max("_l").alias("last_date"),
                                  F.sum(F.coalesce("_n", F.lit(1))).alias("total_rows"),
                                  F.sum(F.coalesce("_n", F.lit(0))).alias("total_quotes"))
 
 
 def quotes_per_contract(quotes: DataFrame, instruments: DataFrame) -> DataFrame:
-    """C11 (J6): per symbol: quotes, first, last, avg spread, avg total size."""
-    j = quotes.join(instruments.select("instrument_id", "symbol_feed"), "instrument_id", "inner")
-    return j.groupBy(F.col("symbol_feed").alias("symbol")).agg(
-        F.count(F.lit(1)).alias("quotes"), F.min("ts_event").alias("first_quote"), F.max("ts_event").alias("last_quote"),
-        F.avg(spread()).alias("avg_spread"), F.avg(F.col("bid_sz") + F.col("ask_sz")).alias("avg_total_size"))
+    """C11 (J6): per contract symbol: quote count, first/last quote date,
+    average spread (points) and average total size."""
+    j = quotes.join(instruments.select("instrument_id", "symbol_canonical"), "instrument_id", "inner")
+    return j.groupBy(F.col("symbol_canonical").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("quote_count"), F.min(F.to_date("ts_event")).alias("first_quote"),
+        F.max(F.to_date("ts_event")).alias("last_quote"),
+        F.avg(spread()).alias("avg_spread_pts"), F.avg(F.col("bid_sz") + F.col("ask_sz")).alias("avg_total_size"))
 
 
 def daily_quotes(quotes: DataFrame) -> DataFrame:
     """Per UTC day: quotes, active contracts, avg spread."""
     return quotes.groupBy(F.to_date("ts_event").alias("date")).agg(
-        F.count(F.lit(1)).alias("quotes"), F.count_distinct("instrument_id").alias("active_contracts"),
-        F.avg(spread()).alias("avg_spread"))
+        F.count(F.lit(1)).alias("quote_count"), F.count_distinct("instrument_id").alias("active_contracts"),
+        F.avg(spread()).alias("avg_spread_pts"))
 
 
 def bars_per_contract(bars_1m: DataFrame, instruments: DataFrame) -> DataFrame:
     """C13 (J6): per symbol: bars, first, last, avg open and close mid."""
-    j = bars_1m.join(instruments.select("instrument_id", "symbol_feed"), "instrument_id", "inner")
-    return j.groupBy(F.col("symbol_feed").alias("symbol")).agg(
-        F.count(F.lit(1)).alias("bars"), F.min("ts_minute").alias("first_bar"), F.max("ts_minute").alias("last_bar"),
+    j = bars_1m.join(instruments.select("instrument_id", "symbol_canonical"), "instrument_id", "inner")
+    return j.groupBy(F.col("symbol_canonical").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("bar_count"), F.min(F.to_date("ts_minute")).alias("first_bar"),
+        F.max(F.to_date("ts_minute")).alias("last_bar"),
         F.avg("o_mid").alias("avg_open"), F.avg("c_mid").alias("avg_close"))
 
 
@@ -203,10 +207,10 @@ def contract_bar_stats(bars: DataFrame, cols: Sequence[str] = ("open", "high", "
 
 def spread_stats(quotes: DataFrame, instruments: DataFrame) -> DataFrame:
     """Per symbol: count, min/avg/max/median spread."""
-    j = quotes.join(instruments.select("instrument_id", "symbol_feed"), "instrument_id", "inner") \
+    j = quotes.join(instruments.select("instrument_id", "symbol_canonical"), "instrument_id", "inner") \
         .withColumn("_s", spread())
-    return j.groupBy(F.col("symbol_feed").alias("symbol")).agg(
-        F.count("_s").alias("quotes"), F.min("_s").alias("min_spread"), F.avg("_s").alias("avg_spread"),
+    return j.groupBy(F.col("symbol_canonical").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("quote_count"), F.min("_s").alias("min_spread"), F.avg("_s").alias("avg_spread"),
         F.max("_s").alias("max_spread"), F.median("_s").alias("median_spread"))
 
 
@@ -234,19 +238,19 @@ def macro_coverage(obs: DataFrame, wanted: DataFrame | None = None) -> DataFrame
 
 
 def table_profile(df: DataFrame) -> tuple[str | None, str | None, DataFrame]:
-    """Pick the first date-like and symbol-like column by name (schema
-    only, on the driver), then one group-by: rows, first, last, distinct
-    dates per identifier."""
+    """From the schema (driver side, no job) the first column whose
+    name contains a date-like part and the first with a symbol-like part;
+    then one group-by per identifier: row count and date range."""
     names = df.columns
-    dcol = next((c for c in DATE_LIKE if c in names), None) or \
-        next((c for c in names if "date" in c.lower() or c.lower().startswith("ts")), None)
-    scol = next((c for c in SYMBOL_LIKE if c in names), None)
-    if dcol is None:
-        return None, scol, df.agg(F.count(F.lit(1)).alias("rows"))
-    d = F.to_date(F.col(dcol))
-    keys = [scol] if scol else []
-    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.min(d).alias("first_date"),
-                                F.max(d).alias("last_date"), F.count_distinct(d).alias("distinct_dates"))
+    dcol = next((c for c in names if any(p in c.lower() for p in DATE_LIKE_PARTS)), None)
+    scol = next((c for c in names if any(p in c.lower() for p in SYMBOL_LIKE_PARTS)), None)
+    if scol is None or dcol is None:
+        aggs = [F.count(F.lit(1)).alias("row_count")]
+        if dcol is not None:
+            aggs += [F.min(dcol).alias("min_date"), F.max(dcol).alias("max_date")]
+        return dcol, scol, df.agg(*aggs)
+    out = df.groupBy(F.col(scol).alias("identifier")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min(dcol).alias("min_date"), F.max(dcol).alias("max_date"))
     return dcol, scol, out
 
 

@@ -117,11 +117,11 @@ def q_normalize_business_daily(t):
 
 @query("minute_coverage", rnd=("coverage_pct",), ops="G7", oracle="""
 with m as (select symbol, date_trunc('minute', ts_event) as minute from fx_quote_raw),
- p as (select symbol, count(distinct minute) as minutes_present, min(minute) as first_minute, max(minute) as last_minute from m group by 1)
-select symbol, minutes_present, cast(date_diff('second', first_minute, last_minute) / 60 + 1 as bigint) as minutes_expected,
- cast(date_diff('second', first_minute, last_minute) / 60 + 1 as bigint) - minutes_present as minutes_missing,
- round(minutes_present * 100.0 / cast(date_diff('second', first_minute, last_minute) / 60 + 1 as bigint) * 100) / 100 as coverage_pct,
- first_minute, last_minute from p
+ p as (select symbol, count(distinct minute) as minutes_present, min(minute) as first_ts, max(minute) as last_ts from m group by 1)
+select symbol, minutes_present, cast(date_diff('second', first_ts, last_ts) / 60 + 1 as bigint) as minutes_expected,
+ cast(date_diff('second', first_ts, last_ts) / 60 + 1 as bigint) - minutes_present as minutes_missing,
+ minutes_present / cast(date_diff('second', first_ts, last_ts) / 60 + 1 as bigint) as coverage_pct,
+ first_ts, last_ts from p
 """)
 def q_minute_coverage(t):
     """Minutes present / expected / missing per symbol."""

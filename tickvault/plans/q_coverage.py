@@ -8,6 +8,7 @@ from ..operators.bars import bars_futures
 from ..operators.curves import canonical_bars
 from ..operators.normalize import normalize_quote_columns
 from ..operators.universe import expand_universe
+from ..sources.readers import load_future_instruments
 from .registry import query
 
 S, E = "1998-01-01", "1998-12-31"
@@ -154,8 +155,8 @@ def q_quote_summary(t):
 
 
 @query("quotes_by_root", ops="C10 J7 Q16", oracle="""
-select d.root, count(distinct d.instrument_id) as instruments, count(distinct q.instrument_id) as instruments_with_quotes,
- min(q.ts_event) as first_quote, max(q.ts_event) as last_quote, count(*) as total_rows, count(q.instrument_id) as total_quotes
+select d.root, count(distinct d.instrument_id) as unique_instruments, count(distinct q.instrument_id) as instruments_with_quotes,
+ min(cast(q.ts_event as date)) as first_date, max(cast(q.ts_event as date)) as last_date, count(*) as total_rows, count(q.instrument_id) as total_quotes
  from fx_fut_instrument d left join fx_quotes q on q.instrument_id = d.instrument_id group by d.root
 """)
 def q_quotes_by_root(t):
@@ -163,18 +164,18 @@ def q_quotes_by_root(t):
     return C.quotes_by_root(t["fx_fut_instrument"], t["fx_quotes"])
 
 
-@query("quotes_per_contract", rnd=("avg_spread", "avg_total_size"), ops="C11 J6", oracle="""
-select d.symbol_feed as symbol, count(*) as quotes, min(q.ts_event) as first_quote, max(q.ts_event) as last_quote,
- avg(q.ask_px - q.bid_px) as avg_spread, avg(q.bid_sz + q.ask_sz) as avg_total_size
+@query("quotes_per_contract", rnd=("avg_spread_pts", "avg_total_size"), ops="C11 J6 R3", oracle="""
+select d.symbol_feed as symbol, count(*) as quote_count, min(cast(q.ts_event as date)) as first_quote, max(cast(q.ts_event as date)) as last_quote,
+ avg(q.ask_px - q.bid_px) as avg_spread_pts, avg(q.bid_sz + q.ask_sz) as avg_total_size
  from fx_quotes q join fx_fut_instrument d using (instrument_id) group by 1
 """)
 def q_quotes_per_contract(t):
     """C11: per contract symbol quotes, range, average spread and size."""
-    return C.quotes_per_contract(t["fx_quotes"], t["fx_fut_instrument"])
+    return C.quotes_per_contract(t["fx_quotes"], load_future_instruments(t["fx_fut_instrument"]))
 
 
-@query("daily_quotes", rnd=("avg_spread",), ops="C12", oracle="""
-select cast(ts_event as date) as date, count(*) as quotes, count(distinct instrument_id) as active_contracts, avg(ask_px - bid_px) as avg_spread
+@query("daily_quotes", rnd=("avg_spread_pts",), ops="C12", oracle="""
+select cast(ts_event as date) as date, count(*) as quote_count, count(distinct instrument_id) as active_contracts, avg(ask_px - bid_px) as avg_spread_pts
  from fx_quotes group by 1
 """)
 def q_daily_quotes(t):
@@ -183,12 +184,13 @@ def q_daily_quotes(t):
 
 
 @query("bars_per_contract", rnd=("avg_open", "avg_close"), ops="C13 J6", oracle=f"""
-select d.symbol_feed as symbol, count(*) as bars, min(ts_minute) as first_bar, max(ts_minute) as last_bar, avg(o_mid) as avg_open, avg(c_mid) as avg_close
+select d.symbol_feed as symbol, count(*) as bar_count, min(cast(ts_minute as date)) as first_bar, max(cast(ts_minute as date)) as last_bar,
+ avg(o_mid) as avg_open, avg(c_mid) as avg_close
  from {_HBARS} h join fx_fut_instrument d using (instrument_id) group by 1
 """)
 def q_bars_per_contract(t):
     """Per contract bars, range, average open and close mid."""
-    return C.bars_per_contract(_hbars(t), t["fx_fut_instrument"])
+    return C.bars_per_contract(_hbars(t), load_future_instruments(t["fx_fut_instrument"]))
 
 
 def _c14_sql():
@@ -206,13 +208,13 @@ def q_contract_bar_stats(t):
 
 
 @query("spread_stats", rnd=("min_spread", "avg_spread", "max_spread", "median_spread"), ops="C15", oracle="""
-select d.symbol_feed as symbol, count(q.ask_px - q.bid_px) as quotes, min(q.ask_px - q.bid_px) as min_spread, avg(q.ask_px - q.bid_px) as avg_spread,
+select d.symbol_feed as symbol, count(*) as quote_count, min(q.ask_px - q.bid_px) as min_spread, avg(q.ask_px - q.bid_px) as avg_spread,
  max(q.ask_px - q.bid_px) as max_spread, percentile_cont(0.5) within group (order by q.ask_px - q.bid_px) as median_spread
  from fx_quotes q join fx_fut_instrument d using (instrument_id) group by 1
 """)
 def q_spread_stats(t):
     """Spread distribution per contract."""
-    return C.spread_stats(t["fx_quotes"], t["fx_fut_instrument"])
+    return C.spread_stats(t["fx_quotes"], load_future_instruments(t["fx_fut_instrument"]))
 
 
 @query("day_volume_class", ops="C16", oracle="""
@@ -239,8 +241,8 @@ def q_macro_coverage(t):
 
 
 @query("table_profile", ops="C19", oracle="""
-select contract_series, count(*) as rows, min(trading_date) as first_date, max(trading_date) as last_date,
- count(distinct trading_date) as distinct_dates from fx_bar_dirty group by 1
+select contract_series as identifier, count(*) as row_count, min(trading_date) as min_date, max(trading_date) as max_date
+ from fx_bar_dirty group by 1
 """)
 def q_table_profile(t):
     """Profile of a table chosen by column names (date-like, symbol-like)."""
