@@ -143,11 +143,11 @@ def quote_summary(quotes: DataFrame, instruments: DataFrame, bars: DataFrame) ->
     """One row: quotes, quoted instruments, first/last date, trading
     days, instrument rows, bar rows (three one-row aggregates)."""
     q = quotes.agg(F.count(F.lit(1)).alias("total_quotes"),
-                   F.count_distinct("instrument_id").alias("quoted_instruments"),
-                   F.min(F.to_date("ts_event")).alias("first_date"), F.max(F.to_date("ts_event")).alias("last_date"),
+                   F.count_distinct("instrument_id").alias("unique_instruments"),
+                   F.min(F.to_date("ts_event")).alias("min_date"), F.max(F.to_date("ts_event")).alias("max_date"),
                    F.count_distinct(F.to_date("ts_event")).alias("trading_days"))
-    return q.withColumn("instrument_rows", instruments.agg(F.count(F.lit(1))).scalar()) \
-            .withColumn("bar_rows", bars.agg(F.count(F.lit(1))).scalar())
+    return q.withColumn("instrument_count", instruments.agg(F.count(F.lit(1))).scalar()) \
+            .withColumn("bar_count", bars.agg(F.count(F.lit(1))).scalar())
 
 
 def quotes_by_root(instruments: DataFrame, quotes: DataFrame) -> DataFrame:
@@ -412,9 +412,9 @@ def quote_brief(quotes: DataFrame) -> DataFrame:
 
 def daily_bar_summary(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Overall first/last date, bars, series; and the same by root."""
-    overall = bars.agg(F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date"),
-                       F.count(F.lit(1)).alias("bars"), F.count_distinct("contract_series").alias("series"))
+    overall = bars.agg(F.min("trading_date").alias("min_date"), F.max("trading_date").alias("max_date"),
+                       F.count(F.lit(1)).alias("total_bars"), F.count_distinct("contract_series").alias("unique_series"))
     by_root = bars.groupBy(series_root("contract_series").alias("root")).agg(
-        F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date"),
-        F.count(F.lit(1)).alias("bars"), F.count_distinct("contract_series").alias("series"))
+        F.count(F.lit(1)).alias("bar_count"), F.min("trading_date").alias("min_date"),
+        F.max("trading_date").alias("max_date"))
     return overall, by_root

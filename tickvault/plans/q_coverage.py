@@ -145,9 +145,9 @@ def _hbars(t):
 
 
 @query("quote_summary", ops="C9", oracle=f"""
-select count(*) as total_quotes, count(distinct instrument_id) as quoted_instruments, min(cast(ts_event as date)) as first_date,
- max(cast(ts_event as date)) as last_date, count(distinct cast(ts_event as date)) as trading_days,
- (select count(*) from fx_fut_instrument) as instrument_rows, (select count(*) from {_HBARS} h) as bar_rows from fx_quotes
+select count(*) as total_quotes, count(distinct instrument_id) as unique_instruments, min(cast(ts_event as date)) as min_date,
+ max(cast(ts_event as date)) as max_date, count(distinct cast(ts_event as date)) as trading_days,
+ (select count(*) from fx_fut_instrument) as instrument_count, (select count(*) from {_HBARS} h) as bar_count from fx_quotes
 """)
 def q_quote_summary(t):
     """One-row product summary."""
@@ -421,7 +421,7 @@ def q_quote_brief(t):
 
 
 @query("daily_bar_summary", ops="C33", oracle="""
-select min(trading_date) as first_date, max(trading_date) as last_date, count(*) as bars, count(distinct contract_series) as series from fx_bar_daily
+select min(trading_date) as min_date, max(trading_date) as max_date, count(*) as total_bars, count(distinct contract_series) as unique_series from fx_bar_daily
 """)
 def q_daily_bar_summary(t):
     """Overall range, bars and series."""
@@ -429,7 +429,7 @@ def q_daily_bar_summary(t):
 
 
 @query("daily_bar_summary_by_root", ops="C33", oracle=f"""
-select {_ROOT} as root, min(trading_date) as first_date, max(trading_date) as last_date, count(*) as bars, count(distinct contract_series) as series
+select {_ROOT} as root, count(*) as bar_count, min(trading_date) as min_date, max(trading_date) as max_date
  from fx_bar_daily group by 1
 """)
 def q_daily_bar_summary_root(t):
