@@ -354,24 +354,34 @@ def default_window(canonical: DataFrame, days: int):
 
 
 def option_file_profile(quotes: DataFrame, file_col: str = "file") -> DataFrame:
-    """Per file: rows, symbols, expiries, minutes, span (minutes), avg
-    rows per minute, missing bid/ask, negative spread, zero price, median
-    spread and median spread pct."""
+    """Per file, over the rows whose symbol parses as an option: total
+    rows, unique symbols, expiries and minutes (of ``ts_recv`` when present,
+    else ``ts_event``), time range in minutes, rows per minute, missing
+    bid/ask, negative spreads, zero prices, median spread and median spread
+    in percent of mid.  Vendor (``_00``) or plain price columns, chosen by
+    schema."""
     from ..functions.symbols import OPTION_SYMBOL_RE
-    q = quotes.withColumn("_mid", mid()).withColumn("_spr", spread())
-    exp_code = F.when(F.col("symbol").rlike(OPTION_SYMBOL_RE),
-                      F.concat(F.regexp_extract("symbol", OPTION_SYMBOL_RE, 2), F.regexp_extract("symbol", OPTION_SYMBOL_RE, 3)))
-    m = F.date_trunc("minute", "ts_event")
+    cols = set(quotes.columns)
+    bid = "bid_px_00" if "bid_px_00" in cols else "bid_px"
+    ask = "ask_px_00" if "ask_px_00" in cols else "ask_px"
+    tcol = "ts_recv" if "ts_recv" in cols else "ts_event"
+    s = F.col("symbol")
+    q = quotes.filter(s.rlike(OPTION_SYMBOL_RE)) \
+        .withColumn("_mid", mid(bid, ask)).withColumn("_spr", spread(bid, ask))
+    exp_code = F.concat(F.regexp_extract(s, OPTION_SYMBOL_RE, 2), F.regexp_extract(s, OPTION_SYMBOL_RE, 3))
+    span = F.unix_micros(F.max(tcol).cast("timestamp")) - F.unix_micros(F.min(tcol).cast("timestamp"))
     per = q.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol").alias("symbols"),
-        F.count_distinct(exp_code).alias("expiries"), F.count_distinct(m).alias("minutes"),
-        ((F.unix_seconds(F.max("ts_event").cast("timestamp")) - F.unix_seconds(F.min("ts_event").cast("timestamp"))) / 60.0).alias("span_minutes"),
-        F.count_if(F.col("bid_px").isNull() | F.col("ask_px").isNull()).alias("missing_bid_ask"),
-        F.count_if(F.col("_spr") < 0).alias("negative_spread"),
-        F.count_if((F.col("bid_px") == 0) | (F.col("ask_px") == 0)).alias("zero_price"),
+        F.count(F.lit(1)).alias("total_rows"), F.count_distinct("symbol").alias("unique_symbols"),
+        F.count_distinct(exp_code).alias("unique_expiries"),
+        F.count_distinct(F.date_trunc("minute", tcol)).alias("unique_minutes"),
+        (span / 60e6).alias("time_range_minutes"),
+        F.count_if(F.col(bid).isNull()).alias("missing_bid"), F.count_if(F.col(ask).isNull()).alias("missing_ask"),
+        F.count_if(F.col("_spr") < 0).alias("negative_spreads"),
+        F.count_if((F.col(bid) == 0) | (F.col(ask) == 0)).alias("zero_prices"),
         F.median("_spr").alias("median_spread"),
         F.median(F.try_divide(F.col("_spr"), F.col("_mid")) * 100).alias("median_spread_pct"))
-    return per.withColumn("avg_rows_per_minute", F.try_divide(F.col("rows").cast("double"), F.col("minutes")))
+    return per.withColumn("avg_symbols_per_minute",
+                          F.coalesce(F.try_divide(F.col("total_rows").cast("double"), F.col("unique_minutes")), F.lit(0.0)))
 
 
 def strikes_per_expiry(options: DataFrame) -> DataFrame:
@@ -404,10 +414,14 @@ def symbol_count_cv(per_file: DataFrame, count_col: str = "symbols") -> DataFram
 
 
 def quote_brief(quotes: DataFrame) -> DataFrame:
-    """Rows, symbols, first/last time, median spread."""
+    """Rows, symbols, first/last event time, median spread (vendor or
+    plain price columns, chosen by schema)."""
+    cols = set(quotes.columns)
+    bid = "bid_px_00" if "bid_px_00" in cols else "bid_px"
+    ask = "ask_px_00" if "ask_px_00" in cols else "ask_px"
     return quotes.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol").alias("symbols"),
-                      F.min("ts_event").alias("first_ts"), F.max("ts_event").alias("last_ts"),
-                      F.median(spread()).alias("median_spread"))
+                      F.min("ts_event").alias("time_min"), F.max("ts_event").alias("time_max"),
+                      F.median(spread(bid, ask)).alias("median_spread"))
 
 
 def daily_bar_summary(bars: DataFrame) -> tuple[DataFrame, DataFrame]:

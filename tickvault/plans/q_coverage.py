@@ -364,21 +364,22 @@ def q_default_window(t):
 _OPT = r"'^([A-Z]+)([A-Z])(\d)\s+([CP])(\d+)$'"
 
 
-@query("option_file_profile", rnd=("span_minutes", "median_spread", "median_spread_pct", "avg_rows_per_minute"), ops="C28 P2 P20", oracle=f"""
-with q as (select cast(ts_event as date) as file, symbol, ts_event, bid_px_00 as bid_px, ask_px_00 as ask_px,
-  (bid_px_00 + ask_px_00) / 2 as mid, ask_px_00 - bid_px_00 as spr from fx_quote_raw),
- per as (select file, count(*) as rows, count(distinct symbol) as symbols,
-  count(distinct case when regexp_matches(symbol, {_OPT}) then concat(regexp_extract(symbol, {_OPT}, 2), regexp_extract(symbol, {_OPT}, 3)) end) as expiries,
-  count(distinct date_trunc('minute', ts_event)) as minutes, date_diff('second', min(ts_event), max(ts_event)) / 60.0 as span_minutes,
-  count(*) filter (where bid_px is null or ask_px is null) as missing_bid_ask, count(*) filter (where spr < 0) as negative_spread,
-  count(*) filter (where bid_px = 0 or ask_px = 0) as zero_price, median(spr) as median_spread, median(spr / nullif(mid, 0) * 100) as median_spread_pct
+@query("option_file_profile", rnd=("time_range_minutes", "median_spread", "median_spread_pct", "avg_symbols_per_minute"),
+       ops="C28 P2 P20", oracle=f"""
+with q as (select cast(ts_event as date) as file, symbol, ts_recv, bid_px_00 as bid_px, ask_px_00 as ask_px,
+  (bid_px_00 + ask_px_00) / 2 as mid, ask_px_00 - bid_px_00 as spr from fx_quote_raw where regexp_matches(symbol, {_OPT})),
+ per as (select file, count(*) as total_rows, count(distinct symbol) as unique_symbols,
+  count(distinct concat(regexp_extract(symbol, {_OPT}, 2), regexp_extract(symbol, {_OPT}, 3))) as unique_expiries,
+  count(distinct date_trunc('minute', ts_recv)) as unique_minutes, date_diff('microsecond', min(ts_recv), max(ts_recv)) / 60e6 as time_range_minutes,
+  count(*) filter (where bid_px is null) as missing_bid, count(*) filter (where ask_px is null) as missing_ask,
+  count(*) filter (where spr < 0) as negative_spreads, count(*) filter (where bid_px = 0 or ask_px = 0) as zero_prices,
+  median(spr) as median_spread, median(spr / nullif(mid, 0) * 100) as median_spread_pct
   from q group by 1)
-select *, rows * 1.0 / nullif(minutes, 0) as avg_rows_per_minute from per
+select *, coalesce(total_rows * 1.0 / nullif(unique_minutes, 0), 0.0) as avg_symbols_per_minute from per
 """)
 def q_option_file_profile(t):
-    """Per daily file rows, symbols, expiries, minutes, span, quality counts, median spread."""
-    q = normalize_quote_columns(t["fx_quote_raw"]).withColumn("file", F.to_date("ts_event"))
-    return C.option_file_profile(q)
+    """Per daily file of raw vendor quotes: counts, span, quality, median spread."""
+    return C.option_file_profile(t["fx_quote_raw"].withColumn("file", F.to_date("ts_event")))
 
 
 @query("strikes_per_expiry", ops="C29", oracle=f"""
@@ -412,12 +413,12 @@ def q_symbol_count_cv(t):
 
 
 @query("quote_brief", rnd=("median_spread",), ops="C32", oracle="""
-select count(*) as rows, count(distinct symbol) as symbols, min(ts_event) as first_ts, max(ts_event) as last_ts,
+select count(*) as rows, count(distinct symbol) as symbols, min(ts_event) as time_min, max(ts_event) as time_max,
  median(ask_px_00 - bid_px_00) as median_spread from fx_quote_raw
 """)
 def q_quote_brief(t):
-    """Rows, symbols, time range, median spread."""
-    return C.quote_brief(normalize_quote_columns(t["fx_quote_raw"]))
+    """Rows, symbols, time range, median spread of the raw vendor quotes."""
+    return C.quote_brief(t["fx_quote_raw"])
 
 
 @query("daily_bar_summary", ops="C33", oracle="""
