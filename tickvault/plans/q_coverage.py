@@ -6,7 +6,6 @@ from ..operators import calendar as CAL
 from ..operators import coverage as C
 from ..operators.bars import bars_futures
 from ..operators.curves import canonical_bars
-from ..operators.normalize import normalize_quote_columns
 from ..operators.universe import expand_universe
 from ..sources.readers import load_future_instruments
 from .registry import query
