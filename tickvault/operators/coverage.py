@@ -229,12 +229,12 @@ def day_volume_class(quotes: DataFrame, key: str = "instrument_id") -> DataFrame
 def macro_coverage(obs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Per series rows, first, last; with a wanted list, every wanted
     series with a found flag (left join from the list)."""
-    per = obs.groupBy("series_id").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"),
+    per = obs.groupBy("series_id").agg(F.count(F.lit(1)).alias("row_count"), F.min("date").alias("first_date"),
                                        F.max("date").alias("last_date"))
     if wanted is None:
         return per
     return wanted.select("series_id").distinct().join(per, "series_id", "left") \
-                 .withColumn("found", F.col("rows").isNotNull())
+                 .withColumn("found", F.col("row_count").isNotNull())
 
 
 def table_profile(df: DataFrame) -> tuple[str | None, str | None, DataFrame]:
@@ -331,9 +331,9 @@ def bars_per_day(canonical: DataFrame, start, end) -> DataFrame:
 
 def root_ranges(canonical: DataFrame, canonical_map: DataFrame) -> DataFrame:
     """Per canonical root: first, last, distinct days, optional flag."""
-    per = canonical.groupBy("root").agg(F.min("trading_date").alias("first_date"),
-                                        F.max("trading_date").alias("last_date"),
-                                        F.count_distinct("trading_date").alias("distinct_days"))
+    per = canonical.groupBy("root").agg(F.min("trading_date").alias("min_date"),
+                                        F.max("trading_date").alias("max_date"),
+                                        F.count_distinct("trading_date").alias("days"))
     return canonical_map.select("root", "optional").distinct().join(per, "root", "left")
 
 

@@ -230,8 +230,8 @@ _WANTED = "(select * from (values ('VIXCLS'), ('DGS10'), ('VIX3M')) as w(series_
 
 
 @query("macro_coverage", ops="C18", oracle=f"""
-with per as (select series_id, count(*) as rows, min(date) as first_date, max(date) as last_date from fx_macro_obs group by 1)
-select w.series_id, per.rows, per.first_date, per.last_date, per.rows is not null as found from {_WANTED} w left join per using (series_id)
+with per as (select series_id, count(*) as row_count, min(date) as first_date, max(date) as last_date from fx_macro_obs group by 1)
+select w.series_id, per.row_count, per.first_date, per.last_date, per.row_count is not null as found from {_WANTED} w left join per using (series_id)
 """)
 def q_macro_coverage(t):
     """Wanted macro series with rows, range and a found flag."""
@@ -343,8 +343,8 @@ def q_bars_per_day(t):
 
 
 @query("root_ranges", ops="C26", oracle=f"""
-with per as (select root, min(trading_date) as first_date, max(trading_date) as last_date, count(distinct trading_date) as distinct_days from {_CANON} cb group by 1)
-select m.root, m.optional, per.first_date, per.last_date, per.distinct_days from (select distinct root, optional from fx_canonical) m left join per using (root)
+with per as (select root, min(trading_date) as min_date, max(trading_date) as max_date, count(distinct trading_date) as days from {_CANON} cb group by 1)
+select m.root, m.optional, per.min_date, per.max_date, per.days from (select distinct root, optional from fx_canonical) m left join per using (root)
 """)
 def q_root_ranges(t):
     """Per canonical root its range, distinct days, optional flag."""
