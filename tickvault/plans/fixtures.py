@@ -180,7 +180,7 @@ def oracle_with(sql: str) -> str:
 
 
 _lock = threading.Lock()
-_cache: dict[tuple[int, str], dict[str, DataFrame]] = {}
+_cache: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -193,7 +193,7 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     Views are bound when created (``DataFrame.createOrReplaceTempView`` keeps
     the analysed plan), so fixtures of different ``sf_dir`` never mix.
     """
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     with _lock:
         if key in _cache:
             return _cache[key]
