@@ -80,3 +80,27 @@ def test_no_cartesian_or_nested_loop_in_catalogue(spark):
         if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p:
             bad.append(n)
     assert bad == []
+
+
+def test_sorted_files_let_row_groups_be_skipped(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+    df = spark.range(200000).select((F.col("id") % 97).alias("instrument_id"), F.col("id").alias("seq"))
+    W.append(df.repartition(4), f"{tmp_dir}/s", sort_by=["instrument_id", "seq"])
+    files = sorted(glob.glob(f"{tmp_dir}/s/*.parquet"))
+    assert len(files) == 4
+    for f in files:
+        t = pq.read_table(f).to_pandas()
+        keys = list(zip(t["instrument_id"], t["seq"]))
+        assert keys == sorted(keys)          # clustered: row-group min/max cover narrow ranges
+
+
+def test_size_shuffle_partitions_never_lowers(spark, tmp_dir):
+    from tickvault.session import size_shuffle_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(1000).write.parquet(f"{tmp_dir}/small")
+    assert size_shuffle_partitions(spark, f"{tmp_dir}/small") == int(old)
+    assert size_shuffle_partitions(spark, f"{tmp_dir}/small", target_bytes=100) > int(old)
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)

@@ -19,7 +19,7 @@ from ..operators import index_quality as IQ
 from ..operators import instruments as I
 from ..operators import rolls as L
 from ..operators.calendar import month_complete
-from ..session import configure
+from ..session import configure, size_shuffle_partitions
 from ..sources import readers as R
 from ..sources import sinks as W
 
@@ -74,6 +74,7 @@ class Warehouse:
         (ts_event, key), partitioned by UTC date) and trades (append)."""
         p = PRODUCTS[product]
         s = self.spark
+        size_shuffle_partitions(s, source)
         cont = product == "ES_CONTINUOUS_MDP3"
         inst_raw = R.scan_optional(s, f"{source}/{p.instruments_glob}", p.instrument_schema)
         if product == "ES_OPTIONS_MDP3":
@@ -91,8 +92,11 @@ class Warehouse:
         ikey = "contract_series" if cont else "instrument_id"
         W.upsert_replace(s, inst, self.path(p.instrument_table), [ikey], [], [ikey])
         qkey = ["trade_date", "ts_event", p.key] + (["underlying_instrument_id"] if cont else [])
-        W.upsert_ignore(s, quotes, self.path(p.quote_table), qkey, ["trade_date"], ["ts_rcv", "ts_event"])
-        W.append(trades, self.path(p.trade_table), ["trade_date"])
+        # files sorted by (key, time) inside each day: row-group statistics
+        # prune point lookups by instrument/series and time range
+        W.upsert_ignore(s, quotes, self.path(p.quote_table), qkey, ["trade_date"], ["ts_rcv", "ts_event"],
+                        sort_by=[p.key, "ts_event"])
+        W.append(trades, self.path(p.trade_table), ["trade_date"], sort_by=[p.key, "ts_event"])
 
     # Z2 ---------------------------------------------------------------------
     def build(self, product: str, width_seconds: int = 60, volume: str = "once") -> None:

@@ -117,3 +117,24 @@ def ship_package(spark: SparkSession) -> None:
                         z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
         sc.addPyFile(local)
         _shipped.add(key)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 256 << 20) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` (and AQE's initial partition
+    number) to about input bytes / ``target_bytes`` for a large job, so a
+    shuffle of the input lands in partitions that fit executor memory; AQE
+    then coalesces small ones.  Never lowers an existing setting.  The size
+    comes from the file system's content summary (driver-side metadata)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    want = max(1, -(-total // target_bytes))
+    cur = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(cur, want)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

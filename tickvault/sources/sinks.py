@@ -31,9 +31,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(list_files(spark, path))
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def _sorted(df: DataFrame, sort_by: Sequence[str] | None) -> DataFrame:
+    """Sort rows within each output task so every Parquet file (and row
+    group) covers a narrow range of ``sort_by``: min/max statistics then let
+    later scans skip row groups, which replaces the reference's indexes."""
+    return df.sortWithinPartitions(*sort_by) if sort_by else df
+
+
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None) -> None:
     """Plain insert."""
-    w = df.write.mode("append")
+    w = _sorted(df, sort_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -67,42 +74,42 @@ def _touched(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str])
 
 
 def _overwrite_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str],
-                          tag: str) -> None:
+                          tag: str, sort_by: Sequence[str] | None = None) -> None:
     staging = scratch_path(spark, f"staging-{tag}")
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
     w = staged.hint("rebalance", *partition_by) if partition_by else staged
-    w = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = _sorted(w, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def upsert_replace(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
-                   partition_by: Sequence[str], order: Sequence[str]) -> None:
+                   partition_by: Sequence[str], order: Sequence[str], sort_by: Sequence[str] | None = None) -> None:
     """``insert or replace`` into a partitioned Parquet table (the new
     row wins whole; inside the batch the last by ``order``).  ``partition_by``
     must be part of ``key`` so a key never moves between partitions."""
     configure(spark)
     if not _exists(spark, path):
         fresh = dedupe.keep_last(batch, key, order)
-        w = fresh.write.mode("overwrite")
+        w = _sorted(fresh, sort_by).write.mode("overwrite")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         return
     existing = spark.read.parquet(path)
     old = _touched(existing, batch, partition_by)
     merged = dedupe.upsert_replace(old, batch.select(*existing.columns), key, order)
-    _overwrite_partitions(spark, merged, path, partition_by, "upsert")
+    _overwrite_partitions(spark, merged, path, partition_by, "upsert", sort_by)
 
 
 def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
-                  partition_by: Sequence[str], order: Sequence[str]) -> None:
+                  partition_by: Sequence[str], order: Sequence[str], sort_by: Sequence[str] | None = None) -> None:
     """``insert or ignore`` -- append only keys not yet present (the
     existing row wins; inside the batch the first by ``order``)."""
     configure(spark)
     if not _exists(spark, path):
         fresh = dedupe.keep_first(batch, key, order)
-        w = fresh.write.mode("overwrite")
+        w = _sorted(fresh, sort_by).write.mode("overwrite")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         return
     existing = spark.read.parquet(path)
@@ -110,7 +117,7 @@ def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequenc
     new_rows = dedupe.upsert_ignore(old, batch.select(*existing.columns), key, order)
     staging = scratch_path(spark, "append")
     new_rows.write.mode("overwrite").parquet(staging)
-    append(spark.read.parquet(staging), path, partition_by)
+    append(spark.read.parquet(staging), path, partition_by, sort_by)
 
 
 def replace_by_key_list(old: DataFrame, src: DataFrame, keys: Sequence, col: str = "symbol") -> DataFrame:
