@@ -15,10 +15,7 @@ from .columns import col
 # Futures month codes: F=1 G=2 H=3 J=4 K=5 M=6 N=7 Q=8 U=9 V=10 X=11 Z=12
 MONTH_CODES = {"F": 1, "G": 2, "H": 3, "J": 4, "K": 5, "M": 6,
                "N": 7, "Q": 8, "U": 9, "V": 10, "X": 11, "Z": 12}
-# Continuous symbol roll codes and their metadata
-# c: calendar, databento_calendar, folder calendar
-# v: volume, databento_volume, folder volume
-# o: open-interest, databento_open_interest, folder open-interest
+# Continuous symbol roll codes: (code, roll strategy, roll rule, folder)
 ROLL_CODES = [
     ("c", "calendar", "databento_calendar", "calendar"),
     ("v", "volume", "databento_volume", "volume"),

@@ -73,7 +73,7 @@ def q_raw_vs_loaded(t):
     """Dates with a raw file (date in the file name) but no loaded row in
     either product."""
     days = t["fx_ohlcv_raw"].select("trading_date").distinct()
-    raw_files = days.select(F.concat(F.lit("raw/glbx-mdp3-"), F.col("trading_date").cast("string"),
+    raw_files = days.select(F.concat(F.lit("raw/ohlcv-"), F.col("trading_date").cast("string"),
                                      F.lit(".ohlcv-1d.parquet")).alias("path"))
     b = t["fx_bar_daily"]
     es = b.filter(F.col("contract_series") == "ES_FRONT_CALENDAR").select(F.col("trading_date").alias("date"))
