@@ -91,6 +91,22 @@ def missing_weekdays(bars: DataFrame, keys: Sequence[str] = ("contract_series",)
     return grid.join(present, [*keys, "date"], "left_anti")
 
 
+def missing_session_days(bars: DataFrame, session: DataFrame, keys: Sequence[str] = ("contract_series",),
+                         date_col: str = "trading_date") -> DataFrame:
+    """G4 with the calendar as a parameter (Q19): session days (e.g. the
+    data-derived ``dim_session``) inside each key's own [first, last] range
+    on which the key has no row.  A range join of keys x session days is
+    avoided: session days are bucketed by month and equi-joined on the months
+    each key spans, then filtered to the exact range."""
+    present = bars.select(*keys, F.col(date_col).alias("date")).filter(F.col("date").isNotNull()).distinct()
+    b = present.groupBy(*keys).agg(F.min("date").alias("_s"), F.max("date").alias("_e"))
+    months = b.select(*keys, "_s", "_e", F.explode(F.sequence(F.trunc("_s", "month"), F.trunc("_e", "month"),
+                                                             F.expr("INTERVAL 1 MONTH"))).alias("_m"))
+    days = session.select(F.col("trade_date").alias("date")).distinct().withColumn("_m", F.trunc("date", "month"))
+    grid = months.join(days, "_m").filter(F.col("date").between(F.col("_s"), F.col("_e"))).select(*keys, "date")
+    return grid.join(present, [*keys, "date"], "left_anti")
+
+
 def missing_weekdays_by_month(missing: DataFrame, keys: Sequence[str] = ("contract_series",)) -> DataFrame:
     """G4 report form: missing weekdays counted per key and month."""
     return missing.groupBy(*keys, F.date_format("date", "yyyy-MM").alias("month")) \

@@ -81,6 +81,21 @@ def q_missing_weekdays_month(t):
     return C.missing_weekdays_by_month(C.missing_weekdays(t["fx_bar_daily"]))
 
 
+@query("missing_session_days", ops="G4 G2 Q19", oracle="""
+with present as (select distinct contract_series, trading_date as date from fx_bar_daily where trading_date is not null),
+ b as (select contract_series, min(date) as s, max(date) as e from present group by 1),
+ sess as (select distinct trading_date as date from fx_bar_daily where trading_date is not null),
+ grid as (select b.contract_series, sess.date from b join sess on sess.date between b.s and b.e)
+select g.contract_series, g.date from grid g
+ where not exists (select 1 from present p where p.contract_series = g.contract_series and p.date = g.date)
+""")
+def q_missing_session_days(t):
+    """G4 against the data-derived session calendar (the union of all bar
+    dates) instead of Mon-Fri: days some series trades but this one lacks."""
+    bars = t["fx_bar_daily"]
+    return C.missing_session_days(bars, C.sync_session(None, bars))
+
+
 @query("existing_dates", ops="G5", oracle="""
 select distinct instrument_id, cast(ts_event as date) as date from fx_quotes where ts_event is not null
 """)
