@@ -45,3 +45,41 @@ def test_keep_first_last_match_reference(spark, rows):
     norm = lambda it: sorted(("" if k is None or pd.isna(k) else k, int(s), int(v)) for k, s, v in it)
     assert norm(map(tuple, dedupe.keep_first(df, ["k"], ["seq"]).collect())) == norm(first.itertuples(index=False))
     assert norm(map(tuple, dedupe.keep_last(df, ["k"], ["seq"]).collect())) == norm(last.itertuples(index=False))
+
+
+def test_bars_with_a_hot_instrument_match_pandas(spark):
+    import numpy as np
+    from tickvault.operators import bars
+    rng = np.random.default_rng(7)
+    n = 6000
+    inst = np.where(np.arange(n) % 3 == 0, 0, rng.integers(1, 50, n))          # instrument 0: a third of rows
+    secs = rng.integers(0, 6 * 3600, n)
+    bid = np.round(rng.uniform(90, 110, n), 2)
+    ask = bid + rng.integers(0, 4, n) * 0.25
+    bid = np.where(np.arange(n) % 41 == 0, np.nan, bid)                           # some null mids
+    base = pd.Timestamp("2025-01-02 00:00:00")
+    qdf = pd.DataFrame({"event_id": np.arange(n), "ts_event": base + pd.to_timedelta(secs, unit="s"),
+                        "instrument_id": inst, "bid_px": bid, "ask_px": ask})
+    tdf = pd.DataFrame({"event_id": np.arange(n // 4) + n, "ts_event": base + pd.to_timedelta(rng.integers(0, 6 * 3600, n // 4), unit="s"),
+                        "instrument_id": np.where(np.arange(n // 4) % 2 == 0, 0, rng.integers(1, 50, n // 4)),
+                        "last_px": rng.uniform(90, 110, n // 4), "last_sz": rng.integers(1, 10, n // 4).astype(float)})
+    q = spark.createDataFrame(qdf.astype({"bid_px": "float64"}).replace({np.nan: None}),
+                              "event_id long, ts_event timestamp_ntz, instrument_id long, bid_px double, ask_px double")
+    t = spark.createDataFrame(tdf, "event_id long, ts_event timestamp_ntz, instrument_id long, last_px double, last_sz double")
+    got = bars.bars_futures(q, t, 600, "once", ("ts_event", "event_id")).toPandas()
+    # pandas reference
+    qdf["b"] = qdf["ts_event"].dt.floor("600s")
+    qdf["mid"] = (qdf["bid_px"] + qdf["ask_px"]) / 2
+    ok = qdf.dropna(subset=["mid"]).sort_values(["ts_event", "event_id"])
+    g = ok.groupby(["b", "instrument_id"])
+    ref = pd.DataFrame({"o_mid": g["mid"].first(), "c_mid": g["mid"].last(), "h_mid": g["mid"].max(), "l_mid": g["mid"].min()})
+    keys = qdf.groupby(["b", "instrument_id"]).size().index                    # buckets with any quote
+    ref = ref.reindex(keys)
+    tdf["b"] = tdf["ts_event"].dt.floor("600s")
+    vol = tdf.groupby(["b", "instrument_id"])["last_sz"].sum()
+    ref["v_trades"] = vol.reindex(keys).fillna(0.0).to_numpy()
+    ref = ref.reset_index().rename(columns={"b": "ts_minute"})
+    m = got.merge(ref, on=["ts_minute", "instrument_id"], suffixes=("", "_ref"))
+    assert len(got) == len(ref) == len(m)
+    for c in ("o_mid", "c_mid", "h_mid", "l_mid", "v_trades"):
+        assert np.allclose(m[c].astype(float), m[c + "_ref"].astype(float), equal_nan=True), c
