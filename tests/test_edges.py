@@ -96,3 +96,29 @@ def test_disjoint_sources(spark):
 def test_declared_schemas_parse():
     assert struct(F_QUOTE_L1).names[:3] == ["ts_event", "ts_rcv", "instrument_id"]
     assert len(struct(F_TRADE).fields) == 6
+
+
+def test_quote_close_exact_and_approx(spark):
+    rows = [(i, ts("2025-01-02 10:00:00") + dt.timedelta(seconds=i), "ESZ5", 100.0 + (i % 7) * 0.25, 100.5 + (i % 7) * 0.25)
+            for i in range(301)]
+    q = spark.createDataFrame(rows, "event_id long, ts_event timestamp_ntz, symbol string, bid_px double, ask_px double")
+    exact = bars.quote_close(q).first()
+    approx = bars.quote_close(q, approx=True).first()
+    assert exact["mid_close"] == 101.0 and exact["spread_close"] == 0.5
+    assert abs(approx["mid_close"] - exact["mid_close"]) <= 0.25
+
+
+def test_high_water_mark_modes(spark):
+    q = spark.createDataFrame([(1, ts("2025-01-02 10:00:10"), 1, 100.0, 101.0), (2, ts("2025-01-02 10:00:40"), 1, 104.0, 105.0),
+                               (3, ts("2025-01-02 10:01:20"), 1, 90.0, 91.0)], Q)
+    t = spark.createDataFrame([], T)
+    first = bars.bars_futures(q.filter(F.col("event_id") == 1), t, 60)
+    cutoff = bars.incremental_cutoff(first)
+    assert cutoff == ts("2025-01-02 10:00:00")
+    # reference mode (ts_event > cutoff): the last minute is built again from the later quotes and appended -> two bars
+    ref = first.unionByName(bars.bars_futures(bars.incremental_quotes(q, cutoff, "reference"), t, 60))
+    assert ref.filter(F.col("ts_minute") == cutoff).count() == 2
+    # rebuild mode (>= cutoff, replace the bucket): one bar per minute, equal to a full build
+    reb = first.filter(F.col("ts_minute") < F.lit(cutoff)).unionByName(
+        bars.bars_futures(bars.incremental_quotes(q, cutoff, "rebuild"), t, 60))
+    assert sorted(map(tuple, reb.collect())) == sorted(map(tuple, bars.bars_futures(q, t, 60).collect()))
