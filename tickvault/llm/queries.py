@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tickvault.llm import q_mixing
+from tickvault.llm import q_html, q_language, q_licence, q_mixing, q_toxicity
 
-MODULES = (q_mixing,)
+MODULES = (q_mixing, q_licence, q_html, q_toxicity, q_language)
 
 
 def queries() -> dict:
