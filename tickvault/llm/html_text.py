@@ -47,7 +47,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([
 #: Costs without marked pages, of tags that usually stand around or in a main text; the least cost of a tag; seen so many times beforehand.
 LEAST, OTHER, AROUND, BEFOREHAND = 0.01, 1.0, 6.0, 2.0
 #: Cost of a word or tag of what is not main text.
-ASIDE_COST = 0.25
+ASIDE_COST = 0.05
 EXPECTED = dict.fromkeys(("p", "br", "b", "i", "em", "strong", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "code", "table", "tr", "td", "th", "figure", "figcaption", "img", "sup", "sub", "q", "hr", "span"), LEAST) \
     | dict.fromkeys(("ul", "ol", "li", "dl", "dt", "dd"), 0.25) | dict.fromkeys(("a", "div", "section"), 0.5) \
     | dict.fromkeys(("nav", "footer", "aside", "form", "header", "article", "main", "body", "html"), AROUND)
