@@ -35,6 +35,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that made the table
     return spark.read.schema(df.schema).parquet(path)
 
 
