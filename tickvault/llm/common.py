@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -71,3 +72,32 @@ def text_chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES) ->
 
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def pack_texts(df: DataFrame, column: str) -> DataFrame:
+    """df with its text column compressed, as the last column ``packed``: long
+    texts are packed before they are shuffled."""
+    kept = [c for c in df.columns if c != column]
+
+    def work(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).cast(pa.large_binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([None if t is None else pack.compress(t) for t in texts], pa.binary())], names=[*kept, "packed"])
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name != column)
+    return map_arrow(df.select(*kept, column), work, schema + "packed binary")
+
+
+def unpack_texts(df: DataFrame, column: str) -> DataFrame:
+    """df with ``packed`` turned back into a text column, the last one."""
+    kept = [c for c in df.columns if c != "packed"]
+
+    def work(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            texts = [None if p is None else unpack.decompress(p) for p in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary()).cast(pa.string())], names=[*kept, column])
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name != "packed")
+    return map_arrow(df.select(*kept, "packed"), work, f"{schema}`{column}` string")

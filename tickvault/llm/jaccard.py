@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import map_arrow, record, text_chunks, written
+from tickvault.llm.common import fingerprint, map_arrow, record, text_chunks, written
 from tickvault.llm.graph import components
 from tickvault.llm.tokens import Words, grams, inside, splitmix, words_of
 
@@ -77,7 +77,7 @@ def unequal_bits(x: bytes, y: bytes) -> int:
 
 
 def _describe(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), ("bucket", pa.int32()), ("count", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), ("bucket", pa.int32()), ("count", pa.int64())])
 
     def work(batches):
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -90,12 +90,12 @@ def _describe(k: int):
                     bits.append(signature(s) if len(s) else None)
                     np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(n))
-            yield record(schema, batch.column(0), n, node, bits, none.cast(pa.int32()), none.cast(pa.int64()))
+            yield record(schema, batch.column(0), batch.column(1), n, node, bits, none.cast(pa.int32()), none.cast(pa.int64()))
         some = np.flatnonzero(sketch)
         none = pa.nulls(len(some))
-        yield record(schema, none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), some.astype(np.int32), sketch[some])
+        yield record(schema, *[none.cast(pa.int64())] * 4, none.cast(pa.binary()), some.astype(np.int32), sketch[some])
 
-    return work, "doc_id long, n long, node long, bits binary, bucket int, count long"
+    return work, "doc_id long, print long, n long, node long, bits binary, bucket int, count long"
 
 
 def _post(k: int, percent: int, order: np.ndarray):
@@ -186,17 +186,19 @@ def _verify(k: int, percent: int):
 
 
 def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, node (null for the empty
-    set), component_id (smallest doc_id of the component) and kept (is this the
-    smallest doc_id of its component, or of an empty set?)."""
-    rows = docs.select(doc_id.cast("long").alias("doc_id"), text.alias("text"))
+    """One row per row of docs: doc_id, print (fingerprint of the text),
+    n_shingles, node (null for the empty set), component_id (smallest doc_id of
+    the component) and kept (is this row the first of its component by doc_id
+    and print, or its set empty?)."""
+    rows = docs.select(doc_id.cast("long").alias("doc_id"), fingerprint(text).alias("print"), text.alias("text"))
     seen = written(map_arrow(rows, *_describe(shingle)), "sets")
-    base = seen.where("bucket is null").select("doc_id", "n", "node", "bits")
+    base = seen.where("bucket is null").select("doc_id", "print", "n", "node", "bits")
     counts = seen.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()  # 2**SKETCH_BITS rows at most
     order = np.zeros(1 << SKETCH_BITS, np.int64)
     order[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
 
-    nodes = written(base.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "nodes")
+    at = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.col("print"))  # a null id comes last
+    nodes = written(base.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(at).alias("at"), F.min("doc_id").alias("doc_id")), "nodes")
     posted = written(map_arrow(rows, *_post(shingle, percent, order.astype(np.int32))), "posted")
     shared = written(posted.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h"), "shared")
     band = F.floor(F.log("size") / F.lit(math.log(100 / percent))).cast("int")
@@ -211,7 +213,7 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
         likely = written(map_arrow(p, *_filter(percent)), f"{name}-likely")
         wanted = written(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"), f"{name}-wanted")
         ids = wanted.select("node", F.coalesce("doc_id", F.lit(-1)).alias("_id"))
-        found = rows.withColumn("_id", F.coalesce("doc_id", F.lit(-1))).drop("doc_id").join(ids, "_id").select("node", "text")
+        found = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), "text").join(ids, "_id").select("node", "text")
         texts = written(map_arrow(found, *_texts(shingle)), f"{name}-texts")
         q = likely.join(texts.toDF("b", "y"), "b").join(texts.toDF("a", "x"), "a").select("a", "b", "x", "y")
         return written(map_arrow(q, *_verify(shingle, percent)).distinct(), f"{name}-links")
@@ -238,9 +240,11 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     crossed = written(pairs.join(stars, ["a", "b"], "left_anti"), "crossed")
     roots = components(links.unionAll(verified(crossed, "crossed")))
 
-    first = nodes.join(roots, "node", "left").select(F.col("node"), F.coalesce("root", "node").alias("root"), "doc_id")
-    smallest = first.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = written(first.select("node", "root").join(smallest, "root").select("node", "component_id"), "classes")
-    out = base.select("doc_id", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", "node", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    first = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "at")
+    smallest = first.groupBy("root").agg(F.min("at").alias("first"))
+    classes = written(first.select("node", "root").join(smallest, "root").select("node", "first"), "classes")
+    out = base.select("doc_id", "print", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
+    alone = F.col("node").isNull()
+    component = F.when(F.col("first.doc_id") < (1 << 63) - 1, F.col("first.doc_id"))
+    return out.select("doc_id", "print", "n_shingles", "node", F.when(alone, F.col("doc_id")).otherwise(component).alias("component_id"),
+                      (alone | at.eqNullSafe(F.col("first"))).alias("kept"))

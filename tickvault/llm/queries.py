@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tickvault.llm import (q_contamination, q_embedding, q_html, q_jaccard, q_language, q_licence, q_mixing,
+from tickvault.llm import (q_contamination, q_embedding, q_html, q_jaccard, q_language, q_licence, q_mixing, q_quality,
                            q_substring, q_toxicity)
 
-MODULES = (q_mixing, q_substring, q_jaccard, q_contamination, q_embedding, q_licence, q_html, q_toxicity, q_language)
+MODULES = (q_mixing, q_substring, q_jaccard, q_contamination, q_quality, q_embedding, q_licence, q_html, q_toxicity, q_language)
 
 
 def queries() -> dict:

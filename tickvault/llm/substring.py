@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import fingerprint, map_arrow, record, text_chunks, written
+from tickvault.llm.common import fingerprint, map_arrow, pack_texts, record, text_chunks, written
 from tickvault.llm.tokens import Words, grams, inside, words_of
 
 WINDOW = 35
@@ -149,18 +149,6 @@ def _parse(window: int):
     return work, "kind byte, key long, start long, stop long, h long"
 
 
-def _pack(kept: list[tuple[str, str]]):
-    """Texts compressed before they are shuffled."""
-
-    def work(batches):
-        pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([None if t is None else pack.compress(t) for t in texts], pa.binary())], names=[*batch.schema.names[:-1], "packed"])
-
-    return work, "".join(f"`{c}` {t}, " for c, t in kept) + "packed binary"
-
-
 def _cut(kept: list[tuple[str, str]]):
     """Unpacks the text, cuts the spans' words, counts."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
@@ -212,7 +200,7 @@ def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, keep: list[str
     index = written(postings.groupBy("h").agg(F.min(F.struct("key", "pos")).alias("at")).select("h", F.col("at.key").alias("to"), F.col("at.pos").alias("to_pos")), "index")
     pointers = postings.select("h", "key").join(index, "h").groupBy("key").agg(F.collect_list(F.struct("h", "to", "to_pos")).alias("pointers"))
 
-    packed = map_arrow(texts, *_pack([("key", "long")]))
+    packed = pack_texts(texts, "text")
     parsed = written(map_arrow(packed.join(pointers, "key").select("key", "packed", "pointers"), *_parse(window)), "parsed")
     open_ = parsed.where("kind = 1")
     equal = written(open_.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "equal")
@@ -221,6 +209,6 @@ def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, keep: list[str
     spans = written(spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
 
     kept = rows.dtypes[:-1]
-    whole = map_arrow(rows, *_pack(kept)).join(spans.withColumnRenamed("key", "__key"), "__key", "left")
+    whole = pack_texts(rows, "__text").join(spans.withColumnRenamed("key", "__key"), "__key", "left")
     names = [c for c, _ in kept if c != "__key"]
     return map_arrow(whole.select(*names, "packed", "spans"), *_cut([x for x in kept if x[0] != "__key"]))
