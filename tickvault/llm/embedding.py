@@ -35,7 +35,7 @@ from tickvault.llm.common import by_value, map_arrow, record, written
 from tickvault.llm.graph import components
 
 THRESHOLD, RECALL, LEAST = 0.9, 0.98, 2
-CELL, BLOCK = 192, 256
+CELL, BLOCK = 512, 640
 #: Half a window, in standard deviations of the difference of two rows at the threshold.
 REACH = 2.5
 
@@ -58,10 +58,17 @@ def projections(unit: np.ndarray, signs: int, tables: int) -> tuple[np.ndarray,
 
 
 def units(packed: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+    """Vectors of one length as rows of length 1, in double precision."""
+    x = np.array([np.frombuffer(v[:-1], v[-1:].decode()) for v in packed], np.float64)
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Single precision if that loses nothing, then the type's letter."""
+    single = x.astype(np.float32)
+    return single.tobytes() + b"f" if np.array_equal(single, x) else x.tobytes() + b"d"
+
+
 def group_links(ids: np.ndarray, block: np.ndarray, times: np.ndarray, unit: np.ndarray, table: int, signs: int, tables: int,
                 threshold: float, least: int, between: bool) -> tuple[np.ndarray, np.ndarray]:
     """For each row its links (with multiplicity) and the smallest id it is connected with here."""
@@ -76,19 +83,17 @@ def group_links(ids: np.ndarray, block: np.ndarray, times: np.ndarray, unit: np.
     if between:  # pairs within a block are another group's
         cross = block[a] != block[b]
         a, b = a[cross], b[cross]
-    count = np.ones(len(a), np.int64)
-    for t in range(tables):
-        if t != table:
-            met = (cell[a, t] == cell[b, t]) & (np.abs(value[a, t] - value[b, t]) <= half)
-            if t < table:
-                a, b, count = a[~met], b[~met], count[~met]
-            else:
-                count += met
-    a, b = a[count >= least], b[count >= least]
-    near = np.empty(len(a), bool)
+    cell, found = cell.astype(np.int32), []
     for lo in range(0, len(a), 1 << 16):
-        near[lo:lo + (1 << 16)] = np.einsum("ij,ij->i", unit[a[lo:lo + (1 << 16)]], unit[b[lo:lo + (1 << 16)]]) >= threshold
-    a, b = a[near], b[near]
+        x, y = a[lo:lo + (1 << 16)], b[lo:lo + (1 << 16)]
+        often = (cell[x] == cell[y]).sum(axis=1) >= least
+        x, y = x[often], y[often]
+        met = (cell[x] == cell[y]) & (np.abs(value[x] - value[y]) <= half)
+        mine = (met.argmax(axis=1) == table) & (met.sum(axis=1) >= least)  # the pair's first table counts its link
+        x, y = x[mine], y[mine]
+        near = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
+        found.append((x[near], y[near]))
+    a, b = (np.concatenate(c) for c in zip(*found)) if found else (a, b)
     links = np.bincount(a, times[b], len(ids)) + np.bincount(b, times[a], len(ids))
     root = ids.copy()
     while len(a):
@@ -105,17 +110,17 @@ def near_duplicates(vectors: DataFrame, vec_id: Column, embedding: Column, thres
     """One row per vector: vec_id, n_links, component_id and kept."""
     plain = vectors.select(vec_id.cast("long").alias("vec_id"), embedding.cast("array<double>").alias("embedding"))
 
-    def pack(batches):
+    def packed(batches):
         schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.binary())])
         for batch in batches:
             out = []
             for i, e in zip(batch.column(0).to_pylist(), batch.column(1)):
                 x = None if i is None or not e.is_valid or e.values.null_count else e.values.to_numpy(zero_copy_only=False)
                 size = np.linalg.norm(x) if x is not None and len(x) else 0
-                out.append(x.tobytes() if np.isfinite(size) and size > 0 else None)
+                out.append(pack(x) if np.isfinite(size) and size > 0 else None)
             yield record(schema, batch.column(0), out)
 
-    rows = written(map_arrow(plain, pack, "vec_id long, vector binary"), "vectors")
+    rows = written(map_arrow(plain, packed, "vec_id long, vector binary"), "vectors")
     valid = rows.where("vector is not null")
     nodes = written(valid.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("times")), "distinct")
     signs, tables = calibrate(nodes.count(), threshold, recall, least)
@@ -124,7 +129,7 @@ def near_duplicates(vectors: DataFrame, vec_id: Column, embedding: Column, thres
         schema = pa.schema([("table", pa.int32()), ("cell", pa.int64()), ("length", pa.int32()), ("id", pa.int64()), ("times", pa.int64()), ("vector", pa.binary())])
         for batch in batches:
             vector, ids, times = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
-            size = np.array([len(v) for v in vector])
+            size = np.array([(len(v) - 1) // np.dtype(v[-1:].decode()).itemsize for v in vector])
             for n in np.unique(size):
                 mine = np.flatnonzero(size == n)
                 for lo in range(0, len(mine), 4096):
