@@ -144,6 +144,10 @@ def _parse(window: int):
                 open_ = repeated[which] & ~((starts >= begin[which]) & (starts + window <= end[which]))
                 s = starts[open_]
                 add(1, key, s, s + window, grams(w.hash, window)[s].view(np.int64))
+                if sum(map(len, out[0])) > 1 << 17:
+                    yield record(schema, *(np.concatenate(c) for c in out))
+                    for c in out:
+                        c.clear()
             yield record(schema, *(np.concatenate(c) if c else [] for c in out))
 
     return work, "kind byte, key long, start long, stop long, h long"
