@@ -1,8 +1,10 @@
 """Streaming semantics beyond the catalogue's stream = batch checks:
 late quotes within the watermark revise their bar; later than the watermark
-they are dropped; a replayed micro-batch does not change the upserted table."""
+they are dropped; a replayed micro-batch does not change the upserted table;
+results of two checkpoints do not overwrite each other."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -44,13 +46,52 @@ def test_late_quote_within_watermark_updates_bar(spark, tmp_dir):
     assert len(spark.read.parquet(table).collect()) == 3
 
 
-def test_replayed_batch_is_a_no_op(spark, tmp_dir):
+def test_replay_after_a_lost_commit(spark, tmp_dir):
+    """A micro-batch whose commit is missing from the checkpoint is run again:
+    the stream goes on and the table is as if it had run once."""
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/bars", f"{tmp_dir}/ckpt"
+    run = lambda: ST.run_bars_stream(spark, src, table, ckpt, width="1 hour", watermark="2 hours")
+    rows = lambda: sorted(tuple(r) for r in spark.read.parquet(table).collect())
+    for i, t in enumerate(("2025-01-02 10:05:00", "2025-01-02 11:10:00")):
+        spark.createDataFrame([q(i, t, 100.0 + i, 101.0 + i)], EV).write.mode("append").parquet(src)
+        run()
+    before = rows()
+    last = max((n for n in os.listdir(f"{ckpt}/commits") if n.isdigit()), key=int)
+    for n in (last, f".{last}.crc"):
+        if os.path.exists(f"{ckpt}/commits/{n}"):
+            os.remove(f"{ckpt}/commits/{n}")
+    run()
+    assert rows() == before
+    spark.createDataFrame([q(9, "2025-01-02 11:20:00", 300.0, 301.0)], EV).write.mode("append").parquet(src)
+    run()
+    assert max(r["h_mid"] for r in spark.read.parquet(table).collect()) == 300.5
+
+
+def test_upsert_sink_is_idempotent(spark, tmp_dir):
     table = f"{tmp_dir}/t"
     sink = ST.upsert_sink(spark, table, ["bar_date", "ts_minute", "instrument_id"], ["bar_date"], ["ts_minute"])
     df = spark.createDataFrame([(ts("2025-01-02 10:00:00"), 1, 1.0)], "ts_minute timestamp_ntz, instrument_id bigint, v double") \
         .withColumn("bar_date", F.to_date("ts_minute"))
     sink(df, 0)
-    sink(df.withColumn("v", F.lit(2.0)), 0)          # same batch id replayed with other content: skipped
+    sink(df, 0)
     assert [r["v"] for r in spark.read.parquet(table).collect()] == [1.0]
-    sink(df.withColumn("v", F.lit(3.0)), 1)          # a new batch upserts
+    sink(df.withColumn("v", F.lit(3.0)), 0)          # another stream's batch of the same number counts too
     assert [r["v"] for r in spark.read.parquet(table).collect()] == [3.0]
+
+
+def test_check_results_of_two_runs_stay(spark, tmp_dir):
+    src, table = f"{tmp_dir}/src", f"{tmp_dir}/checks"
+    spark.createDataFrame([(1, 5.0, 4.0)], "instrument_id bigint, bid_px double, ask_px double").write.parquet(src)
+    dim = spark.createDataFrame([(1,)], "instrument_id bigint")
+    for n in (1, 2):
+        ST.run_checks_stream(spark, src, "instrument_id bigint, bid_px double, ask_px double", dim, table, f"{tmp_dir}/ckpt{n}")
+    assert spark.read.parquet(table).filter("check_id = 'quotes.negative_spread'").agg(F.sum("violations")).first()[0] == 2
+
+
+def test_late_daily_bar_makes_no_roll(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/rolls", f"{tmp_dir}/ckpt"
+    day = lambda d, i: (dt.date(2025, 1, d), "ES_FRONT_CALENDAR", i)
+    for rows in ([day(2, 1), day(3, 1)], [day(6, 2)], [day(2, 7)], [day(7, 2)]):
+        spark.createDataFrame(rows, "trading_date date, contract_series string, underlying_instrument_id bigint").write.mode("append").parquet(src)
+        ST.run_roll_stream(spark, src, table, ckpt)
+    assert [(r["roll_date"], r["old_instrument_id"], r["new_instrument_id"]) for r in spark.read.parquet(table).collect()] == [(dt.date(2025, 1, 6), 1, 2)]

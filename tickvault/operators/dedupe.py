@@ -52,20 +52,30 @@ def dedupe_minute(df: DataFrame, symbol: str = "symbol", ts: str = "ts_event",
     return keep_first(d, [symbol, "ts_min"], order)
 
 
+def _absent(rows: DataFrame, there: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows whose key is not ``there``; null is a key value like any other, as
+    in the group-by of ``_pick``."""
+    k = there.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
+    same = F.lit(True)
+    for i, c in enumerate(key):
+        same = same & rows[c].eqNullSafe(k[f"_k{i}"])
+    return rows.join(k, same, "left_anti")
+
+
 def upsert_replace(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence) -> DataFrame:
     """W2 plan: ``insert or replace`` -- every key of ``new`` replaces the old
     row whole; inside ``new`` the last row by ``order`` wins."""
     latest = keep_last(new, key, order).select(*old.columns)
-    return old.join(latest.select(*key), list(key), "left_anti").unionByName(latest)
+    return _absent(old, latest, key).unionByName(latest)
 
 
 def upsert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence) -> DataFrame:
     """W3 plan: ``insert or ignore`` -- rows whose key exists are dropped;
     inside ``new`` the first row by ``order`` wins.  Returns the rows to append."""
     first = keep_first(new, key, order).select(*old.columns)
-    return first.join(old.select(*key), list(key), "left_anti")
+    return _absent(first, old, key)
 
 
 def insert_missing(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """Only keys not present in ``old`` (never overwrite)."""
-    return new.join(old.select(*key).distinct(), list(key), "left_anti")
+    return _absent(new, old.select(*key).distinct(), key)

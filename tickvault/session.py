@@ -8,11 +8,10 @@ never under a machine-local temporary folder.
 
 from __future__ import annotations
 
-import os
-import threading
+import sys
 import uuid
-import zipfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Defaults for local runs and tests.  On a cluster every one of these is
@@ -73,12 +72,12 @@ def shared_dir(spark: SparkSession) -> str:
     on a cluster an unset value is an error, because a machine-local folder
     would not survive the loss of an executor."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
+    if not d:            # a setting of the launched session: it cannot be changed, only the context's folder can
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a cluster-shared folder (staging, stream checkpoints)")
         import tempfile
-        d = tempfile.mkdtemp(prefix="tickvault-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickvault-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
@@ -89,34 +88,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tickvault/{name}-{uuid.uuid4().hex[:12]}"
 
 
-
-
-_shipped: set = set()
-_ship_lock = threading.Lock()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tickvault`` importable in Python workers (needed only by the
-    operators that run Python on executors, e.g. the ST5 state function).
-    The package is zipped once per SparkContext under the shared folder and
-    added with ``addPyFile``, which distributes it to every executor."""
-    sc = spark.sparkContext
-    key = id(sc._jsc)
-    with _ship_lock:
-        if key in _shipped:
-            return
-        pkg = os.path.dirname(os.path.abspath(__file__))
-        path = f"{shared_dir(spark)}/tickvault/pkg-{uuid.uuid4().hex[:12]}.zip"
-        local = path[len("file:"):] if path.startswith("file:") else path
-        os.makedirs(os.path.dirname(local), exist_ok=True)
-        with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
-            for root, _, files in os.walk(pkg):
-                for f in files:
-                    if f.endswith(".py"):
-                        full = os.path.join(root, f)
-                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-        sc.addPyFile(local)
-        _shipped.add(key)
+def ship_package(module: str) -> None:
+    """Send the functions of a module to Python workers by value (needed only
+    by operators that run Python on executors, e.g. the ST5 state function):
+    the package need not be installed there, and no file is shipped."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
 def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 256 << 20) -> int:

@@ -2,25 +2,30 @@
 
 Plain Parquet has no MERGE, so keyed writes are done partition-wise:
 
-1. read only the target partitions the batch touches (its distinct partition
-   values as a literal IN filter, which prunes directories at planning time),
-2. merge them with the batch (``dedupe.upsert_replace`` / ``upsert_ignore``),
-3. write the merged partitions to a staging table under the cluster-shared
-   ``spark.checkpoint.dir`` (this also cuts the lineage, so a lost executor
-   re-reads staging instead of recomputing the merge),
-4. overwrite exactly those partitions of the target from staging with
-   ``partitionOverwriteMode=dynamic``.
-
-The target is never read and overwritten by the same plan.  A rerun with the
-same batch gives the same table (idempotent).
+1. stage the batch once under the cluster-shared ``spark.checkpoint.dir`` (a
+   micro-batch is not computed again for its partition values),
+2. read only the target partitions the staged batch touches (its distinct
+   partition values as a literal filter, null included, which prunes
+   directories at planning time), with the batch's column types, so that a
+   partition value such as ``001`` stays the string it was,
+3. merge them with the batch (``dedupe.upsert_replace`` / ``upsert_ignore``),
+4. stage the merged partitions, which also cuts the lineage,
+5. overwrite exactly those partitions of the target from staging with
+   ``partitionOverwriteMode=dynamic``, and remove the staging tables.
+
+The target is never read and overwritten by the same plan.  An unpartitioned
+target is written beside the old one and then takes its place.  A rerun with
+the same batch gives the same table (idempotent).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..operators import dedupe
 from ..session import configure, scratch_path
@@ -31,27 +36,57 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(list_files(spark, path))
 
 
-def _sorted(df: DataFrame, sort_by: Sequence[str] | None) -> DataFrame:
-    """Sort rows within each output task so every Parquet file (and row
-    group) covers a narrow range of ``sort_by``: min/max statistics then let
-    later scans skip row groups, which replaces the reference's indexes."""
-    return df.sortWithinPartitions(*sort_by) if sort_by else df
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+
+
+def read_as(spark: SparkSession, path: str, types: StructType) -> DataFrame:
+    """A table with the types of the columns of ``types``; partition values
+    are read as such, never guessed from directory names."""
+    want = {f.name: f.dataType for f in types}
+    found = spark.read.parquet(path).schema
+    return spark.read.schema(StructType([StructField(f.name, want.get(f.name, f.dataType)) for f in found])).parquet(path)
+
+
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], sort_by: Sequence[str] | None) -> None:
+    """Rows are clustered by partition (a large one is split over several
+    tasks), and sorted by partition, then ``sort_by``: Spark keeps that order
+    when it writes partitions, so every file and row group covers a narrow
+    range of ``sort_by`` and later scans skip row groups by their statistics,
+    which replaces the reference's indexes."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None) -> None:
     """Plain insert."""
-    w = _sorted(df, sort_by).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    _write(df, path, "append", partition_by, sort_by)
+
+
+def _staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, f"staging-{tag}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def _touched(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows of the partitions present in the batch.
+    """Target rows of the partitions present in the (staged) batch.
 
     The batch's distinct partition values (one row per touched partition --
-    days or symbols, never data rows) become a literal ``IN`` filter, which
-    the planner turns into ``PartitionFilters`` so only those directories are
+    days or symbols, never data rows) become a literal filter, which the
+    planner turns into ``PartitionFilters`` so only those directories are
     listed and read.  A semi join against the batch would be simpler, but
     dynamic partition pruning does not fire for it without a selective
     predicate on the batch side (checked), so the whole target would be read.
@@ -59,30 +94,44 @@ def _touched(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str])
     if not partition_by:
         return existing
     vals = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
-    if not vals:
-        return existing.limit(0)
+    cond = F.lit(False)
     if len(partition_by) == 1:
-        return existing.filter(F.col(partition_by[0]).isin([v[0] for v in vals]))
-    cond = None
-    for v in vals:
-        c = None
-        for k, x in zip(partition_by, v):
-            e = F.col(k).eqNullSafe(F.lit(x))
-            c = e if c is None else (c & e)
-        cond = c if cond is None else (cond | c)
+        column, known = F.col(partition_by[0]), [v[0] for v in vals if v[0] is not None]
+        cond = column.isin(known) if known else cond
+        cond = cond | column.isNull() if len(known) < len(vals) else cond
+    else:
+        for v in vals:
+            one = F.lit(True)
+            for k, x in zip(partition_by, v):
+                one = one & F.col(k).eqNullSafe(F.lit(x))
+            cond = cond | one
     return existing.filter(cond)
 
 
+def _switch(spark: SparkSession, df: DataFrame, path: str, sort_by: Sequence[str] | None = None) -> None:
+    """Replace an unpartitioned table: written beside it, then renamed."""
+    beside = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+    _write(df, beside, "error", (), sort_by)
+    fs, old = _fs(spark, path)
+    fs.delete(old, True)
+    if not fs.rename(_fs(spark, beside)[1], old):
+        raise OSError(f"{beside} could not take the place of {path}")
+
+
 def _overwrite_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str],
                           tag: str, sort_by: Sequence[str] | None = None) -> None:
-    staging = scratch_path(spark, f"staging-{tag}")
-    merged.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    w = staged.hint("rebalance", *partition_by) if partition_by else staged
-    w = _sorted(w, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    staged, staging = _staged(merged, tag)
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        _write(staged, path, "overwrite", partition_by, sort_by)
+    else:
+        _switch(spark, staged, path, sort_by)
+    remove(spark, staging)
+
+
+def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Delete the partitions ``column=value`` of a table."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    remove(spark, *(f"{path}/{escape(column, None if v is None else str(v))}" for v in values))
 
 
 def upsert_replace(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
@@ -92,14 +141,14 @@ def upsert_replace(spark: SparkSession, batch: DataFrame, path: str, key: Sequen
     must be part of ``key`` so a key never moves between partitions."""
     configure(spark)
     if not _exists(spark, path):
-        fresh = dedupe.keep_last(batch, key, order)
-        w = _sorted(fresh, sort_by).write.mode("overwrite")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        _write(dedupe.keep_last(batch, key, order), path, "overwrite", partition_by, sort_by)
         return
-    existing = spark.read.parquet(path)
+    batch, staging = _staged(batch, "batch")
+    existing = read_as(spark, path, batch.schema)
     old = _touched(existing, batch, partition_by)
     merged = dedupe.upsert_replace(old, batch.select(*existing.columns), key, order)
     _overwrite_partitions(spark, merged, path, partition_by, "upsert", sort_by)
+    remove(spark, staging)
 
 
 def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
@@ -108,16 +157,14 @@ def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequenc
     existing row wins; inside the batch the first by ``order``)."""
     configure(spark)
     if not _exists(spark, path):
-        fresh = dedupe.keep_first(batch, key, order)
-        w = _sorted(fresh, sort_by).write.mode("overwrite")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        _write(dedupe.keep_first(batch, key, order), path, "overwrite", partition_by, sort_by)
         return
-    existing = spark.read.parquet(path)
+    batch, staging = _staged(batch, "batch")
+    existing = read_as(spark, path, batch.schema)
     old = _touched(existing, batch, partition_by)
-    new_rows = dedupe.upsert_ignore(old, batch.select(*existing.columns), key, order)
-    staging = scratch_path(spark, "append")
-    new_rows.write.mode("overwrite").parquet(staging)
-    append(spark.read.parquet(staging), path, partition_by, sort_by)
+    new_rows, fresh = _staged(dedupe.upsert_ignore(old, batch.select(*existing.columns), key, order), "append")
+    append(new_rows, path, partition_by, sort_by)
+    remove(spark, staging, fresh)
 
 
 def replace_by_key_list(old: DataFrame, src: DataFrame, keys: Sequence, col: str = "symbol") -> DataFrame:
@@ -130,11 +177,11 @@ def replace_by_key_list(old: DataFrame, src: DataFrame, keys: Sequence, col: str
 
 def replace_small_table(df: DataFrame, path: str) -> None:
     """Full replace of a configuration-sized table (the canonical map):
-    written to staging, then swapped in with one overwrite."""
+    written to staging, then beside the table, then renamed."""
     spark = df.sparkSession
-    staging = scratch_path(spark, "small-table")
-    df.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).coalesce(1).write.mode("overwrite").parquet(path)
+    staged, staging = _staged(df, "small-table")
+    _switch(spark, staged.coalesce(1), path)
+    remove(spark, staging)
 
 
 def create_like(df: DataFrame) -> DataFrame:
@@ -148,20 +195,27 @@ def insert_missing_dates(spark: SparkSession, batch: DataFrame, path: str, key:
     if not _exists(spark, path):
         append(batch, path, partition_by)
         return
-    existing = spark.read.parquet(path)
-    new_rows = dedupe.insert_missing(existing, batch.select(*existing.columns), key)
-    staging = scratch_path(spark, "missing")
-    new_rows.write.mode("overwrite").parquet(staging)
-    append(spark.read.parquet(staging), path, partition_by)
-
-
-def delete_days_and_rebuild(spark: SparkSession, rebuilt: DataFrame, path: str, day_col: str = "trading_date") -> None:
-    """Replace every partition (day) present in ``rebuilt`` with its rows
-    (dynamic partition overwrite); other days are untouched.  ``rebuilt`` may
-    read the target itself, so it is staged first (never read and overwrite
-    one path in a single plan)."""
+    batch, staging = _staged(batch, "batch")
+    existing = read_as(spark, path, batch.schema)
+    old = _touched(existing, batch, partition_by)
+    new_rows, fresh = _staged(dedupe.insert_missing(old, batch.select(*existing.columns), key), "missing")
+    append(new_rows, path, partition_by)
+    remove(spark, staging, fresh)
+
+
+def delete_days_and_rebuild(spark: SparkSession, rebuilt: DataFrame, path: str, day_col: str = "trading_date",
+                            days: Sequence | None = None) -> None:
+    """Replace partitions (days) by their rows in ``rebuilt``; of the
+    listed ``days``, those without rows there are deleted.  Other days are
+    untouched.  ``rebuilt`` may read the target itself, so it is staged first
+    (never read and overwrite one path in a single plan)."""
     configure(spark)
-    _overwrite_partitions(spark, rebuilt, path, [day_col], "rebuild")
+    staged, staging = _staged(rebuilt, "rebuild")
+    if days is not None:
+        present = {r[0] for r in staged.select(day_col).distinct().collect()}
+        _drop_partitions(spark, path, day_col, [d for d in days if d not in present])
+    _write(staged, path, "overwrite", [day_col], None)
+    remove(spark, staging)
 
 
 def write_by_trading_date(df: DataFrame, path: str, day_col: str = "trading_date") -> None:
@@ -210,10 +264,11 @@ def write_check_report(checks: DataFrame, report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(f"{path}/summary")
 
 
-def stamp_series(df: DataFrame, series_id: str, source: str, as_of) -> DataFrame:
+def stamp_series(df: DataFrame, series_id: str, source: str, as_of, order: Sequence[str]) -> DataFrame:
     """Add series id, source and last_updated, normalise the date, fix
-    the column order, one row per date (the last by input order)."""
-    d = df.withColumn("_i", F.monotonically_increasing_id()) \
+    the column order, one row per date (the last by the columns ``order``,
+    such as file and line; Spark keeps no input order of its own)."""
+    d = df.withColumn("_i", F.struct(*order)) \
           .withColumn("date", F.to_date(F.col("date"))) \
           .withColumn("series_id", F.lit(series_id)).withColumn("source", F.lit(source)) \
           .withColumn("last_updated", F.lit(as_of).cast("timestamp_ntz"))

@@ -8,9 +8,10 @@ deduplicates with a unique index.  Here:
   mid OHLC from quote events and the traded volume from trade events, so no
   stream-stream join is needed.  Late events within the watermark update
   their bar instead of being lost.
-* ST2 ``stream_dedupe``: ``dropDuplicatesWithinWatermark`` on the key.
-* ST3 ``stream_upsert``: ``foreachBatch`` calling the partition upsert (W2);
-  a batch id already committed is skipped, so a replayed batch is a no-op.
+* ST2 ``stream_dedupe``: ``dropDuplicatesWithinWatermark`` on the key.  Which
+  of a key's rows inside one micro-batch stays is open; the first batch wins.
+* ST3 ``stream_upsert``: ``foreachBatch`` calling the partition upsert (W2),
+  which is idempotent, so a replayed batch changes nothing.
 * ST4 ``stream_checks``: ``foreachBatch`` computing V1/V2 per micro-batch
   against a static dimension, appended to a check table.
 * ST5 ``stream_rolls``: ``applyInPandasWithState`` keyed by series, the state
@@ -82,16 +83,12 @@ def unify_quotes_trades(quotes: DataFrame, trades: DataFrame, key: str = "instru
 def upsert_sink(spark: SparkSession, path: str, key: Sequence[str], partition_by: Sequence[str],
                 order: Sequence[str]):
     """ST3: a ``foreachBatch`` function upserting each micro-batch into a
-    partitioned Parquet table (W2).  Committed batch ids are recorded next to
-    the table; a replayed batch id is skipped (idempotent)."""
-    done_dir = f"{path}__batches"
+    partitioned Parquet table (W2).  The upsert is idempotent, so a replayed
+    micro-batch is simply written again: it must be run, since the stream's
+    state store expects every partition of the batch to be computed."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        marker = f"{done_dir}/{batch_id}"
-        if sinks._exists(spark, marker):
-            return
         sinks.upsert_replace(spark, batch, path, key, partition_by, order)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
     return fn
 
 
@@ -124,7 +121,7 @@ def run_dedupe_stream(spark: SparkSession, source: str, table: str, checkpoint:
 
 def checks_sink(spark: SparkSession, dim: DataFrame, table: str, key: str = "instrument_id"):
     """ST4: per micro-batch V1 (negative spread) and V2 (unlinked, a
-    stream-static anti join), stored under the batch id (idempotent)."""
+    stream-static anti join), stored under query and batch id (idempotent)."""
     dim_keys = dim.select(key).distinct()
 
     def fn(batch: DataFrame, batch_id: int) -> None:
@@ -132,10 +129,12 @@ def checks_sink(spark: SparkSession, dim: DataFrame, table: str, key: str = "ins
             .select(F.lit("quotes.negative_spread").alias("check_id"), "v")
         v2 = batch.select(key).join(dim_keys, key, "left_anti").agg(F.count(F.lit(1)).alias("v")) \
             .select(F.lit("quotes.unlinked").alias("check_id"), "v")
-        # One directory per batch id, overwritten: a replayed batch rewrites
-        # its own rows instead of appending them twice.
+        # One directory per query (its checkpoint's id) and batch id, overwritten:
+        # a replayed batch rewrites its own rows instead of appending them twice,
+        # and another query's batch of the same number stays.
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
         v1.unionByName(v2).select("check_id", F.col("v").cast("long").alias("violations")) \
-            .write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+            .write.mode("overwrite").parquet(f"{table}/query_id={run}/batch_id={batch_id}")
     return fn
 
 
@@ -148,19 +147,26 @@ def run_checks_stream(spark: SparkSession, source: str, schema: str, dim: DataFr
 
 ROLL_SCHEMA = ("contract_series string, rank int, roll_date date, old_instrument_id bigint, "
                "new_instrument_id bigint")
-ROLL_STATE = "last_id bigint, last_date date"
+ROLL_STATE = "last_id bigint, last_date date, late_rows bigint"
 
 
 def _roll_state_fn(key, pdfs, state):
     """Per series: this batch's rows in date order, compared (vectorised)
     with the previous row, the first one with the stored last id; emits
-    (series, rank, date, old, new) at every change."""
+    (series, rank, date, old, new) at every change.  Rows not later than the
+    stored date came too late to be compared with their neighbours: they emit
+    nothing and are counted in the state."""
     series = key[0]
-    last_id = state.get[0] if state.exists else None
+    last_id, last_date, late = state.get if state.exists else (None, None, 0)
     cols = ["contract_series", "rank", "roll_date", "old_instrument_id", "new_instrument_id"]
     df = pd.concat(list(pdfs), ignore_index=True)
     df = df[df["underlying_instrument_id"].notna()].sort_values("trading_date", kind="stable")
+    if last_date is not None:
+        old = df["trading_date"] <= last_date
+        late, df = late + int(old.sum()), df[~old]
     if df.empty:
+        if last_id is not None:
+            state.update((last_id, last_date, late))
         yield pd.DataFrame(columns=cols)
         return
     ids = df["underlying_instrument_id"].astype("int64").to_numpy()
@@ -170,14 +176,14 @@ def _roll_state_fn(key, pdfs, state):
     out = pd.DataFrame({"contract_series": series, "rank": df["rank"].to_numpy()[m].astype("int32"),
                         "roll_date": df["trading_date"].to_numpy()[m], "old_instrument_id": prev[m],
                         "new_instrument_id": ids[m]})
-    state.update((int(ids[-1]), df["trading_date"].iloc[-1]))
+    state.update((int(ids[-1]), df["trading_date"].iloc[-1], late))
     yield out[cols]
 
 
 def roll_stream(bars: DataFrame) -> DataFrame:
     """ST5: roll rows from a stream of daily bars arriving in date order per
     series (late, older bars are not re-ordered against the state)."""
-    ship_package(bars.sparkSession)          # the state function runs in Python workers
+    ship_package(__name__)                   # the state function runs in Python workers
     b = bars.select("contract_series", series_rank("contract_series").alias("rank"), "trading_date",
                     "underlying_instrument_id")
     return b.groupBy("contract_series").applyInPandasWithState(
