@@ -106,7 +106,7 @@ def test_check_report_files_and_tables_exist(spark, tmp_dir):
     assert spark.read.json(f"{tmp_dir}/report/summary").first()["overall_status"] == "FAIL"
     ex = {r["check_id"]: r["status"] for r in checks.tables_exist(
         spark, {"report": f"{tmp_dir}/report", "absent": f"{tmp_dir}/absent"}).collect()}
-    assert ex == {"schema.table_exists.report": "PASS", "schema.table_exists.absent": "FAIL"}
+    assert ex == {"schema.table.report": "PASS", "schema.table.absent": "FAIL"}
     crit = checks.critical_only(spark.createDataFrame(
         [("a", "n", "FAIL", "HARD", 1, "Warning: no bid/ask"), ("b", "n", "FAIL", "HARD", 1, "3 violations"),
          ("c", "n", "PASS", "HARD", 0, "ok")], checks.CHECK_SCHEMA))
@@ -132,7 +132,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     wh.ingest("ES_FUTURES_MDP3", src)                      # quotes: insert-or-ignore, idempotent
     nq = wh.table("f_fut_quote_l1").count()
     assert nq == q.select("ts_event", "instrument_id").distinct().count()
-    assert wh.table("dim_fut_instrument").count() == 9
+    assert wh.table("dim_fut_instrument").count() == t["fx_fut_instrument"].count()
     wh.build("ES_FUTURES_MDP3", width_seconds=3600)
     wh.build("ES_FUTURES_MDP3", width_seconds=3600)         # rebuild from the high-water mark
     got = sorted(tuple(r) for r in wh.table("g_fut_bar_1m").drop("bar_date").collect())
@@ -149,13 +149,16 @@ def test_jobs_end_to_end(spark, tmp_dir):
     wh.ingest_daily_universe(raw, ["arrival"])
     assert wh.table("g_continuous_bar_daily").count() == t["fx_bar_daily"].count()
     # Z5 diagnostics
+    assert wh.validate("ES_OPTIONS_MDP3").filter("status = 'FAIL'").count() == 3
+    empty, rep = Warehouse(spark, f"{tmp_dir}/empty").diagnostics()
+    assert empty.count() == 4 and rep.first()["exit_code"] == 2
     chk, rep = wh.diagnostics()
     assert rep.first()["total_checks"] == chk.count()
     # Z8 metadata + rolls
     wh.refresh_metadata(t["fx_symbol_map"], "2026-01-01 00:00:00")
     assert wh.table("dim_roll_dates").count() > 0
     # Z6 index update with a fallback source
-    cand = t["fx_index_new"].withColumn("priority", F.lit(1))
+    cand = t["fx_index_new"].withColumn("priority", F.lit(1)).withColumn("source", F.lit("a"))
     status = wh.update_index_series(cand, "2001-12-01", allow_fatal=True)
     assert status.count() == cand.select("series_id").distinct().count()
     # Z7 sync two symbols from another warehouse

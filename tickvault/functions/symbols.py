@@ -77,7 +77,8 @@ def parse_native_symbol(symbol="native_symbol", single_digit_base: int = 2000) -
     root = F.regexp_extract(s, NATIVE_SYMBOL_RE, 1)
     code = F.upper(F.regexp_extract(s, NATIVE_SYMBOL_RE, 2))
     digits = F.regexp_extract(s, NATIVE_SYMBOL_RE, 3)
-    n = digits.cast("int")
+    n = digits.try_cast("int")            # null beyond an int, and no year beyond 2199
+    n = F.when(n < 300, n)
     year = (F.when(F.length(digits) == 1, F.lit(single_digit_base) + n)
             .when(n <= 50, F.lit(2000) + n)
             .otherwise(F.lit(1900) + n))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
@@ -46,6 +46,12 @@ FACT_KEYS = [
     ("f_fred_observations", ["series_id", "date"]),
 ]
 NEGATIVE_PRICE_ROOT = "CL"   # the root whose prices may be negative
+# Check ids and names of the single checks.
+CANONICAL_UNIQUE_CHECK = ("canonical.view.unique_root_date", "Canonical daily view: unique (root, trading_date)")
+MAPPING_CHECK = ("canonical.mapping.sync", "Canonical mapping matches configs/canonical_series.yaml")
+PRESENCE_CHECK = ("canonical.view.presence_recent_window", "Canonical daily view: non-optional roots present in window")
+SESSION_POPULATED_CHECK = ("calendar.dim_session.populated", "dim_session populated (data-derived calendar)")
+SESSION_FRESH_CHECK = ("calendar.dim_session.fresh", "dim_session includes latest continuous daily date")
 # ---------------------------------------------------------------------------
 
 
@@ -150,16 +156,16 @@ def canonical_unique(canonical_bars: DataFrame) -> DataFrame:
     """V6: duplicate (root, trading_date) groups in the canonical view."""
     one = canonical_bars.groupBy("root", "trading_date").agg(F.count(F.lit(1)).alias("n")) \
         .agg(F.count_if(F.col("n") > 1).alias("v"))
-    return unpivot_checks(one, [("canonical.view.unique_root_date",
-                                 "Canonical daily view: unique (root, trading_date)", "HARD", "v")],
+    return unpivot_checks(one, [(*CANONICAL_UNIQUE_CHECK, "HARD", "v")],
                           unit="duplicate root-date groups")
 
 
 def canonical_presence(canonical_bars: DataFrame, canonical_map: DataFrame, start, end) -> DataFrame:
     """V7: per canonical root: last trading date, rows in [start, end], and
     whether a required root is missing from the window.  One group-by over the
-    bars instead of two queries per root."""
-    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
+    bars instead of two queries per root.  The bounds may be columns, such as
+    scalars of ``coverage.default_window_df``."""
+    s, e = (x if isinstance(x, Column) else F.lit(x).cast("date") for x in (start, end))
     per_root = canonical_bars.groupBy("root").agg(
         F.max("trading_date").alias("last_trading_date"),
         F.count_if((F.col("trading_date") >= s) & (F.col("trading_date") <= e)).alias("rows_in_window"))
@@ -187,6 +193,25 @@ def mapping_diff(expected: DataFrame, actual: DataFrame, key: str = "root",
             .filter(F.col("diff").isNotNull())
 
 
+def mapping_check(expected: DataFrame, actual: DataFrame, key: str = "root",
+                  fields: Sequence[str] = ("contract_series", "optional")) -> DataFrame:
+    """V8 as a check row: how many roots differ."""
+    one = mapping_diff(expected, actual, key, fields).agg(F.count(F.lit(1)).alias("v"))
+    return unpivot_checks(one, [(*MAPPING_CHECK, "HARD", "v")], unit="roots that differ")
+
+
+def presence_check(canonical_bars: DataFrame, canonical_map: DataFrame, days: int) -> DataFrame:
+    """V7 as a check row: required roots without a row in the last ``days``
+    days (C27); a warning only."""
+    last = canonical_bars.agg(F.max("trading_date").alias("_end"))
+    rows = canonical_bars.withColumn("_end", last.scalar())
+    recent = rows.filter(F.col("trading_date") > F.date_sub("_end", days)).select("root").distinct()
+    required = canonical_map.filter(~F.col("optional")).select("root").distinct()
+    one = required.join(recent, "root", "left_anti").agg(F.count(F.lit(1)).alias("v"))
+    return unpivot_checks(one, [(*PRESENCE_CHECK, "WARN", "v")], unit="required roots without rows") \
+        .withColumn("status", F.when(F.col("status") == "FAIL", "WARN").otherwise(F.col("status")))
+
+
 def session_fresh(session: DataFrame, bars: DataFrame) -> DataFrame:
     """V9: the session table is empty while bars exist; its max date is behind
     the bars' max date."""
@@ -197,8 +222,7 @@ def session_fresh(session: DataFrame, bars: DataFrame) -> DataFrame:
                    F.when(F.col("bars_max").isNull(), F.lit(None))
                     .when(F.col("sess_max").isNull() | (F.col("sess_max") < F.col("bars_max")), 1)
                     .otherwise(0).alias("fresh"))
-    return unpivot_checks(one, [("calendar.dim_session.populated", "dim_session populated (data-derived calendar)", "HARD", "populated"),
-                                ("calendar.dim_session.fresh", "dim_session includes latest continuous daily date", "HARD", "fresh")])
+    return unpivot_checks(one, [(*SESSION_POPULATED_CHECK, "HARD", "populated"), (*SESSION_FRESH_CHECK, "HARD", "fresh")])
 
 
 def tables_exist(spark: SparkSession, required: dict[str, str]) -> DataFrame:
@@ -214,36 +238,87 @@ def tables_exist(spark: SparkSession, required: dict[str, str]) -> DataFrame:
                 ok = bool(spark.catalog.tableExists(where))
             except Exception:  # noqa: BLE001 -- not a valid table identifier
                 ok = False
-        rows.append((f"schema.table_exists.{name}", f"Table exists: {name}", "PASS" if ok else "FAIL",
+        rows.append((f"schema.table.{name}", f"Table exists: {name}", "PASS" if ok else "FAIL",
                      "HARD", 0 if ok else 1, "ok" if ok else "missing"))
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 
-def quote_window_checks(quotes: DataFrame, symbol: str = "symbol", arrival: str = "event_id",
-                        chunk_width: int = 1 << 20, max_span_minutes: int = 10,
-                        options_only: bool = False) -> DataFrame:
-    """Per symbol -- rows, first/last time, span over ``max_span_minutes``,
-    distinct Chicago dates, backward time steps in arrival order (the
-    reference sorts by time first, so its check cannot fire; Q10), and null
-    bid/ask rows for symbols with at least two rows.  The backward-step lag is
-    chunked by arrival number, so a hot symbol is spread over many tasks."""
+def view_exists(spark: SparkSession, name: str, view: DataFrame | None) -> DataFrame:
+    """V10 for a view: a frame the caller could build, or a catalog view."""
+    ok = view is not None or bool(spark.catalog.tableExists(name))
+    return spark.createDataFrame([(f"schema.view.{name}", f"View exists: {name}", "PASS" if ok else "FAIL", "HARD", 0 if ok else 1,
+                                   "ok" if ok else "missing")], CHECK_SCHEMA)
+
+
+def _window_quotes(quotes: DataFrame, symbol: str, arrival: str, options_only: bool) -> DataFrame:
     from .normalize import normalize_quote_columns
-    from .windows import lag_chunked
     from ..functions.symbols import is_option_symbol
     q = normalize_quote_columns(quotes)
     if options_only:
         q = q.filter(is_option_symbol(symbol))
-    q = q.select(symbol, arrival, "ts_event", "bid_px", "ask_px")
-    lagged = lag_chunked(q, [symbol], arrival, "ts_event", chunk_width, out="prev_ts")
-    per = lagged.groupBy(symbol).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("ts_event").alias("first_ts"), F.max("ts_event").alias("last_ts"),
-        F.count_distinct(F.to_date(local_ts("ts_event"))).alias("chicago_dates"),
-        F.count_if(F.col("ts_event") < F.col("prev_ts")).alias("backward_steps"),
-        F.count_if(F.col("bid_px").isNull() | F.col("ask_px").isNull()).alias("_nulls"))
-    span_s = F.unix_seconds(F.col("last_ts").cast("timestamp")) - F.unix_seconds(F.col("first_ts").cast("timestamp"))
-    return per.select(symbol, "n_rows", "first_ts", "last_ts",
-                      (span_s > max_span_minutes * 60).alias("span_too_wide"), "chicago_dates", "backward_steps",
-                      F.when(F.col("n_rows") >= 2, F.col("_nulls")).otherwise(F.lit(0)).alias("null_bid_ask"))
+    return q.select(symbol, arrival, "ts_event", "bid_px", "ask_px")
+
+
+def _window_frame(q: DataFrame, max_span_minutes: int) -> DataFrame:
+    """One row about the whole frame: rows, is its span too wide, how many
+    Chicago dates."""
+    span_s = F.unix_seconds(F.max("ts_event").cast("timestamp")) - F.unix_seconds(F.min("ts_event").cast("timestamp"))
+    return q.agg(F.count(F.lit(1)).alias("rows"), (span_s > max_span_minutes * 60).alias("span_too_wide"),
+                 F.count_distinct(F.to_date(local_ts("ts_event"))).alias("chicago_dates"))
+
+
+def _window_symbols(q: DataFrame, symbol: str, arrival: str, chunk_width: int) -> DataFrame:
+    """Per symbol rows, first/last time, backward steps in arrival order and
+    null bid/ask rows.  Ticks are shuffled once, by (symbol, range of arrival
+    numbers); steps between ranges come from one row per range."""
+    ordered = Window.partitionBy(symbol, "_chunk").orderBy(arrival)
+    c = q.withColumn("_chunk", F.floor(F.col(arrival) / F.lit(chunk_width)).cast("long")) \
+         .withColumn("_prev", F.lag("ts_event").over(ordered))
+    ts = F.struct(F.col("ts_event").alias("t"))
+    per_chunk = c.groupBy(symbol, "_chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts_event").alias("first_ts"), F.max("ts_event").alias("last_ts"),
+        F.min_by(ts, arrival)["t"].alias("_opens"), F.max_by(ts, arrival)["t"].alias("_closes"),
+        F.count_if(F.col("ts_event") < F.col("_prev")).alias("steps"),
+        F.count_if(F.col("bid_px").isNull() | F.col("ask_px").isNull()).alias("nulls"))
+    before = F.lag("_closes").over(Window.partitionBy(symbol).orderBy("_chunk"))
+    return per_chunk.withColumn("_step", F.when(F.col("_opens") < before, 1).otherwise(0)).groupBy(symbol).agg(
+        F.sum("n").alias("n_rows"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        (F.sum("steps") + F.sum("_step")).alias("backward_steps"), F.sum("nulls").alias("_nulls")) \
+        .withColumn("null_bid_ask", F.when(F.col("n_rows") >= 2, F.col("_nulls")).otherwise(F.lit(0))).drop("_nulls")
+
+
+def quote_window_checks(quotes: DataFrame, symbol: str = "symbol", arrival: str = "event_id",
+                        chunk_width: int = 1 << 20, max_span_minutes: int = 10,
+                        options_only: bool = False) -> DataFrame:
+    """Per symbol -- rows, first/last time, backward time steps in arrival
+    order (the reference sorts by time first, so its check cannot fire; Q10),
+    null bid/ask rows for symbols with at least two rows; and of the whole
+    frame, repeated in each row, whether it spans over ``max_span_minutes`` and
+    how many Chicago dates it has."""
+    q = _window_quotes(quotes, symbol, arrival, options_only)
+    frame = _window_frame(q, max_span_minutes)
+    return _window_symbols(q, symbol, arrival, chunk_width).select(
+        symbol, "n_rows", "first_ts", "last_ts", frame.select("span_too_wide").scalar().alias("span_too_wide"),
+        frame.select("chicago_dates").scalar().alias("chicago_dates"), "backward_steps", "null_bid_ask")
+
+
+def quote_window_report(quotes: DataFrame, symbol: str = "symbol", arrival: str = "event_id", chunk_width: int = 1 << 20,
+                        max_span_minutes: int = 10, options_only: bool = False) -> DataFrame:
+    """V11 as check rows: no (option) rows left, window too wide, several
+    Chicago dates, symbols with backward steps, symbols with null prices."""
+    q = _window_quotes(quotes, symbol, arrival, options_only)
+    frame = _window_frame(q, max_span_minutes)
+    per = _window_symbols(q, symbol, arrival, chunk_width).agg(
+        F.count_if(F.col("backward_steps") > 0).alias("backward"), F.count_if(F.col("null_bid_ask") > 0).alias("nulls"))
+    one = frame.select(F.when(F.col("rows") == 0, 1).otherwise(0).alias("empty"),
+                       F.when(F.col("span_too_wide"), 1).otherwise(0).alias("wide"),
+                       F.when(F.col("chicago_dates") > 1, F.col("chicago_dates") - 1).otherwise(0).alias("dates"),
+                       per.select("backward").scalar().alias("backward"), per.select("nulls").scalar().alias("nulls"))
+    return unpivot_checks(one, [("quotes.window.empty", "Quote window: rows left after filtering", "HARD", "empty"),
+                                ("quotes.window.span", f"Quote window: at most {max_span_minutes} minutes", "HARD", "wide"),
+                                ("quotes.window.dates", "Quote window: one Chicago date", "HARD", "dates"),
+                                ("quotes.window.order", "Quote window: time never steps back in a symbol", "HARD", "backward"),
+                                ("quotes.window.prices", "Quote window: bid and ask present", "HARD", "nulls")])
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

@@ -338,19 +338,10 @@ def root_ranges(canonical: DataFrame, canonical_map: DataFrame) -> DataFrame:
 
 
 def default_window_df(canonical: DataFrame, days: int) -> DataFrame:
-    """C27 as a one-row frame (lazy): [last canonical date - days, last date]."""
+    """C27 as a one-row frame (lazy): the ``days`` days that end at the last
+    canonical date, both bounds inclusive."""
     return canonical.agg(F.max("trading_date").alias("window_end")) \
-        .select(F.date_sub("window_end", days).alias("window_start"), "window_end")
-
-
-def default_window(canonical: DataFrame, days: int):
-    """The ``days``-long window ending at the last canonical date.
-    One scalar aggregate (Parquet min/max statistics can answer it)."""
-    import datetime as dt
-    end = canonical.agg(F.max("trading_date").alias("m")).first()["m"]
-    if end is None:
-        return None, None
-    return end - dt.timedelta(days=days), end
+        .select(F.date_sub("window_end", days - 1).alias("window_start"), "window_end")
 
 
 def option_file_profile(quotes: DataFrame, file_col: str = "file") -> DataFrame:

@@ -6,7 +6,8 @@ import importlib
 
 from .registry import REGISTRY, oracle_text, spark_fn
 
-MODULES = ["q_bars", "q_checks", "q_symbols", "q_windows", "q_rolls", "q_calendar", "q_coverage", "q_curves", "q_io", "q_streams"]
+MODULES = ["q_bars", "q_checks", "q_symbols", "q_windows", "q_rolls", "q_calendar", "q_coverage", "q_curves", "q_io", "q_streams",
+           "q_jobs"]
 
 for _m in MODULES:
     importlib.import_module(f"{__package__}.{_m}")

@@ -25,21 +25,21 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 FIXTURES: dict[str, str] = {}
 
 FIXTURES["fx_quotes"] = """
-select event_id, ts as ts_event, ts as ts_rcv, user_id % 10 as instrument_id,
+select event_id, ts as ts_event, ts as ts_rcv, user_id as instrument_id,
  case when event_id % 97 = 0 then null else value end as bid_px, cast(event_id % 50 + 1 as double) as bid_sz,
  value + (event_id % 5 - 1) * cast(0.25 as double) as ask_px, cast(event_id % 40 + 1 as double) as ask_sz
  from events where event_type <> 'purchase'
 """
 
 FIXTURES["fx_trades"] = """
-select event_id, ts as ts_event, ts as ts_rcv, user_id % 10 as instrument_id, value as last_px,
+select event_id, ts as ts_event, ts as ts_rcv, user_id as instrument_id, value as last_px,
  cast(event_id % 10 + 1 as double) as last_sz, case event_id % 3 when 0 then 'B' when 1 then 'A' else 'N' end as aggressor
  from events where event_type = 'purchase'
 """
 
 FIXTURES["fx_fut_instrument"] = """
 select p_partkey as instrument_id, 'ES' as root, concat('ES', substr('HMUZ', cast(p_partkey % 4 + 1 as int), 1), cast(p_partkey % 10 as varchar(4))) as symbol_feed,
- case when p_partkey % 3 = 0 then null else cast(0.25 as double) end as tick_size from part where p_partkey < 9
+ case when p_partkey % 3 = 0 then null else cast(0.25 as double) end as tick_size from part where p_partkey % 10 <> 9
 """
 
 FIXTURES["fx_ohlcv_raw"] = """
@@ -68,7 +68,7 @@ select cast(o_orderdate as date) as date, case substr(o_orderpriority, 1, 1) whe
 """
 
 FIXTURES["fx_definition_raw"] = """
-select p_partkey % 400 as instrument_id, concat('SYM', cast(p_partkey % 350 as varchar(8))) as native_symbol, p_brand as asset,
+select cast(floor(p_partkey / 5) as bigint) as instrument_id, concat('SYM', cast(p_partkey % 350 as varchar(8))) as native_symbol, p_brand as asset,
  date '2020-01-01' as base_date, p_size as age_days, p_partkey as seq, p_retailprice as min_price_increment_amount from part
 """
 

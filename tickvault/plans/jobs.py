@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators import bars as B
@@ -18,7 +19,7 @@ from ..operators import checks as V
 from ..operators import index_quality as IQ
 from ..operators import instruments as I
 from ..operators import rolls as L
-from ..operators.calendar import month_complete
+from ..operators.curves import canonical_bars
 from ..session import configure, size_shuffle_partitions
 from ..sources import readers as R
 from ..sources import sinks as W
@@ -54,6 +55,12 @@ PRODUCTS = {
 # ---------------------------------------------------------------------------
 
 
+#: Types of the columns that tables are partitioned by: without them Spark
+#: would guess from directory names (a symbol ``001`` would become 1).
+PARTITION_TYPES = StructType().add("trade_date", "date").add("bar_date", "date").add("month", "string") \
+    .add("symbol", "string").add("series_id", "string")
+
+
 class Warehouse:
     """Table name -> ``<root>/<name>`` Parquet directory."""
 
@@ -66,12 +73,13 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame | None:
         p = self.path(name)
-        return self.spark.read.parquet(p) if R.list_files(self.spark, p) else None
+        return W.read_as(self.spark, p, PARTITION_TYPES) if R.list_files(self.spark, p) else None
 
     # Z1 ---------------------------------------------------------------------
     def ingest(self, product: str, source: str) -> None:
         """Load instruments (upsert on id), quotes (insert-or-ignore on
-        (ts_event, key), partitioned by UTC date) and trades (append)."""
+        (ts_event, key), partitioned by UTC date) and trades (append, as in
+        the reference: trades have no key, so a rerun doubles them)."""
         p = PRODUCTS[product]
         s = self.spark
         size_shuffle_partitions(s, source)
@@ -132,73 +140,108 @@ class Warehouse:
             return None
         p = PRODUCTS[product]
         q, t, d = self.table(p.quote_table), self.table(p.trade_table), self.table(p.instrument_table)
-        out = V.unlinked({"quotes": q, "trades": t} if t is not None else {"quotes": q}, d, p.key)
-        if product == "ES_OPTIONS_MDP3":
+        facts = {n: x for n, x in (("quotes", q), ("trades", t)) if x is not None}
+        if not facts or d is None:               # nothing to link, or nothing to link with: say which table is missing
+            return V.tables_exist(self.spark, {n: self.path(n) for n in (p.instrument_table, p.quote_table, p.trade_table)})
+        out = V.unlinked(facts, d, p.key)
+        if product == "ES_OPTIONS_MDP3" and q is not None:
             out = V.negative_spread(q).unionByName(out)
         return out
 
     # Z4 ---------------------------------------------------------------------
     def ingest_daily_universe(self, raw: DataFrame, order: list[str]) -> None:
-        """All raw daily rows at once -> month batches (B6) -> months not
-        yet complete (G5b) -> upsert into the daily bar table (W2)."""
+        """All raw daily rows at once -> month batches (B6) -> months in
+        which a (series, date) is still missing -> upsert into the daily bar
+        table (W2).  A month that other series have filled is not complete
+        for a new one."""
         batch = B.daily_consolidate_month(raw, order)
         loaded = self.table("g_continuous_bar_daily")
         if loaded is not None:
-            comp = month_complete(batch.select(F.col("trading_date").alias("date")),
-                                  loaded.select(F.col("trading_date").alias("date")))
-            todo = comp.filter(~F.col("complete")).select("month")
-            batch = batch.join(todo, "month", "left_semi")
+            key = ["contract_series", "trading_date"]
+            missing = batch.join(loaded.select(*key).distinct(), key, "left_anti").select("contract_series", "month").distinct()
+            batch = batch.join(missing, ["contract_series", "month"], "left_semi")
         W.upsert_replace(self.spark, batch.drop("month").withColumn("month", F.date_format("trading_date", "yyyy-MM")),
                          self.path("g_continuous_bar_daily"), ["month", "trading_date", "contract_series"], ["month"],
                          ["trading_date"])
 
     # Z5 ---------------------------------------------------------------------
-    def diagnostics(self) -> tuple[DataFrame, DataFrame]:
-        """All checks, then the roll-up (exit code 2 on a hard failure)."""
-        names = [t for t, _ in V.FACT_KEYS]
-        tables = {n: self.table(n) for n in names}
-        parts = []
-        if any(v is not None for v in tables.values()):
-            parts.append(V.duplicate_keys(tables))
-        bars = tables.get("g_continuous_bar_daily")
-        if bars is not None:
-            parts.append(V.daily_bar_violations(bars))
-        sess = self.table("dim_session")
+    def diagnostics(self, canonical_config: DataFrame | None = None, window_days: int = 30) -> tuple[DataFrame, DataFrame]:
+        """All checks, then the roll-up (exit code 2 on a hard failure):
+        tables and the canonical view exist (V10), mapping sync (V8, against
+        ``canonical_config``), session (V9), daily bars (V3), canonical
+        uniqueness (V6) and presence (V7) in the last ``window_days`` (C27),
+        unique keys (V5).  A missing table fails its own check; what needs it
+        is skipped."""
+        required = ["dim_session", "g_continuous_bar_daily", "dim_canonical_map"]
+        bars, sess, mapping = (self.table(n) for n in ("g_continuous_bar_daily", "dim_session", "dim_canonical_map"))
+        view = canonical_bars(bars, mapping) if bars is not None and mapping is not None else None
+        parts = [V.tables_exist(self.spark, {n: self.path(n) for n in required}),
+                 V.view_exists(self.spark, "v_canonical_continuous_bar_daily", view)]
+        if canonical_config is not None and mapping is not None:
+            parts.append(V.mapping_check(canonical_config, mapping))
         if sess is not None and bars is not None:
             parts.append(V.session_fresh(sess, bars))
+        if bars is not None:
+            parts.append(V.daily_bar_violations(bars))
+        if view is not None:
+            parts.append(V.canonical_unique(view))
+            parts.append(V.presence_check(view, mapping, window_days))
+        facts = {t: self.table(t) for t, _ in V.FACT_KEYS}
+        if any(v is not None for v in facts.values()):
+            parts.append(V.duplicate_keys(facts))
         checks = parts[0]
         for p in parts[1:]:
             checks = checks.unionByName(p)
         return checks, V.check_report(checks)
 
     # Z6 ---------------------------------------------------------------------
-    def update_index_series(self, candidates: DataFrame, as_of, allow_fatal: bool = False) -> DataFrame:
-        """Per series choose the source (I6), check freshness (I2) and
-        quality (I1), compare with stored history (I3), merge new-wins (I4)
-        and write; series with a fatal issue are not written unless
-        ``allow_fatal``.  Returns the per-series status."""
+    def update_index_series(self, candidates: DataFrame, as_of, allow_fatal: bool = False, allow_history_change: bool = False,
+                            is_backfill: bool = False, start=None, end=None) -> DataFrame:
+        """Per series choose the source (I6), check freshness (I2, with the
+        row minimum of a backfill) and quality (I1), compare with stored
+        history (I3), merge new-wins (I4), write, and rewrite the manifest
+        (W11).  A series with a fatal issue is not written unless
+        ``allow_fatal``, nor is one whose stored values the source changed
+        unless ``allow_history_change``.  Rows that do not change keep their
+        source and last_updated.  Returns the per-series status.
+
+        ``candidates``: series_id, date, value, source, priority."""
         chosen = IQ.source_fallback(candidates)
-        fresh = IQ.index_freshness(chosen, as_of, False)
-        ok = chosen.join(fresh.filter(F.lit(allow_fatal) | ~F.col("fatal")).select("series_id"), "series_id", "left_semi")
+        status = IQ.index_freshness(chosen, as_of, is_backfill, start, end)
+        quality = IQ.index_quality(chosen.withColumn("_arrival", F.struct("date", "value")), "_arrival")
+        status = status.join(quality, "series_id", "left")
         stored = self.table("f_index_observations")
-        new = ok.select("date", "series_id", "value")
-        merged = IQ.merge_new_wins(stored.select("date", "series_id", "value"), new) if stored is not None else new
-        stamped = merged.withColumn("source", F.lit("index")).withColumn("last_updated", F.lit(as_of).cast("timestamp_ntz"))
-        W.upsert_replace(self.spark, stamped, self.path("f_index_observations"), ["series_id", "date"], ["series_id"], ["date"])
-        return fresh
+        if stored is not None:
+            changes = IQ.history_changes(stored.select("date", "series_id", "value"), chosen.select("date", "series_id", "value"))
+            status = status.join(changes, "series_id", "left")
+        else:
+            status = status.withColumn("overlap_dates", F.lit(0).cast("long")).withColumn("changed_dates", F.lit(0).cast("long"))
+        changed = F.coalesce("changed_dates", F.lit(0)) > 0
+        status = status.withColumn("history_changed", changed) \
+            .withColumn("written", (F.lit(allow_fatal) | ~F.col("fatal")) & (F.lit(allow_history_change) | ~changed))
+        status, staging = W._staged(status, "status")     # asked after the write as it was before
+        new = chosen.join(status.filter("written").select("series_id"), "series_id", "left_semi") \
+            .select("date", "series_id", "value", "source", F.lit(as_of).cast("timestamp_ntz").alias("last_updated"))
+        if stored is not None:
+            old = stored.select("series_id", "date", F.col("value").alias("_v"), F.col("source").alias("_s"), F.col("last_updated").alias("_lu"))
+            same = F.col("_v").eqNullSafe(F.col("value")) & F.col("_lu").isNotNull()
+            new = new.join(old, ["series_id", "date"], "left").select(
+                "date", "series_id", "value", F.when(same, F.col("_s")).otherwise(F.col("source")).alias("source"),
+                F.when(same, F.col("_lu")).otherwise(F.col("last_updated")).alias("last_updated"))
+        W.upsert_replace(self.spark, new, self.path("f_index_observations"), ["series_id", "date"], ["series_id"], ["date"])
+        W.replace_small_table(W.series_manifest(self.table("f_index_observations")), self.path("index_manifest"))
+        return status
 
     # Z7 ---------------------------------------------------------------------
     def sync_volatility(self, source: "Warehouse", tables_and_symbols: dict[str, list[str]]) -> None:
         """Create missing tables like the source (W5), then replace the
         listed symbols' rows from the source (W4) -- partition overwrite by
-        symbol."""
+        symbol; a listed symbol without rows in the source loses its rows."""
         for table, symbols in tables_and_symbols.items():
             src = source.table(table)
             if src is None:
                 continue
-            rows = src.filter(F.col("symbol").isin(symbols))
-            rows.hint("rebalance", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                .partitionBy("symbol").parquet(self.path(table))
+            W.delete_days_and_rebuild(self.spark, src.filter(F.col("symbol").isin(symbols)), self.path(table), "symbol", symbols)
 
     # Z8 ---------------------------------------------------------------------
     def refresh_metadata(self, symbol_map: DataFrame, as_of) -> None:

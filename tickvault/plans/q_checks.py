@@ -115,7 +115,7 @@ def q_canonical_unique(t):
 
 @query("check_canonical_presence", ops="V7 C27", oracle="""
 with cb as (select c.root, b.* from fx_bar_daily b join fx_canonical c on b.contract_series = c.contract_series),
- w as (select max(trading_date) as e, cast(max(trading_date) - interval 30 day as date) as s from cb),
+ w as (select max(trading_date) as e, cast(max(trading_date) - interval 29 day as date) as s from cb),
  per as (select root, max(trading_date) as last_trading_date,
    count(*) filter (where trading_date >= (select s from w) and trading_date <= (select e from w)) as rows_in_window from cb group by root)
 select m.root, m.optional, per.last_trading_date, coalesce(per.rows_in_window, 0) as rows_in_window,
@@ -125,10 +125,22 @@ select m.root, m.optional, per.last_trading_date, coalesce(per.rows_in_window, 0
 def q_canonical_presence(t):
     """V7 over the default 30-day window ending at the last canonical date."""
     from ..operators.curves import canonical_bars
-    from ..operators.coverage import default_window
+    from ..operators.coverage import default_window_df
     cb = canonical_bars(t["fx_bar_daily"], t["fx_canonical"])
-    s, e = default_window(cb, 30)
-    return checks.canonical_presence(cb, t["fx_canonical"], s, e)
+    w = default_window_df(cb, 30)
+    return checks.canonical_presence(cb, t["fx_canonical"], w.select("window_start").scalar(), w.select("window_end").scalar())
+
+
+@query("check_presence_row", ops="V7 C27", oracle=_chk_sql(
+    "canonical.view.presence_recent_window", "Canonical daily view: non-optional roots present in window", "WARN",
+    """select count(*) from (select root from fx_canonical where not optional except
+     select c.root from fx_bar_daily b join fx_canonical c using (contract_series)
+      where date_diff('day', b.trading_date, (select max(x.trading_date) from fx_bar_daily x join fx_canonical using (contract_series))) < 30) r""",
+    unit="required roots without rows"))
+def q_presence_row(t):
+    """V7 as a check row: required roots without a row in the last 30 days."""
+    from ..operators.curves import canonical_bars
+    return checks.presence_check(canonical_bars(t["fx_bar_daily"], t["fx_canonical"]), t["fx_canonical"], 30)
 
 
 _ACTUAL_MAP = """(select root, min(contract_series) as contract_series, false as optional from fx_continuous_contract
@@ -148,6 +160,18 @@ def q_mapping_diff(t):
     return checks.mapping_diff(t["fx_canonical"], spark.sql(f"select * from {_ACTUAL_MAP} a"))
 
 
+@query("check_mapping_row", ops="V8", oracle=_chk_sql(
+    "canonical.mapping.sync", "Canonical mapping matches configs/canonical_series.yaml", "HARD",
+    f"""select count(*) from (
+     (select root, contract_series, optional from fx_canonical except select root, contract_series, optional from {_ACTUAL_MAP} a
+      union select root, contract_series, optional from {_ACTUAL_MAP} a2 where root not in (select root from fx_canonical))) r""",
+    unit="roots that differ"))
+def q_mapping_row(t):
+    """V8 as a check row."""
+    spark = t["fx_canonical"].sparkSession
+    return checks.mapping_check(t["fx_canonical"], spark.sql(f"select * from {_ACTUAL_MAP} a"))
+
+
 @query("check_session_fresh", ops="V9 G2", oracle="""
 with sess as (select distinct trading_date as trade_date from fx_bar_daily where trading_date <= date '2001-06-30'),
  s as (select count(*) as n, max(trade_date) as m from sess), b as (select count(*) as n, max(trading_date) as m from fx_bar_daily),
@@ -173,18 +197,38 @@ def q_session_fresh(t):
 with q as (select symbol, event_id, ts_event, bid_px_00 as bid_px, ask_px_00 as ask_px,
    lag(ts_event) over (partition by symbol order by event_id) as prev_ts from fx_quote_raw)
 select symbol, count(*) as n_rows, min(ts_event) as first_ts, max(ts_event) as last_ts,
- date_diff('second', min(ts_event), max(ts_event)) > 600 as span_too_wide,
- count(distinct cast(timezone('America/Chicago', timezone('UTC', ts_event)) as date)) as chicago_dates,
+ (select date_diff('second', min(ts_event), max(ts_event)) > 600 from q) as span_too_wide,
+ (select count(distinct cast(timezone('America/Chicago', timezone('UTC', ts_event)) as date)) from q) as chicago_dates,
  count(*) filter (where ts_event < prev_ts) as backward_steps,
  case when count(*) >= 2 then count(*) filter (where bid_px is null or ask_px is null) else 0 end as null_bid_ask
  from q group by symbol
 """)
 def q_quote_window(t):
-    """Per-symbol window checks in arrival (event id) order.  The chunk
-    width is small here so the cross-chunk stitching is exercised."""
+    """Window checks in arrival (event id) order.  The chunk width is
+    small here so the cross-chunk stitching is exercised."""
     return checks.quote_window_checks(t["fx_quote_raw"], chunk_width=512)
 
 
+@query("check_quote_window_rows", ops="V11", oracle="""
+with q as (select symbol, event_id, ts_event, bid_px_00 as bid_px, ask_px_00 as ask_px,
+   lag(ts_event) over (partition by symbol order by event_id) as prev_ts from fx_quote_raw where regexp_matches(symbol, '\\s[CP]\\d+$')),
+ per as (select symbol, count(*) filter (where ts_event < prev_ts) as back, count(*) filter (where bid_px is null or ask_px is null) as empty, count(*) as n from q group by symbol),
+ f as (select count(*) as n, date_diff('second', min(ts_event), max(ts_event)) as s,
+   count(distinct cast(timezone('America/Chicago', timezone('UTC', ts_event)) as date)) as d from q),
+ c(check_id, name, v) as (
+  select 'quotes.window.empty', 'Quote window: rows left after filtering', (select case when n = 0 then 1 else 0 end from f) union all
+  select 'quotes.window.span', 'Quote window: at most 10 minutes', (select case when s > 600 then 1 else 0 end from f) union all
+  select 'quotes.window.dates', 'Quote window: one Chicago date', (select greatest(d - 1, 0) from f) union all
+  select 'quotes.window.order', 'Quote window: time never steps back in a symbol', (select count(*) from per where back > 0) union all
+  select 'quotes.window.prices', 'Quote window: bid and ask present', (select count(*) from per where empty > 0 and n >= 2))
+select check_id, name, case when v = 0 then 'PASS' else 'FAIL' end as status, 'HARD' as severity, v as violations,
+ case when v = 0 then 'ok' else concat(cast(v as varchar), ' violations') end as message from c
+""")
+def q_quote_window_rows(t):
+    """V11 as check rows over the option quotes."""
+    return checks.quote_window_report(t["fx_quote_raw"], chunk_width=512, options_only=True)
+
+
 @query("check_report", ops="V12 Z5", oracle=f"""
 with c as (
 {_chk_sql("quotes.negative_spread", "Negative spreads", "HARD", "select count(*) from fx_quotes where ask_px < bid_px")}

@@ -154,9 +154,11 @@ def q_quote_summary(t):
 
 
 @query("quotes_by_root", ops="C10 J7 Q16", oracle="""
-select d.root, count(distinct d.instrument_id) as unique_instruments, count(distinct q.instrument_id) as instruments_with_quotes,
- min(cast(q.ts_event as date)) as first_date, max(cast(q.ts_event as date)) as last_date, count(*) as total_rows, count(q.instrument_id) as total_quotes
- from fx_fut_instrument d left join fx_quotes q on q.instrument_id = d.instrument_id group by d.root
+with per as (select instrument_id, count(*) as n, min(ts_event) as lo, max(ts_event) as hi from fx_quotes group by instrument_id),
+ i as (select distinct root, instrument_id, (select count(*) from fx_fut_instrument e where e.instrument_id = d.instrument_id and e.root = d.root) as copies from fx_fut_instrument d)
+select root, count(*) as unique_instruments, count(per.n) as instruments_with_quotes, cast(min(lo) as date) as first_date, cast(max(hi) as date) as last_date,
+ cast(sum(copies * coalesce(n, 1)) as bigint) as total_rows, cast(sum(copies * coalesce(n, 0)) as bigint) as total_quotes
+ from i left join per using (instrument_id) group by root
 """)
 def q_quotes_by_root(t):
     """Per root from the dimension, with the reference's count(*) quirk."""
@@ -164,9 +166,11 @@ def q_quotes_by_root(t):
 
 
 @query("quotes_per_contract", rnd=("avg_spread_pts", "avg_total_size"), ops="C11 J6 R3", oracle="""
-select d.symbol_feed as symbol, count(*) as quote_count, min(cast(q.ts_event as date)) as first_quote, max(cast(q.ts_event as date)) as last_quote,
- avg(q.ask_px - q.bid_px) as avg_spread_pts, avg(q.bid_sz + q.ask_sz) as avg_total_size
- from fx_quotes q join fx_fut_instrument d using (instrument_id) group by 1
+with per as (select instrument_id, count(*) as n, count(ask_px - bid_px) as ns, sum(ask_px - bid_px) as s, count(bid_sz + ask_sz) as nz, sum(bid_sz + ask_sz) as z,
+  min(ts_event) as lo, max(ts_event) as hi from fx_quotes group by instrument_id)
+select symbol_feed as symbol, cast(sum(n) as bigint) as quote_count, cast(min(lo) as date) as first_quote, cast(max(hi) as date) as last_quote,
+ sum(s) / sum(ns) as avg_spread_pts, sum(z) / sum(nz) as avg_total_size
+ from fx_fut_instrument join per using (instrument_id) group by symbol_feed
 """)
 def q_quotes_per_contract(t):
     """C11: per contract symbol quotes, range, average spread and size."""
@@ -353,7 +357,7 @@ def q_root_ranges(t):
 
 
 @query("default_window", ops="C27", oracle=f"""
-select cast(max(trading_date) - interval 30 day as date) as window_start, max(trading_date) as window_end from {_CANON} cb
+select cast(max(trading_date) - interval 29 day as date) as window_start, max(trading_date) as window_end from {_CANON} cb
 """)
 def q_default_window(t):
     """The 30-day window ending at the last canonical date."""

@@ -33,12 +33,7 @@ def q_canonical_bars(t):
     return X.canonical_bars(t["fx_bar_daily"], t["fx_canonical"])
 
 
-@query("curve_by_rank", rnd=("vx1_close", "vx2_close", "vx3_close"), ops="X2 J8", oracle=f"""
-with vx1 as (select trading_date as date, close as vx1_close from fx_market_data where symbol = '@VX=101XN' and trading_date between date '{CS}' and date '{CE}'),
- vx2 as (select trading_date as date, close as vx2_close from fx_market_data where symbol = '@VX=201XN' and trading_date between date '{CS}' and date '{CE}'),
- vx3 as (select trading_date as date, close as vx3_close from fx_market_data where symbol = '@VX=301XN' and trading_date between date '{CS}' and date '{CE}')
-select vx1.date, vx1_close, vx2_close, vx3_close from vx1 left join vx2 using (date) left join vx3 using (date)
-""")
+@query("curve_by_rank", rnd=("vx1_close", "vx2_close", "vx3_close"), ops="X2 J8", oracle=f"select * from {_CURVE} c")
 def q_curve(t):
     """VX1..VX3 per date, point 1 drives (the reference's left-join chain
     as one conditional aggregate)."""

@@ -136,7 +136,7 @@ select date, 'VIXCLS' as series_id, value, 'fred' as source, timestamp '2026-01-
 def q_stamp_series(t):
     """One series stamped with id, source and last_updated, one row per date."""
     vix = t["fx_index_new"].filter(F.col("series_id") == "VIXCLS").select("date", "value")
-    return W.stamp_series(vix, "VIXCLS", "fred", "2026-01-01 00:00:00")
+    return W.stamp_series(vix, "VIXCLS", "fred", "2026-01-01 00:00:00", ["value"])
 
 
 @query("export_quotes", rnd=("bid_px", "ask_px", "spread", "mid"), ops="W12 J6", oracle="""
