@@ -12,7 +12,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trusted text: documents labelled of good quality."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    trusted = written(pack_texts(docs.where("text is not null").select("doc_id", "text"), "text").join(good, "doc_id").select("packed"), "trusted")
+    # a merge join at every size: labels grow with documents, so they are not broadcast
+    trusted = written(pack_texts(docs.where("text is not null").select("doc_id", "text"), "text").join(good.hint("merge"), "doc_id").select("packed"), "trusted")
     model = Model(written(gram_counts(unpack_texts(trusted, "text")), "grams"))
     scored = written(perplexity(docs, F.col("text"), ["doc_id", "lang"], model), "scored")
     marked = scored.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
