@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,8 +36,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     cuts the lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    began = time.monotonic()
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that made the table
+    if time.monotonic() - began > 1:  # a large step: let Spark's cleaner drop the shuffle files that made the table
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
