@@ -31,8 +31,8 @@ BITS = 18
 LENGTHS = (3, 4, 5)
 #: Most rows of each class in the regression's sample.
 FIT_ROWS = 1500
-#: A feature in fewer labelled rows says too little to count.
-LEAST_ROWS = 3
+#: A feature in fewer labelled rows, or nearer to as likely in both classes, says too little to count.
+LEAST_ROWS, LEAST_RATIO = 3, 0.1
 
 
 @dataclass
@@ -98,20 +98,21 @@ def minimise(value, start: np.ndarray, steps: int = 60, kept: int = 6) -> np.nda
 
 
 def regression(labels: np.ndarray, rows: np.ndarray, feats: np.ndarray, ratio: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
-    """Weights by feature (the ratio multiplied in) and intercept."""
-    used = np.flatnonzero(ratio)
-    at = np.full(len(ratio), -1)
-    at[used] = np.arange(len(used))
-    keep = at[feats] >= 0
-    rows, cols = rows[keep], at[feats[keep]]
+    """Weights by feature (the ratio multiplied in) and intercept; rows and
+    feats are the sample's features whose ratio is not zero."""
+    used, feats = np.unique(feats, return_inverse=True)
+    feats = feats.astype(np.int32)
     scale = ratio[used]
-    value = scale[cols]
+    parts = [slice(lo, lo + (1 << 20)) for lo in range(0, len(rows), 1 << 20)]  # bounds what a step holds
 
     def loss(w):
-        z = np.bincount(rows, value * w[cols], len(labels)) + w[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        error = p - labels
-        grad = np.append(np.bincount(cols, value * error[rows], len(used)) + penalty * w[:-1], error.sum())
+        scaled, z, back = scale * w[:-1], np.full(len(labels), w[-1]), np.zeros(len(used))
+        for s in parts:
+            z += np.bincount(rows[s], scaled[feats[s]], len(labels))
+        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels
+        for s in parts:
+            back += np.bincount(feats[s], error[rows[s]], len(used))
+        grad = np.append(scale * back + penalty * w[:-1], error.sum())
         return np.logaddexp(0, np.where(labels > 0, -z, z)).sum() + penalty / 2 * (w[:-1] @ w[:-1]), grad
 
     w = minimise(loss, np.zeros(len(used) + 1))
@@ -144,18 +145,24 @@ def fit(training: DataFrame, text: Column, label: Column, bits: int = BITS, fit_
     at, p, q = (counted.column(i).to_numpy() for i in range(3))
     ratio = np.zeros(1 << bits)
     ratio[at] = np.where(p + q >= LEAST_ROWS, np.log((p + 1) / (toxic + 2)) - np.log((q + 1) / (clean + 2)), 0)
+    ratio[np.abs(ratio) < LEAST_RATIO] = 0
 
     def learn(batches):
-        texts, y = [], []
+        y, rows, feats = [], [], []
         for batch in batches:
-            texts += batch.column(0).to_pylist()
+            texts = batch.column(0).to_pylist()
+            for lo, hi in runs(texts):
+                owner, f = features(texts[lo:hi], bits)
+                some = ratio[f] != 0
+                rows.append((len(y) + lo + owner[some]).astype(np.int32))
+                feats.append(f[some].astype(np.int32))
             y += batch.column(1).to_pylist()
-        parts = [(lo, *features(texts[lo:hi], bits)) for lo, hi in runs(texts)]
-        w, b = regression(np.array(y, float), np.concatenate([lo + o for lo, o, _ in parts]), np.concatenate([f for _, _, f in parts]), ratio, penalty)
+        w, b = regression(np.array(y, float), np.concatenate(rows), np.concatenate(feats), ratio, penalty)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([b])], schema=pa.schema([("w", pa.binary()), ("b", pa.float64())]))
 
-    order = (F.xxhash64("text"), F.length("text"))
-    sample = [rows.where(F.col("label") == k).orderBy(*order).limit(fit_rows) for k in (0, 1)]
+    # rows of small hash, about twice as many as are wanted, so that little is gathered to take the smallest
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 31))
+    sample = [rows.where((F.col("label") == k) & (place < int(min(1.0, 2 * fit_rows / n[k]) * (1 << 31)))).orderBy(place, F.length("text")).limit(fit_rows) for k in (0, 1)]
     w, b = map_arrow(sample[0].unionAll(sample[1]).coalesce(1), learn, "w binary, b double").first()
     used = np.log(min(toxic, fit_rows) / min(clean, fit_rows))
     return Model(np.frombuffer(w, np.float64), b + float(np.log(toxic / clean) - used))
