@@ -96,7 +96,8 @@ def incremental_cutoff(existing_bars: DataFrame | None, bucket_col: str = BAR_KE
                        default: str = "1900-01-01 00:00:00"):
     """The high-water mark, ``max(bucket)`` of the target or the default.
 
-    One scalar, read with an aggregate (Parquet min/max pushdown applies)."""
+    One scalar aggregate; the caller passes the last partition only, as Z2
+    does, so the target is not scanned."""
     import datetime as dt
     if existing_bars is None:
         return dt.datetime.fromisoformat(default)

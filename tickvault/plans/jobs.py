@@ -115,7 +115,10 @@ class Warehouse:
         if quotes is None:
             return
         existing = self.table(p.bar_table)
-        cutoff = B.incremental_cutoff(existing)
+        days = [d for d in (f.rsplit("bar_date=", 1)[-1] for f in R.list_files(self.spark, f"{self.path(p.bar_table)}/bar_date=*"))
+                if d[:1].isdigit()]
+        last = existing.filter(F.col("bar_date") == F.lit(max(days)).cast("date")) if existing is not None and days else existing
+        cutoff = B.incremental_cutoff(last)
         q = B.incremental_quotes(quotes, cutoff)
         t = B.incremental_quotes(trades, cutoff) if trades is not None else \
             self.spark.createDataFrame([], schemas.F_TRADE).withColumn(p.key, F.lit(None).cast("bigint"))
