@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickvault.session import scratch_path
+from tickvault.sources.sinks import remove
 
 #: Texts are handed to the vectorised code in runs of whole documents of about this many bytes.
 CHUNK_BYTES = 1 << 20
@@ -40,7 +41,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     if time.monotonic() - began > 1:  # a large step: let Spark's cleaner drop the shuffle files that made the table
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing reads any more."""
+    for t in tables:
+        remove(t.sparkSession, t.scratch)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,12 +10,13 @@ narrow that similar sets are in one band or in neighbours.
 A tile never emits all its pairs.  First every node is paired with the smallest
 node of its own and of the next smaller band; verified pairs are linked into
 components.  Then, in tiles that still hold several components, the nodes
-outside the tile's largest component are paired with nodes of other components.
-A pair skipped so is connected already, so components are exact.
+outside the tile's largest component meet the nodes of other components, as
+arrays in one task, and only pairs that pass the signatures come out.  A pair
+skipped so is connected already, so components are exact.
 
-Candidate pairs meet their bitmap signatures first (as many bits as shingles,
-each set by the parity of the shingles hashed to it; unequal bits bound the
-overlap from above); what passes is verified by intersecting sorted arrays.
+Candidate pairs meet their bitmap signatures first (half as many bits as
+shingles or more, each set by the parity of the shingles hashed to it; unequal
+bits bound the overlap from above); what passes is verified by intersecting sorted arrays.
 
 Edge cases: null and wordless texts have the empty set and link with nothing;
 texts of fewer words than a shingle are one shingle; a null id is allowed and
@@ -32,11 +33,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import fingerprint, map_arrow, record, text_chunks, written
+from tickvault.llm.common import by_value, drop, fingerprint, map_arrow, record, text_chunks, written
 from tickvault.llm.graph import components
 from tickvault.llm.tokens import Words, grams, inside, splitmix, words_of
 
 SHINGLE, PERCENT, SKETCH_BITS = 5, 80, 18
+#: Most outsiders and members of a tile that meet in one place; larger tiles are cut.
+OUTSIDERS, MEMBERS = 128, 2048
 
 
 def shingle_sets(w: Words, k: int):
@@ -68,6 +71,12 @@ def signature(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
 
 
+def folded(bits: bytes) -> bytes:
+    """A signature of half the bits (no fewer than 64): the halves' parity."""
+    half = len(bits) // 2
+    return bytes(np.frombuffer(bits[:half], np.uint8) ^ np.frombuffer(bits[half:], np.uint8)) if half >= 8 else bits
+
+
 def unequal_bits(x: bytes, y: bytes) -> int:
     """A lower bound of the shingles that are in one set only."""
     a, b = np.unpackbits(np.frombuffer(x, np.uint8)), np.unpackbits(np.frombuffer(y, np.uint8))
@@ -87,7 +96,7 @@ def _describe(k: int):
                 for s in shingle_sets(words_of(raw, offsets, "lower"), k):
                     n.append(len(s))
                     node.append(node_of(s))
-                    bits.append(signature(s) if len(s) else None)
+                    bits.append(folded(signature(s)) if len(s) else None)
                     np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(n))
             yield record(schema, batch.column(0), batch.column(1), n, node, bits, none.cast(pa.int32()), none.cast(pa.int64()))
@@ -155,6 +164,64 @@ def _filter(percent: int):
     return work, "a long, b long"
 
 
+def _cross(percent: int):
+    """For a bag of tiles, each with outsiders (side 0) and all its nodes (side
+    1): the pairs of different components that sizes and signatures allow."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def allowed(i, j, width, bits, size):
+        """Which pairs of rows have few enough unequal bits."""
+        ok = np.zeros(len(i), bool)
+        least = np.minimum(width[i], width[j])
+        for w in np.unique(least):
+            mine = np.flatnonzero(least == w)
+            rows, at = np.unique(np.concatenate([i[mine], j[mine]]), return_inverse=True)
+            table = np.empty((len(rows), w // 64), np.uint64)
+            for n, r in enumerate(rows):  # a wider signature is folded
+                table[n] = np.bitwise_xor.reduce(np.frombuffer(bits[r], np.uint64).reshape(-1, w // 64), axis=0)
+            x, y = at[:len(mine)], at[len(mine):]
+            slab = max(1, (1 << 20) // (w // 64))
+            for lo in range(0, len(mine), slab):
+                part = mine[lo:lo + slab]
+                unequal = np.bitwise_count(table[x[lo:lo + slab]] ^ table[y[lo:lo + slab]]).sum(axis=1, dtype=np.int64)
+                ok[part] = unequal * (100 + percent) <= (100 - percent) * (size[i[part]] + size[j[part]])
+        return ok
+
+    def work(group: pa.Table) -> pa.Table:
+        tile, side, minor, node, size, root = (group.column(c).to_numpy() for c in ("tile", "side", "minor", "node", "size", "root"))
+        size = size.astype(np.int64)
+        bits = group.column("bits").to_pylist()
+        width = np.array([8 * len(b) for b in bits])
+        order = np.lexsort((side, tile))
+        cut = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1], [True]]))
+        out: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            i, j = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            ok = (root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & (~minor[j] | (node[i] < node[j]))
+            i, j = i[ok], j[ok]
+            ok = allowed(i, j, width, bits, size)
+            out.append(np.unique(np.stack([np.maximum(node[i], node[j])[ok], np.minimum(node[i], node[j])[ok]]), axis=1))
+
+        waiting = 0
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            mine = order[lo:hi]
+            q = int(np.searchsorted(side[mine], 1))
+            held.append((np.repeat(mine[:q], hi - lo - q), np.tile(mine[q:], q)))
+            waiting += q * (hi - lo - q)
+            if waiting > 1 << 18:
+                flush()
+                waiting = 0
+        if held:
+            flush()
+        a, b = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.Table.from_batches([record(schema, a, b)])
+
+    return work, "a long, b long"
+
+
 def _verify(k: int, percent: int):
     """Pairs whose sets are similar enough, by intersecting sorted arrays."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -203,6 +270,7 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     shared = written(posted.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h"), "shared")
     band = F.floor(F.log("size") / F.lit(math.log(100 / percent))).cast("int")
     tiles = written(posted.join(shared, "h").select("h", "node", "size", band.alias("band")).distinct(), "tiles")
+    drop(posted, shared)
 
     fits = F.lit(100) * F.least("size", "other_size") >= F.lit(percent) * F.greatest("size", "other_size")
 
@@ -216,7 +284,9 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
         found = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), "text").join(ids, "_id").select("node", "text")
         texts = written(map_arrow(found, *_texts(shingle)), f"{name}-texts")
         q = likely.join(texts.toDF("b", "y"), "b").join(texts.toDF("a", "x"), "a").select("a", "b", "x", "y")
-        return written(map_arrow(q, *_verify(shingle, percent)).distinct(), f"{name}-links")
+        links = written(map_arrow(q, *_verify(shingle, percent)).distinct(), f"{name}-links")
+        drop(likely, wanted, texts)
+        return links
 
     heads = written(tiles.groupBy("h", "band").agg(F.min(F.struct("node", "size")).alias("head")).select("h", "band", "head.node", "head.size"), "heads")
     stars = None
@@ -233,13 +303,28 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     placed = written(tiles.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     sizes = placed.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = written(sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("h", F.col("top.root").alias("major")), "mixed")
-    rest = written(placed.join(mixed, "h"), "rest")
-    minor = rest.where("root != major").select("h", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-    pairs = rest.join(minor, "h").where(fits & (F.col("root") != F.col("other_root")))
-    pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-    crossed = written(pairs.join(stars, ["a", "b"], "left_anti"), "crossed")
-    roots = components(links.unionAll(verified(crossed, "crossed")))
-
+    rest = placed.join(mixed, "h").withColumn("minor", F.col("root") != F.col("major"))
+    rest = written(rest.join(nodes.select("node", "bits"), "node").select("h", "node", "size", "root", "minor", "bits"), "rest")
+    drop(placed, mixed)
+    load = rest.groupBy("h").agg(F.count_if("minor").alias("q"), F.count(F.lit(1)).alias("m"))
+    load = written(load.select("h", F.ceil(F.col("q") / OUTSIDERS).cast("int").alias("few"), F.ceil(F.col("m") / MEMBERS).cast("int").alias("many")), "load")
+    bags = max(512, rest.count() // 8192)
+    sides = rest.join(load, "h").withColumn("side", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("few")).otherwise(F.col("many")))
+    across = F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("many")).otherwise(F.col("few")) - 1))
+    sides = sides.withColumn("own", own.cast("int")).withColumn("across", across)
+    sides = sides.withColumn("tile", F.when(F.col("side") == 0, F.xxhash64("h", "own", "across")).otherwise(F.xxhash64("h", "across", "own")))
+    work, schema = _cross(percent)
+    by_value()
+    pairs = sides.select(F.pmod("tile", F.lit(bags)).alias("bag"), "tile", "side", "minor", "node", "size", "root", "bits").groupBy("bag").applyInArrow(work, schema)
+    crossed = written(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "crossed")
+    drop(rest, load, stars, tiles, heads)
+    if crossed.isEmpty():
+        return _labelled(base, nodes, roots, at)
+    return _labelled(base, nodes, components(links.unionAll(verified(crossed, "crossed"))), at)
+
+
+def _labelled(base: DataFrame, nodes: DataFrame, roots: DataFrame, at: Column) -> DataFrame:
     first = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "at")
     smallest = first.groupBy("root").agg(F.min("at").alias("first"))
     classes = written(first.select("node", "root").join(smallest, "root").select("node", "first"), "classes")
