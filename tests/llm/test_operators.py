@@ -184,6 +184,18 @@ def test_quality_keeps_clean_text(spark):
     assert out.kept.mean() > 0.9 and out[out.trusted].kept.mean() > 0.98
 
 
+def test_quality_folds(spark, tmp_dir):
+    """Unlabelled text like the trusted is kept as often as trusted text; noise goes."""
+    rng = random.Random(12)
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(60))
+    rows = [(i, make("abcdefghij"), "en", "s", 0) for i in range(240)] + [(1000 + i, make("0123456789#$%&"), "en", "s", 0) for i in range(40)]
+    docs_of(spark, rows).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(120)], "doc_id long, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    out = queries.queries()["op5_quality"](spark, tmp_dir).toPandas()
+    assert out[out.doc_id.between(120, 239)].kept.mean() > 0.9 and out[out.trusted].kept.mean() > 0.95
+    assert not out[out.doc_id >= 1000].kept.any()
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(9)
     x = rng.standard_normal((700, 24))

@@ -13,6 +13,12 @@ the probabilities return in shards of at most ``shard_rows`` n-grams, one pass
 over the documents for each.  A shard is bounded; log probabilities add up over
 shards.  Nothing is pruned: counts, requests and shards grow with the input.
 
+Trusted text is cut into two folds by the hash of the text (copies stay
+together), each with a model of its own, and every document, trusted or not, is
+scored by the model of the other fold: no text is scored by counts it is in, so
+perplexities of trusted and other documents compare at every size.  If one fold
+has no trusted text, the only model scores all.
+
 A document is kept if its perplexity is at most its language's quantile over
 trusted documents (over all documents of a language without any).
 
@@ -54,6 +60,11 @@ def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return total[real], owner[real]
 
 
+def fold_of(text: Column) -> Column:
+    """0 or 1; a model of one fold scores the documents of the other."""
+    return F.pmod(F.xxhash64(text), F.lit(2)).cast("int")
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
     """(gram, n) of the only column of texts."""
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
@@ -183,6 +194,15 @@ def perplexity(docs: DataFrame, text: Column, keep: list[str], model: Model, sha
     return out.select(*kept, "n_symbols", F.when(F.col("n_symbols") > 0, F.exp(-F.col("logp") / F.col("n_symbols"))).alias("perplexity"))
 
 
+def cross_perplexity(docs: DataFrame, text: Column, keep: list[str], counts: list[DataFrame], shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """perplexity() with each document scored by the other fold's counts."""
+    full = [not c.isEmpty() for c in counts]
+    if not all(full):
+        return perplexity(docs, text, keep, Model(counts[full.index(True) if any(full) else 0]), shard_rows)
+    parts = [written(perplexity(docs.where(fold_of(text) == 1 - fold), text, keep, Model(counts[fold]), shard_rows), f"scored{fold}") for fold in (0, 1)]
+    return parts[0].unionAll(parts[1])
+
+
 def classify(scored: DataFrame, lang: Column, trusted: Column, quantile: float = QUANTILE) -> DataFrame:
     """scored with threshold (of its language) and kept."""
     s = scored.withColumn("__lang", F.coalesce(lang, F.lit("\0")))
