@@ -21,7 +21,7 @@ from tickvault.llm.licence import scan
 from tickvault.llm.mixing import mix_sources
 from tickvault.llm.quality import SYMBOLS, Model, classify, gram_counts, perplexity
 from tickvault.llm.substring import remove_repeats
-from tickvault.llm.toxicity import fit as fit_toxicity, score
+from tickvault.llm.toxicity import features, fit as fit_toxicity, score
 
 SMALL, CHECK = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -272,6 +272,14 @@ def test_toxicity_accuracy(spark):
     assert (held.predicted == held.toxic).mean() > 0.93 and out.score.between(0, 1).all()
 
 
+def test_toxicity_weak_features(spark):
+    """Features only a little likelier in one class are fitted and scored."""
+    shared = ["zq", "zw", "zx", "zy"]
+    rows = [(i, shared[i % 4] if i % 100 < (52 if i >= 400 else 48) else "kk", None, None, int(i >= 400)) for i in range(800)]
+    model = fit_toxicity(docs_of(spark, rows), F.col("text"), F.col("n_chars"))
+    assert np.count_nonzero(model.weight[features(["zq", "kk"])[1]]) == len(features(["zq", "kk"])[1])
+
+
 def test_toxicity_awkward(spark):
     d = docs_of(spark, [(*r, 1) for r in awkward()], ", predicted int")
     model = fit_toxicity(d, F.col("text"), F.when(F.col("doc_id") == 3, 1).when(F.col("doc_id") > 5, 0))

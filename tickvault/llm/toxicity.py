@@ -31,8 +31,8 @@ BITS = 18
 LENGTHS = (3, 4, 5)
 #: Most rows of each class in the regression's sample.
 FIT_ROWS = 1500
-#: A feature in fewer labelled rows, or nearer to as likely in both classes, says too little to count.
-LEAST_ROWS, LEAST_RATIO = 3, 0.1
+#: A feature in fewer labelled rows says too little to count.
+LEAST_ROWS = 3
 
 
 @dataclass
@@ -97,28 +97,24 @@ def minimise(value, start: np.ndarray, steps: int = 60, kept: int = 6) -> np.nda
     return x
 
 
-def regression(labels: np.ndarray, rows: np.ndarray, feats: np.ndarray, ratio: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
-    """Weights by feature (the ratio multiplied in) and intercept; rows and
-    feats are the sample's features whose ratio is not zero."""
-    used, feats = np.unique(feats, return_inverse=True)
-    feats = feats.astype(np.int32)
-    scale = ratio[used]
-    parts = [slice(lo, lo + (1 << 20)) for lo in range(0, len(rows), 1 << 20)]  # bounds what a step holds
+def regression(labels: np.ndarray, parts: list[tuple[int, np.ndarray, np.ndarray]], ratio: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+    """Weights by feature (the ratio multiplied in) and intercept.  A part is a
+    run of rows: the first, how many features each has, and the features; it
+    bounds what a step holds besides four bytes a feature of the sample."""
 
     def loss(w):
-        scaled, z, back = scale * w[:-1], np.full(len(labels), w[-1]), np.zeros(len(used))
-        for s in parts:
-            z += np.bincount(rows[s], scaled[feats[s]], len(labels))
+        scaled, z, back = ratio * w[:-1], np.full(len(labels), w[-1]), np.zeros(len(ratio))
+        for first, size, feats in parts:
+            owner = np.repeat(np.arange(len(size)), size)
+            z[first:first + len(size)] += np.bincount(owner, scaled[feats], len(size))
         error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels
-        for s in parts:
-            back += np.bincount(feats[s], error[rows[s]], len(used))
-        grad = np.append(scale * back + penalty * w[:-1], error.sum())
+        for first, size, feats in parts:
+            back += np.bincount(feats, np.repeat(error[first:first + len(size)], size), len(ratio))
+        grad = np.append(ratio * back + penalty * w[:-1], error.sum())
         return np.logaddexp(0, np.where(labels > 0, -z, z)).sum() + penalty / 2 * (w[:-1] @ w[:-1]), grad
 
-    w = minimise(loss, np.zeros(len(used) + 1))
-    out = np.zeros(len(ratio))
-    out[used] = w[:-1] * scale
-    return out, float(w[-1])
+    w = minimise(loss, np.zeros(len(ratio) + 1))
+    return w[:-1] * ratio, float(w[-1])
 
 
 def fit(training: DataFrame, text: Column, label: Column, bits: int = BITS, fit_rows: int = FIT_ROWS, penalty: float = 1.0) -> Model:
@@ -145,19 +141,17 @@ def fit(training: DataFrame, text: Column, label: Column, bits: int = BITS, fit_
     at, p, q = (counted.column(i).to_numpy() for i in range(3))
     ratio = np.zeros(1 << bits)
     ratio[at] = np.where(p + q >= LEAST_ROWS, np.log((p + 1) / (toxic + 2)) - np.log((q + 1) / (clean + 2)), 0)
-    ratio[np.abs(ratio) < LEAST_RATIO] = 0
 
     def learn(batches):
-        y, rows, feats = [], [], []
+        y, parts = [], []
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in runs(texts):
                 owner, f = features(texts[lo:hi], bits)
                 some = ratio[f] != 0
-                rows.append((len(y) + lo + owner[some]).astype(np.int32))
-                feats.append(f[some].astype(np.int32))
+                parts.append((len(y) + lo, np.bincount(owner[some], minlength=hi - lo), f[some].astype(np.int32)))
             y += batch.column(1).to_pylist()
-        w, b = regression(np.array(y, float), np.concatenate(rows), np.concatenate(feats), ratio, penalty)
+        w, b = regression(np.array(y, float), parts, ratio, penalty)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([b])], schema=pa.schema([("w", pa.binary()), ("b", pa.float64())]))
 
     # rows of small hash, about twice as many as are wanted, so that little is gathered to take the smallest
