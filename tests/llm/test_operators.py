@@ -280,6 +280,15 @@ def test_toxicity_weak_features(spark):
     assert np.count_nonzero(model.weight[features(["zq", "kk"])[1]]) == len(features(["zq", "kk"])[1])
 
 
+def test_toxicity_copies(spark):
+    """Classes of many rows but few texts are still in the sample, with their weights."""
+    rows = [(i, "vile words here" if i < 400 else "kind and calm", None, None, int(i < 400)) for i in range(600)] + [(900, "kind and calm too", None, None, 0)]
+    d = docs_of(spark, rows)
+    model = fit_toxicity(d, F.col("text"), F.col("n_chars"), fit_rows=2)
+    found = {r["doc_id"]: r["predicted"] for r in score(d, F.col("text"), model, ["doc_id"]).collect()}
+    assert all(found[i] == int(i < 400) for i, *_ in rows)
+
+
 def test_toxicity_awkward(spark):
     d = docs_of(spark, [(*r, 1) for r in awkward()], ", predicted int")
     model = fit_toxicity(d, F.col("text"), F.when(F.col("doc_id") == 3, 1).when(F.col("doc_id") > 5, 0))

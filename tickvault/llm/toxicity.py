@@ -6,9 +6,9 @@ ratio, the log of how much likelier a toxic text is to hold it, and a logistic
 regression with L2 penalty is fitted on the scaled features.
 
 The ratios count every labelled training row.  Only the regression is fitted on
-a sample: at most ``fit_rows`` rows of each class, those with the smallest hash
-of their text, so its size is bounded; its intercept is then moved to the
-classes' shares in all training rows.  The model is 2**bits numbers, a fixed
+a sample: at most ``fit_rows`` distinct texts of each class, those of smallest
+hash, each weighted by its rows, so its size is bounded; its intercept is then
+moved from the classes' shares in the sample to those in all training rows.  The model is 2**bits numbers, a fixed
 bound, and goes to the tasks with the scoring function.
 
 Edge cases: a null text is the empty text, which has no n-grams and gets the
@@ -24,12 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import map_arrow
+from tickvault.llm.common import map_arrow, written
 from tickvault.llm.language import runs
 
 BITS = 18
 LENGTHS = (3, 4, 5)
-#: Most rows of each class in the regression's sample.
+#: Most distinct texts of each class in the regression's sample.
 FIT_ROWS = 1500
 #: A feature in fewer labelled rows says too little to count.
 LEAST_ROWS = 3
@@ -97,7 +97,7 @@ def minimise(value, start: np.ndarray, steps: int = 60, kept: int = 6) -> np.nda
     return x
 
 
-def regression(labels: np.ndarray, parts: list[tuple[int, np.ndarray, np.ndarray]], ratio: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+def regression(labels: np.ndarray, weight: np.ndarray, parts: list[tuple[int, np.ndarray, np.ndarray]], ratio: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
     """Weights by feature (the ratio multiplied in) and intercept.  A part is a
     run of rows: the first, how many features each has, and the features; it
     bounds what a step holds besides four bytes a feature of the sample."""
@@ -107,11 +107,11 @@ def regression(labels: np.ndarray, parts: list[tuple[int, np.ndarray, np.ndarray
         for first, size, feats in parts:
             owner = np.repeat(np.arange(len(size)), size)
             z[first:first + len(size)] += np.bincount(owner, scaled[feats], len(size))
-        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels
+        error = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels)
         for first, size, feats in parts:
             back += np.bincount(feats, np.repeat(error[first:first + len(size)], size), len(ratio))
         grad = np.append(ratio * back + penalty * w[:-1], error.sum())
-        return np.logaddexp(0, np.where(labels > 0, -z, z)).sum() + penalty / 2 * (w[:-1] @ w[:-1]), grad
+        return weight @ np.logaddexp(0, np.where(labels > 0, -z, z)) + penalty / 2 * (w[:-1] @ w[:-1]), grad
 
     w = minimise(loss, np.zeros(len(ratio) + 1))
     return w[:-1] * ratio, float(w[-1])
@@ -132,18 +132,20 @@ def fit(training: DataFrame, text: Column, label: Column, bits: int = BITS, fit_
         some = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[1][some]), pa.array(total[0][some])], schema=schema)
 
-    n = {k: c for k, c in rows.groupBy("label").count().collect()}
+    rows = rows.withColumn("print", F.xxhash64("text"))
+    distinct = written(rows.groupBy("label", "print").agg(F.count(F.lit(1)).alias("n")), "distinct")
+    n = {k: c for k, c in distinct.groupBy("label").agg(F.sum("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
         return Model(np.zeros(1 << bits), float(np.log((toxic + 1) / (clean + 1))))
-    counted = (map_arrow(rows, count, "feature int, toxic long, clean long").groupBy("feature")
+    counted = (map_arrow(rows.select("text", "label"), count, "feature int, toxic long, clean long").groupBy("feature")
                .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow())  # 2**bits rows at most
     at, p, q = (counted.column(i).to_numpy() for i in range(3))
     ratio = np.zeros(1 << bits)
     ratio[at] = np.where(p + q >= LEAST_ROWS, np.log((p + 1) / (toxic + 2)) - np.log((q + 1) / (clean + 2)), 0)
 
     def learn(batches):
-        y, parts = [], []
+        y, copies, parts = [], [], []
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in runs(texts):
@@ -151,15 +153,17 @@ def fit(training: DataFrame, text: Column, label: Column, bits: int = BITS, fit_
                 some = ratio[f] != 0
                 parts.append((len(y) + lo, np.bincount(owner[some], minlength=hi - lo), f[some].astype(np.int32)))
             y += batch.column(1).to_pylist()
-        w, b = regression(np.array(y, float), parts, ratio, penalty)
+            copies += batch.column(2).to_pylist()
+        labels, weight = np.array(y, float), np.array(copies, float)
+        w, b = regression(labels, weight, parts, ratio, penalty)
+        b -= float(np.log(weight[labels > 0].sum() / weight[labels == 0].sum()))
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([b])], schema=pa.schema([("w", pa.binary()), ("b", pa.float64())]))
 
-    # rows of small hash, about twice as many as are wanted, so that little is gathered to take the smallest
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 31))
-    sample = [rows.where((F.col("label") == k) & (place < int(min(1.0, 2 * fit_rows / n[k]) * (1 << 31)))).orderBy(place, F.length("text")).limit(fit_rows) for k in (0, 1)]
-    w, b = map_arrow(sample[0].unionAll(sample[1]).coalesce(1), learn, "w binary, b double").first()
-    used = np.log(min(toxic, fit_rows) / min(clean, fit_rows))
-    return Model(np.frombuffer(w, np.float64), b + float(np.log(toxic / clean) - used))
+    last = [distinct.where(F.col("label") == k).orderBy("print").limit(fit_rows).agg(F.max("print")).first()[0] for k in (0, 1)]
+    small = rows.where(((F.col("label") == 0) & (F.col("print") <= last[0])) | ((F.col("label") == 1) & (F.col("print") <= last[1])))
+    sample = small.groupBy("label", "print").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n")).coalesce(1).sortWithinPartitions("label", "print")
+    w, b = map_arrow(sample.select("text", "label", "n"), learn, "w binary, b double").first()
+    return Model(np.frombuffer(w, np.float64), b + float(np.log(toxic / clean)))
 
 
 def score(docs: DataFrame, text: Column, model: Model, keep: list[str]) -> DataFrame:
