@@ -251,6 +251,18 @@ def test_html(spark):
     assert learn_costs(d.limit(0), F.col("html"))["p"] > 0 and extract(d.limit(0), F.col("html"), [], {}).count() == 0
 
 
+def test_html_rare_names(spark):
+    """Names beyond the common ones, and long ones, keep their learned costs."""
+    long = "x-a-name-of-over-twenty-characters"
+    pages = [(i, f"<article><{long}>a b c</{long}><x-in>d</x-in></article><x-out></x-out>") for i in range(60)]
+    d = spark.createDataFrame([*pages, (99, None)], "page_id long, html string")
+    all_costs, few = learn_costs(d, F.col("html")), learn_costs(d, F.col("html"), 1)
+    assert all_costs.rare is None and few.rare.count() == 2
+    test = spark.createDataFrame([(1, f"<p>a b</p><{long}><{long}><{long}><{long}>c d e</p>"), (2, None)], "page_id long, html string")
+    for costs in (all_costs, few):
+        assert {r["page_id"]: r["text"] for r in extract(test, F.col("html"), ["page_id"], costs).collect()} == {1: "a b\nc d e", 2: ""}
+
+
 def test_language_accuracy(spark):
     out = queries.queries()["op10_language_id"](spark, CHECK).join(spark.read.parquet(f"{CHECK}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
     assert (out[out.held_out].lang == out[out.held_out].lang_pred).mean() > 0.98

@@ -7,8 +7,10 @@ region of the largest score.  Words of menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments, and tags there, cost a little,
 wherever they stand, and are left out of the region's text.
 
-The costs are counted by Spark over all pages that have one article element;
-the driver gets one row per tag name (names of over 20 characters count as one).
+The costs are counted by Spark over all pages that have one article element,
+for every tag name (names of over 20 characters by a 128-bit hash).  The driver
+gets the 2,000 most frequent; costs of the others stay a table, joined to the
+pages that hold them.
 
 Edge cases: a null, empty or tagless page is one text; markup that never ends
 runs to the end of the page; references are decoded once; without marked pages
@@ -17,6 +19,7 @@ the costs below hold; of regions with equal scores the first is taken.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -26,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import map_arrow
+from tickvault.llm.common import fingerprint, map_arrow, written
 
 # Element names of HTML.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "math", "object", "canvas", "xmp", "noframes"}
@@ -46,6 +49,8 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([
 
 #: Costs without marked pages, of tags that usually stand around or in a main text; the least cost of a tag; seen so many times beforehand.
 LEAST, OTHER, AROUND, BEFOREHAND = 0.01, 1.0, 6.0, 2.0
+#: Names whose costs go through the driver; a task hands on so many counts at most.
+COMMON, HELD = 2000, 200_000
 #: Cost of a word or tag of what is not main text.
 ASIDE_COST = 0.05
 EXPECTED = dict.fromkeys(("p", "br", "b", "i", "em", "strong", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "code", "table", "tr", "td", "th", "figure", "figcaption", "img", "sup", "sub", "q", "hr", "span"), LEAST) \
@@ -123,6 +128,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         yield "tag", close + name, bool(skipped)
 
 
+class Costs(dict):
+    """Costs of the common names; ``rare`` has (name, cost) of all others, if any."""
+
+    rare: DataFrame | None = None
+
+
+def cost_key(tag: str) -> str:
+    name = tag.lstrip("/")
+    return name if len(name) <= 20 else "?" + hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
 def tag_counts(page: str) -> Counter:
     """(name, inside the article?) of the tags of a page with one article, else
     nothing; the article's own tags count as outside."""
@@ -135,12 +151,12 @@ def tag_counts(page: str) -> Counter:
         name = value.lstrip("/")
         if name in MARKED:
             inside = value[0] != "/"
-        out[name if len(name) <= 20 else "?", inside and name not in MARKED] += 1
+        out[cost_key(name), inside and name not in MARKED] += 1
     return out
 
 
-def main_text(page: str, costs: dict[str, float]) -> str:
-    """The page's main text, blocks joined by newlines."""
+def main_text(page: str, costs: dict[str, float], rare: dict[str, float] = {}) -> str:
+    """The page's main text, blocks joined by newlines; rare: its other costs."""
     row = list(tokens(page))
     best = total = 0.0
     start = first = last = 0
@@ -149,7 +165,8 @@ def main_text(page: str, costs: dict[str, float]) -> str:
             words = len(value.split())
             total += -ASIDE_COST * words if aside else words
         else:
-            total -= ASIDE_COST if aside else costs.get(value.lstrip("/"), OTHER)
+            key = cost_key(value)
+            total -= ASIDE_COST if aside else costs[key] if key in costs else rare.get(key, OTHER)
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
@@ -169,36 +186,75 @@ def main_text(page: str, costs: dict[str, float]) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def learn_costs(pages: DataFrame, page: Column) -> dict[str, float]:
+def learn_costs(pages: DataFrame, page: Column, common: int = COMMON) -> Costs:
+    schema = pa.schema([("name", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())])
+
     def count(batches):
         total = Counter()
+
+        def found():
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in total], pa.string()), pa.array([i for _, i in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], schema=schema)
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 total.update(tag_counts(text))
-        keys = sorted(total)
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.string()), pa.array([i for _, i in keys], pa.bool_()),
-                                          pa.array([total[k] for k in keys], pa.int64())], names=["name", "inside", "n"])
+                if len(total) > HELD:
+                    yield found()
+                    total.clear()
+        yield found()
 
     counted = map_arrow(pages.select(page.alias("page")).where("page is not null"), count, "name string, inside boolean, n long")
-    per_tag = (counted.groupBy("name").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inside"), F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "name").limit(2000).collect())
-    out = dict(EXPECTED)
-    for name, inside, n in per_tag:
+    per_tag = written(counted.groupBy("name").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inside"), F.sum("n").alias("n")), "tags")
+    known = F.col("name").isin(*EXPECTED)
+    first = per_tag.where(~known).orderBy(F.desc("n"), "name").limit(common).collect()
+    out = Costs(EXPECTED)
+    for name, inside, n in first + per_tag.where(known).collect():
         expected = EXPECTED.get(name, OTHER)
         odds = np.log((n - inside + BEFOREHAND) / (inside + BEFOREHAND))
         weight = n / (n + 10 * BEFOREHAND)
         out[name] = float(max(LEAST, weight * odds + (1 - weight) * expected))
+    if len(first) == common:
+        weight = F.col("n") / (F.col("n") + 10 * BEFOREHAND)
+        odds = F.log((F.col("n") - F.col("inside") + BEFOREHAND) / (F.col("inside") + BEFOREHAND))
+        out.rare = per_tag.where(~known & ~F.col("name").isin(*[r["name"] for r in first])).select("name", F.greatest(F.lit(LEAST), weight * odds + (1 - weight) * OTHER).alias("cost"))
     return out
 
 
+def rare_costs(rows: DataFrame, costs: Costs) -> DataFrame:
+    """rows (last columns __print, __page) with __names and __costs: the learned
+    costs of the page's tags that are not common."""
+    common = dict(costs)
+
+    def names(batches):
+        for batch in batches:
+            for mark, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = sorted({cost_key(v) for kind, v, aside in tokens(page) if kind == "tag" and not aside} - common.keys())
+                yield pa.RecordBatch.from_arrays([pa.array([mark] * len(found), pa.int64()), pa.array(found, pa.string())], names=["__print", "name"])
+
+    held = map_arrow(rows.select("__print", "__page").where("__page is not null"), names, "__print long, name string").distinct()
+    pairs = held.join(costs.rare, "name").groupBy("__print").agg(F.collect_list(F.struct("name", "cost")).alias("__pairs"))
+    per_page = pairs.select("__print", F.col("__pairs.name").alias("__names"), F.col("__pairs.cost").alias("__costs"))
+    return rows.join(per_page, "__print", "left")
+
+
 def extract(pages: DataFrame, page: Column, keep: list[str], costs: dict[str, float]) -> DataFrame:
     """The columns ``keep`` of pages, then text."""
     rows = pages.select(*[F.col(f"`{c}`") for c in keep if c != "text"], page.alias("__page"))
+    kept, common = rows.columns[:-1], dict(costs)
+    fields = rows.schema.fields[:-1]
+    more = getattr(costs, "rare", None) is not None
+    if more:
+        rows = rare_costs(rows.withColumn("__print", fingerprint(F.col("__page"))), costs).select(*[F.col(f"`{c}`") for c in kept], "__names", "__costs", "__page")
 
     def work(batches):
         for batch in batches:
-            texts = [main_text(p or "", costs) for p in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(batch.num_columns - 1)], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "text"])
+            found = batch.column(batch.num_columns - 1).to_pylist()
+            rare = [{}] * len(found)
+            if more:
+                both = (batch.column(batch.num_columns - i).to_pylist() for i in (3, 2))
+                rare = [dict(zip(n or (), c or ())) for n, c in zip(*both)]
+            texts = [main_text(p or "", common, r) for p, r in zip(found, rare)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, "text"])
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
     return map_arrow(rows, work, f"{schema}text string")
