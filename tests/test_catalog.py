@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck, rows  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from places import SF_SMALL  # noqa: E402
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()

@@ -13,7 +13,7 @@ from tickvault.plans.jobs import Warehouse
 from tickvault.sources import readers as R
 from tickvault.sources import sinks as W
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def test_option_instrument_defaults(spark):

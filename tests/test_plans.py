@@ -10,7 +10,7 @@ from tickvault.plans import fixtures
 from tickvault.sources import readers as R
 from tickvault.sources import sinks as W
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def plan(df):

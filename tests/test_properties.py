@@ -8,7 +8,7 @@ from tickvault.operators import bars, calendar
 from tickvault.plans import fixtures
 from tickvault.sources import sinks
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def _rows(df):

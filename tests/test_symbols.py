@@ -39,6 +39,10 @@ def test_native_symbol(spark):
     assert r["year"] == 2026                                          # documented rule
     r = one(spark, S.parse_native_symbol("s"), s="ZNZ99")
     assert r["year"] == 1999
+    assert one(spark, S.parse_native_symbol("s"), s="SYM349").year == 2249
+    far = one(spark, S.parse_native_symbol("s"), s="ESM2147483647")
+    assert far.year == 2147485547 and one(spark, S.parse_native_symbol("s"), s="ESM" + "9" * 30).year is None
+    assert one(spark, S.imm_date(S.parse_native_symbol("s")["year"], S.parse_native_symbol("s")["month"]), s="ESM2147483647") is None
     for bad in ["ES", "X", "ESH6-ESM6"]:
         assert one(spark, S.parse_native_symbol("s"), s=bad) is None
 
@@ -51,6 +55,10 @@ def test_option_and_future_symbols(spark):
     # unknown month letter -> January (reference rule), strict -> null month
     r = one(spark, S.parse_future_symbol("s"), s="ESA5")
     assert r["expiry"] == dt.date(2025, 1, 15)
+    assert one(spark, S.parse_native_symbol("s"), s="SYM349").year == 2249
+    far = one(spark, S.parse_native_symbol("s"), s="ESM2147483647")
+    assert far.year == 2147485547 and one(spark, S.parse_native_symbol("s"), s="ESM" + "9" * 30).year is None
+    assert one(spark, S.imm_date(S.parse_native_symbol("s")["year"], S.parse_native_symbol("s")["month"]), s="ESM2147483647") is None
     for bad in ["ES", "X", "ESH6-ESM6"]:
         assert one(spark, S.parse_future_symbol("s"), s=bad) is None
         assert one(spark, S.parse_option_symbol("s"), s=bad) is None

@@ -72,13 +72,13 @@ def parse_native_symbol(symbol="native_symbol", single_digit_base: int = 2000) -
 
     Shortest root of 1-4 characters followed by a month code (any case) and
     digits.  One digit: ``single_digit_base`` + d; two or more digits: n <= 50
-    gives 2000 + n, else 1900 + n.  Null when it does not parse."""
+    gives 2000 + n, else 1900 + n (a long; null beyond it).  Null when it
+    does not parse."""
     s = col(symbol)
     root = F.regexp_extract(s, NATIVE_SYMBOL_RE, 1)
     code = F.upper(F.regexp_extract(s, NATIVE_SYMBOL_RE, 2))
     digits = F.regexp_extract(s, NATIVE_SYMBOL_RE, 3)
-    n = digits.try_cast("int")            # null beyond an int, and no year beyond 2199
-    n = F.when(n < 300, n)
+    n = digits.try_cast("bigint")
     year = (F.when(F.length(digits) == 1, F.lit(single_digit_base) + n)
             .when(n <= 50, F.lit(2000) + n)
             .otherwise(F.lit(1900) + n))
@@ -170,8 +170,9 @@ def parse_ranks(ranks) -> Column:
 
 
 def imm_date(year, month) -> Column:
-    """Third Wednesday of (year, month)."""
-    first = F.make_date(col(year), col(month), F.lit(1))
+    """Third Wednesday of (year, month); null for years that no date has."""
+    y = col(year)
+    first = F.make_date(F.when(y.between(1, 9999), y).cast("int"), col(month), F.lit(1))
     return F.date_add(F.next_day(F.date_sub(first, 1), "Wed"), 14)
 
 

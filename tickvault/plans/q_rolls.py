@@ -11,9 +11,9 @@ AS_OF = "2026-01-01 00:00:00"
 _NAT = r"'^(.{1,4}?)([FGHJKMNQUVXZfghjkmnquvxz])([0-9]+)$'"
 _MONTH = """case upper(regexp_extract(native_symbol, {nat}, 2)) when 'F' then 1 when 'G' then 2 when 'H' then 3 when 'J' then 4
  when 'K' then 5 when 'M' then 6 when 'N' then 7 when 'Q' then 8 when 'U' then 9 when 'V' then 10 when 'X' then 11 when 'Z' then 12 end""".format(nat=_NAT)
-_YEAR = f"""case when length(regexp_extract(native_symbol, {_NAT}, 3)) = 1 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as int)
- when cast(regexp_extract(native_symbol, {_NAT}, 3) as int) <= 50 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as int)
- else 1900 + cast(regexp_extract(native_symbol, {_NAT}, 3) as int) end"""
+_YEAR = f"""case when length(regexp_extract(native_symbol, {_NAT}, 3)) = 1 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint)
+ when cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint) <= 50 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint)
+ else 1900 + cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint) end"""
 # Metadata (B11) in SQL: parsed symbol, IMM expiry, active range.
 _MD = f"""(select m.instrument_id, m.native_symbol, m.root, m.month, m.year,
    case when m.month is not null then cast(make_date(m.year, m.month, 1) + cast(((3 - isodow(make_date(m.year, m.month, 1)) + 7) % 7) + 14 as integer) as date) end as expiry_date,

@@ -61,9 +61,9 @@ select native_symbol,
  case when regexp_matches(native_symbol, {_NAT}) then regexp_extract(native_symbol, {_NAT}, 1) end as root,
  case when regexp_matches(native_symbol, {_NAT}) then {_MONTH_CASE.format(c=f"upper(regexp_extract(native_symbol, {_NAT}, 2))")} end as month,
  case when regexp_matches(native_symbol, {_NAT}) then
-   case when length(regexp_extract(native_symbol, {_NAT}, 3)) = 1 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as int)
-        when cast(regexp_extract(native_symbol, {_NAT}, 3) as int) <= 50 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as int)
-        else 1900 + cast(regexp_extract(native_symbol, {_NAT}, 3) as int) end end as year,
+   case when length(regexp_extract(native_symbol, {_NAT}, 3)) = 1 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint)
+        when cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint) <= 50 then 2000 + cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint)
+        else 1900 + cast(regexp_extract(native_symbol, {_NAT}, 3) as bigint) end end as year,
  case when regexp_matches(native_symbol, {_NAT}) then upper(regexp_extract(native_symbol, {_NAT}, 2)) end as month_code
  from {_NATIVE_SRC} s
 """)

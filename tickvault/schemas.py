@@ -30,7 +30,7 @@ G_CONTINUOUS_BAR_1M = ("ts_minute timestamp_ntz, contract_series string, underly
                        "h_mid double, l_mid double, c_mid double, v_trades double, v_notional double")
 G_CONTINUOUS_BAR_DAILY = ("trading_date date, contract_series string, underlying_instrument_id bigint, open double, "
                           "high double, low double, close double, volume bigint")
-DIM_INSTRUMENT_METADATA = ("instrument_id bigint, native_symbol string, root string, month int, year int, expiry_date date, "
+DIM_INSTRUMENT_METADATA = ("instrument_id bigint, native_symbol string, root string, month int, year bigint, expiry_date date, "
                            "date_range_start date, date_range_end date, last_updated timestamp_ntz")
 DIM_ROLL_DATES = ("contract_series string, rank int, roll_date date, old_instrument_id bigint, new_instrument_id bigint, "
                   "old_native_symbol string, new_native_symbol string, old_expiry_date date, new_expiry_date date")
