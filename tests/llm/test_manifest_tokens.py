@@ -144,6 +144,20 @@ def test_pieces_are_as_merged(vocabulary):
             assert p.last[i - 1] == vocabulary.merged(piece[:i])[-1]
 
 
+def test_pairs_are_as_merged(vocabulary):
+    """Which tokens fit after which, against merging both by definition."""
+    rng = random.Random(10)
+    short = [r for t, r in vocabulary.rank.items() if len(t) < 7]
+    for _ in range(6000):
+        a, b = rng.choice(short), rng.choice(short)
+        if rng.random() < 0.3:  # tokens of one letter or blank, of which merges overlap
+            a, b = (rng.choice([vocabulary.rank[c * n] for c in (b" ", b"a", b"-") for n in range(1, 9) if c * n in vocabulary.rank]) for _ in "ab")
+        both = vocabulary.merged(vocabulary.token[a] + vocabulary.token[b])
+        assert vocabulary.fits(a, b) == (both == [a, b]), (vocabulary.token[a], vocabulary.token[b])
+    for t in rng.sample(short, 500):
+        assert vocabulary.fits(bpe.START, t) == (vocabulary.merged(vocabulary.token[t]) == [t])
+
+
 def test_appends_and_edits_of_a_piece(vocabulary):
     rng = random.Random(2)
     for _ in range(60):
@@ -166,14 +180,14 @@ def test_an_edit_costs_little(vocabulary):
     rng = random.Random(4)
     p = bpe.Prefixes(vocabulary, bytes(rng.choice(b"abcdeinrst") for _ in range(20000)))
     done = p.replace(9000, 9003, b"xyz")
-    assert done < 3 * vocabulary.lengths[0]
+    assert done < 3 * vocabulary.longest
     assert p.last == bpe.Prefixes(vocabulary, p.piece).last
 
 
 def test_texts_are_as_in_the_library(vocabulary, library):
     rng = random.Random(5)
     for t in [*texts_of(rng, 1500), *(r[1] or "" for r in awkward())]:
-        ids = vocabulary.encode(t)
+        ids = vocabulary.encode([t])[0]
         assert np.frombuffer(ids, bpe.IDS).tolist() == library.encode_ordinary(t)
         assert vocabulary.decode(ids) == t.encode()
 
@@ -181,14 +195,20 @@ def test_texts_are_as_in_the_library(vocabulary, library):
 def test_long_texts_are_cut_where_matches_end(vocabulary, library, monkeypatch):
     monkeypatch.setattr(bpe, "SPLIT_CHARS", 7)
     for t in texts_of(random.Random(6), 1500):
-        assert np.frombuffer(vocabulary.encode(t), bpe.IDS).tolist() == library.encode_ordinary(t)
+        assert np.frombuffer(vocabulary.encode([t])[0], bpe.IDS).tolist() == library.encode_ordinary(t)
+
+
+def test_many_texts_at_once(vocabulary, library):
+    some = [*texts_of(random.Random(11), 3000), *(r[1] or "" for r in awkward())]
+    assert [np.frombuffer(ids, bpe.IDS).tolist() for ids in vocabulary.encode(some)] == library.encode_ordinary_batch(some)
+    assert vocabulary.encode([]) == []
 
 
 def test_full_memories_change_nothing(vocabulary, library, monkeypatch):
     monkeypatch.setattr(bpe, "MEMO", 3)
     monkeypatch.setattr(bpe, "PAIRS", 3)
     for t in texts_of(random.Random(7), 100):
-        assert np.frombuffer(vocabulary.encode(t), bpe.IDS).tolist() == library.encode_ordinary(t)
+        assert np.frombuffer(vocabulary.encode([t])[0], bpe.IDS).tolist() == library.encode_ordinary(t)
 
 
 def test_reencode(spark, vocabulary, library):
@@ -198,7 +218,7 @@ def test_reencode(spark, vocabulary, library):
         a, b = sorted(rng.randrange(len(t) + 1) for _ in range(2))
         rows.append((i, t, a, b, next(texts_of(rng, 1))[:5]))
     for _, t, a, b, new in rows:
-        assert vocabulary.reencode(t, vocabulary.encode(t), a, b, new) == vocabulary.encode(t[:a] + new + t[b:])
+        assert vocabulary.reencode(t, vocabulary.encode([t])[0], a, b, new) == vocabulary.encode([t[:a] + new + t[b:]])[0]
     d = spark.createDataFrame(rows[:100], "doc_id long, text string, a long, b long, new string")
     ids = bpe.encode(d, F.col("text"), ["doc_id", "text", "a", "b", "new"], RANKS, PATTERN)
     out = bpe.reencode(ids, F.col("text"), F.col("ids"), F.col("a"), F.col("b"), F.col("new"), ["doc_id"], RANKS, PATTERN)
