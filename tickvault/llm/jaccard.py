@@ -8,14 +8,18 @@ of fixed size.  A tile is the nodes that posted a shingle, cut by size bands so
 narrow that similar sets are in one band or in neighbours.
 
 A tile never emits all its pairs.  First every node is paired with the smallest
-node of its own and of the next smaller band; verified pairs are linked into
-components.  Then, in tiles that still hold several components, the nodes
-outside the tile's largest component meet the nodes of other components, as
-arrays in one task, and only pairs that pass the signatures come out.  A pair
-skipped so is connected already, so components are exact.
-
-Candidate pairs meet their bitmap signatures first (half as many bits as
-shingles or more, each set by the parity of the shingles hashed to it; unequal
+node of all its tiles, in its own and in the next smaller band; verified pairs
+are linked into components.  Then, in tiles that still hold several components,
+each node outside the tile's largest component meets the nodes of other
+components, as arrays in one task, and only its nearest one by signature comes
+out; after ``NEAREST_ROUNDS`` of this, with components linked in between, all
+pairs of different components that pass the signatures come out.  The first
+round uses signatures folded to half their bits; only tiles of nodes that had an
+allowed pair then go on, with whole signatures.  A pair skipped so is
+connected already, so components are exact.
+
+Candidate pairs meet their bitmap signatures first (as many bits as shingles
+or more, each set by the parity of the shingles hashed to it; unequal
 bits bound the overlap from above); what passes is verified by intersecting sorted arrays.
 
 Edge cases: null and wordless texts have the empty set and link with nothing;
@@ -40,6 +44,10 @@ from tickvault.llm.tokens import Words, grams, inside, splitmix, words_of
 SHINGLE, PERCENT, SKETCH_BITS = 5, 80, 18
 #: Most outsiders and members of a tile that meet in one place; larger tiles are cut.
 OUTSIDERS, MEMBERS = 128, 2048
+#: How often nodes meet only their nearest one before all pairs meet.
+NEAREST_ROUNDS = 2
+#: About as many bytes of tiles meet in one task at a time.
+BAG_BYTES = 1 << 21
 
 
 def shingle_sets(w: Words, k: int):
@@ -86,25 +94,26 @@ def unequal_bits(x: bytes, y: bytes) -> int:
 
 
 def _describe(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), ("bucket", pa.int32()), ("count", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), ("half", pa.binary()), ("bucket", pa.int32()), ("count", pa.int64())])
 
     def work(batches):
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            n, node, bits = [], [], []
+            n, node, bits, half = [], [], [], []
             for _, _, raw, offsets in text_chunks(batch, "text"):
                 for s in shingle_sets(words_of(raw, offsets, "lower"), k):
                     n.append(len(s))
                     node.append(node_of(s))
-                    bits.append(folded(signature(s)) if len(s) else None)
+                    bits.append(signature(s) if len(s) else None)
+                    half.append(folded(bits[-1]) if len(s) else None)
                     np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(n))
-            yield record(schema, batch.column(0), batch.column(1), n, node, bits, none.cast(pa.int32()), none.cast(pa.int64()))
+            yield record(schema, batch.column(0), batch.column(1), n, node, bits, half, none.cast(pa.int32()), none.cast(pa.int64()))
         some = np.flatnonzero(sketch)
         none = pa.nulls(len(some))
-        yield record(schema, *[none.cast(pa.int64())] * 4, none.cast(pa.binary()), some.astype(np.int32), sketch[some])
+        yield record(schema, *[none.cast(pa.int64())] * 4, *[none.cast(pa.binary())] * 2, some.astype(np.int32), sketch[some])
 
-    return work, "doc_id long, print long, n long, node long, bits binary, bucket int, count long"
+    return work, "doc_id long, print long, n long, node long, bits binary, half binary, bucket int, count long"
 
 
 def _post(k: int, percent: int, order: np.ndarray):
@@ -164,14 +173,15 @@ def _filter(percent: int):
     return work, "a long, b long"
 
 
-def _cross(percent: int):
+def _cross(percent: int, nearest: bool):
     """For a bag of tiles, each with outsiders (side 0) and all its nodes (side
-    1): the pairs of different components that sizes and signatures allow."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    1): the pairs of different components that sizes and signatures allow; or,
+    of each outsider, the nearest one by the share of unequal bits."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("share", pa.float64())])
 
-    def allowed(i, j, width, bits, size):
-        """Which pairs of rows have few enough unequal bits."""
-        ok = np.zeros(len(i), bool)
+    def unequal(i, j, width, bits):
+        """The number of unequal bits of pairs of rows."""
+        out = np.zeros(len(i), np.int64)
         least = np.minimum(width[i], width[j])
         for w in np.unique(least):
             mine = np.flatnonzero(least == w)
@@ -182,10 +192,19 @@ def _cross(percent: int):
             x, y = at[:len(mine)], at[len(mine):]
             slab = max(1, (1 << 20) // (w // 64))
             for lo in range(0, len(mine), slab):
-                part = mine[lo:lo + slab]
-                unequal = np.bitwise_count(table[x[lo:lo + slab]] ^ table[y[lo:lo + slab]]).sum(axis=1, dtype=np.int64)
-                ok[part] = unequal * (100 + percent) <= (100 - percent) * (size[i[part]] + size[j[part]])
-        return ok
+                out[mine[lo:lo + slab]] = np.bitwise_count(table[x[lo:lo + slab]] ^ table[y[lo:lo + slab]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    def reduced(found):
+        """Distinct pairs, or the nearest of each outsider."""
+        a, b, share = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        if not nearest:
+            a, b = np.maximum(a, b), np.minimum(a, b)
+        order = np.lexsort((b, share, a)) if nearest else np.lexsort((b, a))
+        a, b, share = a[order], b[order], share[order]
+        first = np.ones(len(a), bool)
+        first[1:] = (a[1:] != a[:-1]) if nearest else (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return a[first], b[first], share[first]
 
     def work(group: pa.Table) -> pa.Table:
         tile, side, minor, node, size, root = (group.column(c).to_numpy() for c in ("tile", "side", "minor", "node", "size", "root"))
@@ -194,16 +213,21 @@ def _cross(percent: int):
         width = np.array([8 * len(b) for b in bits])
         order = np.lexsort((side, tile))
         cut = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1], [True]]))
-        out: list[np.ndarray] = []
+        found: list[tuple[np.ndarray, ...]] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
             i, j = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            ok = (root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & (~minor[j] | (node[i] < node[j]))
+            ok = (root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+            if not nearest:
+                ok &= ~minor[j] | (node[i] < node[j])
             i, j = i[ok], j[ok]
-            ok = allowed(i, j, width, bits, size)
-            out.append(np.unique(np.stack([np.maximum(node[i], node[j])[ok], np.minimum(node[i], node[j])[ok]]), axis=1))
+            odd, both = unequal(i, j, width, bits), size[i] + size[j]
+            ok = odd * (100 + percent) <= (100 - percent) * both
+            found.append((node[i[ok]], node[j[ok]], odd[ok] / both[ok]))
+            if len(found) > 16:
+                found[:] = [reduced(found)]
 
         waiting = 0
         for lo, hi in zip(cut[:-1], cut[1:]):
@@ -216,10 +240,9 @@ def _cross(percent: int):
                 waiting = 0
         if held:
             flush()
-        a, b = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.Table.from_batches([record(schema, a, b)])
+        return pa.Table.from_batches([record(schema, *reduced(found))])
 
-    return work, "a long, b long"
+    return work, "a long, b long, share double"
 
 
 def _verify(k: int, percent: int):
@@ -259,13 +282,13 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     and print, or its set empty?)."""
     rows = docs.select(doc_id.cast("long").alias("doc_id"), fingerprint(text).alias("print"), text.alias("text"))
     seen = written(map_arrow(rows, *_describe(shingle)), "sets")
-    base = seen.where("bucket is null").select("doc_id", "print", "n", "node", "bits")
+    base = seen.where("bucket is null").select("doc_id", "print", "n", "node", "bits", "half")
     counts = seen.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()  # 2**SKETCH_BITS rows at most
     order = np.zeros(1 << SKETCH_BITS, np.int64)
     order[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
 
     at = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.col("print"))  # a null id comes last
-    nodes = written(base.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(at).alias("at"), F.min("doc_id").alias("doc_id")), "nodes")
+    nodes = written(base.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.min(at).alias("at"), F.min("doc_id").alias("doc_id")), "nodes")
     posted = written(map_arrow(rows, *_post(shingle, percent, order.astype(np.int32))), "posted")
     shared = written(posted.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h"), "shared")
     band = F.floor(F.log("size") / F.lit(math.log(100 / percent))).cast("int")
@@ -288,40 +311,70 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
         drop(likely, wanted, texts)
         return links
 
-    heads = written(tiles.groupBy("h", "band").agg(F.min(F.struct("node", "size")).alias("head")).select("h", "band", "head.node", "head.size"), "heads")
-    stars = None
+    # every node meets the smallest node of all its tiles, in its own band and in the one below
+    heads = tiles.groupBy("h", "band").agg(F.min(F.struct("node", "size")).alias("head")).select("h", "band", "head.node", "head.size")
+    heads = written(heads, "heads")
+    pairs = None
     for step in (0, 1):
         heads_of = heads.select("h", (F.col("band") + step).alias("band"), F.col("node").alias("other"), F.col("size").alias("other_size"))
-        pairs = tiles.join(heads_of, ["h", "band"]).where(fits & (F.col("node") != F.col("other")))
-        pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-        stars = pairs if stars is None else stars.unionAll(pairs)
-    stars = written(stars.distinct(), "stars")
+        met = tiles.join(heads_of, ["h", "band"]).where(fits & (F.col("node") != F.col("other"))).groupBy("node").agg(F.min("other").alias("other"))
+        met = met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
+        pairs = met if pairs is None else pairs.unionAll(met)
+    stars = written(pairs.distinct(), "stars")
     links = verified(stars, "stars")
     roots = components(links)
-
-    # tiles that still hold several components
-    placed = written(tiles.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    drop(heads, stars)
+
+    # tiles that still hold several components: their outsiders meet the nearest
+    # node of another component, and in the last round all that signatures allow
+    rest, bits = tiles, "half"
+    for turn in range(NEAREST_ROUNDS + 1):
+        before, (rest, load, bags) = rest, _mixed(rest, roots, nodes.select("node", F.col(bits).alias("bits")))
+        drop(before)
+        crossed = _crossed(rest, load, bags, percent, turn < NEAREST_ROUNDS)
+        drop(load)
+        found = verified(crossed, "crossed")
+        if not found.isEmpty():
+            links = written(links.unionAll(found), "links")
+            roots = components(links)
+        # a tile without an allowed pair has none later: only tiles of nodes that had one go on, with whole signatures
+        ends = crossed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        go_on = rest.join(ends, "node", "left_semi").select("h").distinct()
+        before, rest, bits = rest, written(rest.join(go_on, "h", "left_semi").select("h", "node", "size"), "go-on"), "bits"
+        drop(before, crossed)
+    drop(rest)
+    return _labelled(base, nodes, roots, at)
+
+
+def _mixed(tiles: DataFrame, roots: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Rows of the tiles that hold several components (those outside a tile's
+    largest are minor), into how many parts tiles are cut, and the number of
+    bags that they fill."""
+    placed = written(tiles.select("h", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     sizes = placed.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = written(sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("h", F.col("top.root").alias("major")), "mixed")
+    mixed = sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("h", F.col("top.root").alias("major"))
     rest = placed.join(mixed, "h").withColumn("minor", F.col("root") != F.col("major"))
-    rest = written(rest.join(nodes.select("node", "bits"), "node").select("h", "node", "size", "root", "minor", "bits"), "rest")
-    drop(placed, mixed)
+    rest = written(rest.join(nodes, "node").select("h", "node", "size", "root", "minor", "bits"), "rest")
+    drop(placed)
     load = rest.groupBy("h").agg(F.count_if("minor").alias("q"), F.count(F.lit(1)).alias("m"))
     load = written(load.select("h", F.ceil(F.col("q") / OUTSIDERS).cast("int").alias("few"), F.ceil(F.col("m") / MEMBERS).cast("int").alias("many")), "load")
-    bags = max(512, rest.count() // 8192)
+    held = rest.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
+    return rest, load, max(512, held // BAG_BYTES)
+
+
+def _crossed(rest: DataFrame, load: DataFrame, bags: int, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of _cross over all tiles; of a node the nearest if so asked."""
     sides = rest.join(load, "h").withColumn("side", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("few")).otherwise(F.col("many")))
     across = F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("many")).otherwise(F.col("few")) - 1))
     sides = sides.withColumn("own", own.cast("int")).withColumn("across", across)
     sides = sides.withColumn("tile", F.when(F.col("side") == 0, F.xxhash64("h", "own", "across")).otherwise(F.xxhash64("h", "across", "own")))
-    work, schema = _cross(percent)
+    work, schema = _cross(percent, nearest)
     by_value()
     pairs = sides.select(F.pmod("tile", F.lit(bags)).alias("bag"), "tile", "side", "minor", "node", "size", "root", "bits").groupBy("bag").applyInArrow(work, schema)
-    crossed = written(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "crossed")
-    drop(rest, load, stars, tiles, heads)
-    if crossed.isEmpty():
-        return _labelled(base, nodes, roots, at)
-    return _labelled(base, nodes, components(links.unionAll(verified(crossed, "crossed"))), at)
+    if nearest:
+        pairs = pairs.groupBy("a").agg(F.min(F.struct("share", "b")).alias("best")).select(F.greatest("a", "best.b").alias("a"), F.least("a", "best.b").alias("b"))
+    return written(pairs.select("a", "b").distinct(), "crossed")
 
 
 def _labelled(base: DataFrame, nodes: DataFrame, roots: DataFrame, at: Column) -> DataFrame:
