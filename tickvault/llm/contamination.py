@@ -204,13 +204,17 @@ def block_hits(rows: DataFrame, phrases: Phrases) -> DataFrame:
     return map_arrow(rows, work, kept + RESULT)
 
 
+#: A word before A-Z are lower-cased.
+ANY_CASE = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
 def find_contamination(docs: DataFrame, text: Column, keep: list[str], benchmark: DataFrame, item_id: Column, item_text: Column,
                        window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The columns ``keep`` of docs, then n_words; spans, the hit words as
     (start, stop); items, the ids of items with an occurring phrase, sorted."""
     rows = docs.select(*[F.col(f"`{c}`") for c in keep if c not in ("n_words", "spans", "items")], text.alias("__text"))
     tests = benchmark.select(F.coalesce(item_id.cast("string"), F.lit("null")).alias("id"), F.coalesce(item_text, F.lit("")).alias("text"))
-    size = F.regexp_count("text", F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"))
+    size = F.regexp_count("text", F.lit(ANY_CASE))
     blocks = max(1, -(-int(tests.select(F.sum(size)).first()[0] or 0) // block_words))
     cut = tests.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
 
@@ -227,7 +231,7 @@ def find_contamination(docs: DataFrame, text: Column, keep: list[str], benchmark
     for p in parts[1:]:
         some = some.unionAll(p.where("size(spans) > 0"))
     met = written(some.groupBy(*keys).agg(F.flatten(F.collect_set("spans")).alias("__spans"), F.flatten(F.collect_set("items")).alias("__items")), "contaminated")
-    left = marked.withColumn("__words", F.regexp_count(F.coalesce("__text", F.lit("")), F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")).cast("long")).drop("__text")
+    left = marked.withColumn("__words", F.regexp_count(F.coalesce("__text", F.lit("")), F.lit(ANY_CASE)).cast("long")).drop("__text")
     same = [left[k].eqNullSafe(met[k]) for k in keys]
     condition = same[0]
     for s in same[1:]:
