@@ -28,6 +28,8 @@ from tickvault.llm.tokens import splitmix
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+#: Most trigrams, and most cells of a table texts x trigrams, that are bundled at a time.
+GRAMS, CELLS = 1 << 14, 1 << 22
 _letters: dict[str, np.ndarray] = {}
 
 
@@ -58,13 +60,23 @@ def vectors(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
 
 def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """One bundle (float32) per text; zero if it has no letters."""
-    counted = [trigrams(t) for t in texts]
+    return _bundled([trigrams(t) for t in texts], dimensions) if texts else np.zeros((0, dimensions), np.float32)
+
+
+def _bundled(counted: list[tuple[np.ndarray, np.ndarray]], dimensions: int) -> np.ndarray:
     known, at = np.unique(np.concatenate([g for g, _ in counted]), return_inverse=True)
-    if not len(known):
-        return np.zeros((len(texts), dimensions), np.float32)
-    table = np.zeros((len(texts), len(known)), np.float32)
-    table[np.repeat(np.arange(len(texts)), [len(g) for g, _ in counted]), at] = np.concatenate([n for _, n in counted])
-    return table @ vectors(known, dimensions).astype(np.float32)
+    half = len(counted) // 2
+    if half and (len(known) > GRAMS or len(known) * len(counted) > CELLS):  # many letters: fewer texts at a time
+        return np.concatenate([_bundled(counted[:half], dimensions), _bundled(counted[half:], dimensions)])
+    out = np.zeros((len(counted), dimensions), np.float32)
+    text, n = np.repeat(np.arange(len(counted)), [len(g) for g, _ in counted]), np.concatenate([n for _, n in counted])
+    for lo in range(0, len(known), GRAMS):
+        mine = (at >= lo) & (at < lo + GRAMS)
+        some = known[lo:lo + GRAMS]
+        table = np.zeros((len(counted), len(some)), np.float32)
+        table[text[mine], at[mine] - lo] = n[mine]
+        out += table @ vectors(some, dimensions).astype(np.float32)
+    return out
 
 
 def runs(texts: list[str], chars: int = 1 << 18) -> Iterator[tuple[int, int]]:
