@@ -48,9 +48,36 @@ def test_price_csv(spark, tmp_dir):
 def test_vendor_csv(spark, tmp_dir):
     p = f"{tmp_dir}/mw.csv"
     with open(p, "w") as f:
-        f.write('Date,Close\n01/05/2024,"$4,700.50"\n01/04/2024,N/A\n2024-01-03, 4690 \n')
-    got = sorted((r["date"], r["value"]) for r in R.read_vendor_csv(spark, p).collect())
-    assert got == [(dt.date(2024, 1, 3), 4690.0), (dt.date(2024, 1, 5), 4700.5)]
+        f.write('Date,Close\n01/05/2024,"$4,700.50"\n01/04/2024,N/A\n01/03/2024, 4690 \n01/05/2024,4701\n,5\n')
+    with open(f"{tmp_dir}/iso.csv", "w") as f:
+        f.write("Date,Close\n2024-02-01,1\n2024-02-02,-\n")
+    for name, line in (("torn", "not a date,7"), ("mixed", "2024-03-02,7")):      # one format for a file
+        with open(f"{tmp_dir}/{name}.csv", "w") as f:
+            f.write(f"Date,Close\n03/01/2024,6\n{line}\n")
+    rows, files = R.read_vendor_csv(spark, f"{tmp_dir}/*.csv")
+    got = sorted((r["date"], r["value"]) for r in rows.collect())
+    assert got == [(dt.date(2024, 1, 3), 4690.0), (dt.date(2024, 1, 5), 4701.0), (dt.date(2024, 2, 1), 1.0)]
+    status = {r["file"].rsplit("/", 1)[-1]: (r["date_format"], r["error"]) for r in files.collect()}
+    bad = (None, "Failed to parse dates")
+    assert status == {"mw.csv": ("vendor", None), "iso.csv": ("general", None), "torn.csv": bad, "mixed.csv": bad}
+
+
+def test_price_csv_of_several_splits(spark, tmp_dir):
+    """The last row of a date in file order, also when blocks are read apart."""
+    n = 4000
+    with open(f"{tmp_dir}/long.csv", "w") as f:
+        f.write("date,close\n" + "".join(f"2024-01-{i % 28 + 1:02d},{i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        raw = spark.read.option("header", "true").csv(f"{tmp_dir}/long.csv")
+        assert raw.rdd.getNumPartitions() > 5
+        got = {r["date"].day: r["value"] for r in R.read_price_csv(spark, f"{tmp_dir}/long.csv").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {i % 28 + 1: float(i) for i in range(n - 28, n)}
 
 
 def test_scan_tolerant_and_schema_checks(spark, tmp_dir):
@@ -58,8 +85,17 @@ def test_scan_tolerant_and_schema_checks(spark, tmp_dir):
     spark.range(5).withColumn("v", F.col("id") * 1.5).write.parquet(good)
     with open(f"{tmp_dir}/in/2024-01-03.parquet", "w") as f:
         f.write("not parquet")
-    df, skipped = R.scan_tolerant(spark, f"{tmp_dir}/in/*", schema="id bigint, v double")
-    assert df.count() == 5 and len(skipped) == 1 and skipped[0].endswith("2024-01-03.parquet")
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    torn = f"{tmp_dir}/in/2024-01-04 a+b.parquet"             # breaks after its first row group
+    pq.write_table(pa.table({"id": range(100, 4100), "v": [float(x) for x in range(4000)]}), torn, row_group_size=1000, compression="none", use_dictionary=False)
+    at = pq.ParquetFile(torn).metadata.row_group(2).column(0).data_page_offset
+    with open(torn, "r+b") as f:
+        f.seek(at)
+        f.write(b"\xff" * 64)
+    df, skipped = R.scan_tolerant(spark, f"{tmp_dir}/in/*", "id bigint, v double")
+    bad = {r["path"].rsplit("/", 1)[-1]: r["error"] for r in skipped.collect()}
+    assert df.count() == 5 and set(bad) == {"2024-01-03.parquet", "2024-01-04 a+b.parquet"} and all(bad.values())
     assert R.require_columns(df, ["id", "v", "w"]) == ["w"]
     assert R.require_types(df, {"id": "bigint", "v": "string", "zz": "int"}) == ["v: expected string, got double"]
     d = df.select(R.date_from_filename().alias("d")).distinct().collect()
@@ -89,7 +125,7 @@ def test_partitioned_writers(spark, tmp_dir):
     # Full replace of the canonical map
     W.replace_small_table(t["fx_canonical"], f"{tmp_dir}/canon")
     W.replace_small_table(t["fx_canonical"].filter("not optional"), f"{tmp_dir}/canon")
-    assert spark.read.parquet(f"{tmp_dir}/canon").count() == 5
+    assert W.read_table(spark, f"{tmp_dir}/canon").count() == 5
     # W5 / W6
     assert W.create_like(b).count() == 0 and W.create_like(b).schema == b.schema
     W.insert_missing_dates(spark, t["fx_index_old"], f"{tmp_dir}/idx", ["series_id", "date"])

@@ -40,4 +40,52 @@ def test_staging_is_removed(spark, tmp_dir):
         f(spark, d, f"{tmp_dir}/{f.__name__}", ["k"], [], ["v"])
     W.replace_small_table(d, f"{tmp_dir}/small")
     assert left() == before
-    assert spark.read.parquet(f"{tmp_dir}/upsert_replace").count() == 1
+    assert W.read_table(spark, f"{tmp_dir}/upsert_replace").count() == 1
+
+
+def test_a_crash_leaves_the_old_table_or_the_new(spark, tmp_dir, monkeypatch):
+    """Stopped at every step of a replace, first and later, plain or versioned
+    before: a reader sees the old rows until the commit, then the new ones."""
+    path = f"{tmp_dir}/t"
+    spark.range(3).write.parquet(path)                       # a table from before versions
+    seen = lambda: sorted(r[0] for r in W.read_table(spark, path).collect())
+
+    class Crash(Exception):
+        pass
+
+    def crash(*_):
+        raise Crash
+
+    old = [0, 1, 2]
+    for turn in range(3):
+        new = [10 * (turn + 1) + i for i in range(2)]
+        d = spark.createDataFrame([(x,) for x in new], "id long")
+        for step, after in (("_write", old), ("_commit", old), ("_tidy", new)):
+            with monkeypatch.context() as m:
+                m.setattr(W, step, crash)
+                try:
+                    W.replace_table(d, path)
+                    raise AssertionError("no crash")
+                except Crash:
+                    pass
+            assert seen() == after, (turn, step)
+        W.replace_table(d, path)
+        old = new
+    W.upsert_replace(spark, spark.createDataFrame([(30,), (40,)], "id long"), path, ["id"], [], ["id"])
+    assert seen() == [30, 31, 40]
+    W.upsert_ignore(spark, spark.createDataFrame([(31,), (50,)], "id long"), path, ["id"], [], ["id"])
+    assert seen() == [30, 31, 40, 50]
+    assert len(W._commits(spark, path)) == 2 and len(glob.glob(f"{path}/_versions/*")) == 2 and not glob.glob(f"{path}/part-*")
+
+
+def test_a_first_write_that_crashes_is_no_table(spark, tmp_dir, monkeypatch):
+    path, d = f"{tmp_dir}/t", spark.range(3)
+    with monkeypatch.context() as m:
+        m.setattr(W, "_commit", lambda *_: 1 / 0)
+        try:
+            W.replace_table(d, path)
+        except ZeroDivisionError:
+            pass
+    assert not W.exists(spark, path)
+    W.replace_table(d, path)
+    assert W.exists(spark, path) and W.read_table(spark, path).count() == 3

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_by, last_by, mid, spread, time_bucket
+from .selection import exact_median, with_medians
 
 BAR_KEY = "ts_minute"
 
@@ -161,14 +162,13 @@ def quote_close(quotes: DataFrame, symbol: str = "symbol", approx: bool = False,
                 accuracy: int = 10000) -> DataFrame:
     """Per (UTC date, symbol) the median mid and median spread.
 
-    Exact ``median`` keeps a value->count map per group (bounded by distinct
-    price levels, combined map-side); ``approx=True`` switches to
-    ``percentile_approx`` for groups with unbounded distinct values."""
+    Exact medians are selected in parts of a group (``exact_median``);
+    ``approx=True`` gives ``percentile_approx`` in one pass."""
     q = quotes.select(F.to_date("ts_event").alias("date"), F.col(symbol),
                       mid().alias("_mid"), spread().alias("_spr"))
     if approx:
         m1 = F.percentile_approx("_mid", 0.5, accuracy)
         m2 = F.percentile_approx("_spr", 0.5, accuracy)
-    else:
-        m1, m2 = F.median("_mid"), F.median("_spr")
-    return q.groupBy("date", symbol).agg(m1.alias("mid_close"), m2.alias("spread_close"))
+        return q.groupBy("date", symbol).agg(m1.alias("mid_close"), m2.alias("spread_close"))
+    by = ["date", symbol]
+    return with_medians(q.select(*by).distinct(), by, exact_median(q, by, F.col("_mid"), "mid_close"), exact_median(q, by, F.col("_spr"), "spread_close"))

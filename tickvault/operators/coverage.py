@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, mid, round_dp, spread
 from ..functions.symbols import series_rank, series_root
+from .selection import exact_median, with_medians
 
 # --- fixed values (must equal the reference's) -----------------------------
 # Day classes by quote count.
@@ -209,9 +210,11 @@ def spread_stats(quotes: DataFrame, instruments: DataFrame) -> DataFrame:
     """Per symbol: count, min/avg/max/median spread."""
     j = quotes.join(instruments.select("instrument_id", "symbol_canonical"), "instrument_id", "inner") \
         .withColumn("_s", spread())
-    return j.groupBy(F.col("symbol_canonical").alias("symbol")).agg(
+    j = j.withColumn("symbol", F.col("symbol_canonical"))
+    per = j.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("quote_count"), F.min("_s").alias("min_spread"), F.avg("_s").alias("avg_spread"),
-        F.max("_s").alias("max_spread"), F.median("_s").alias("median_spread"))
+        F.max("_s").alias("max_spread"))
+    return with_medians(per, ["symbol"], exact_median(j, ["symbol"], F.col("_s"), "median_spread"))
 
 
 def day_class(n: Column) -> Column:
@@ -368,9 +371,10 @@ def option_file_profile(quotes: DataFrame, file_col: str = "file") -> DataFrame:
         (span / 60e6).alias("time_range_minutes"),
         F.count_if(F.col(bid).isNull()).alias("missing_bid"), F.count_if(F.col(ask).isNull()).alias("missing_ask"),
         F.count_if(F.col("_spr") < 0).alias("negative_spreads"),
-        F.count_if((F.col(bid) == 0) | (F.col(ask) == 0)).alias("zero_prices"),
-        F.median("_spr").alias("median_spread"),
-        F.median(F.try_divide(F.col("_spr"), F.col("_mid")) * 100).alias("median_spread_pct"))
+        F.count_if((F.col(bid) == 0) | (F.col(ask) == 0)).alias("zero_prices"))
+    share = F.try_divide(F.col("_spr"), F.col("_mid")) * 100
+    per = with_medians(per, [file_col], exact_median(q, [file_col], F.col("_spr"), "median_spread"),
+                       exact_median(q, [file_col], share, "median_spread_pct"))
     return per.withColumn("avg_symbols_per_minute",
                           F.coalesce(F.try_divide(F.col("total_rows").cast("double"), F.col("unique_minutes")), F.lit(0.0)))
 
@@ -411,8 +415,8 @@ def quote_brief(quotes: DataFrame) -> DataFrame:
     bid = "bid_px_00" if "bid_px_00" in cols else "bid_px"
     ask = "ask_px_00" if "ask_px_00" in cols else "ask_px"
     return quotes.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol").alias("symbols"),
-                      F.min("ts_event").alias("time_min"), F.max("ts_event").alias("time_max"),
-                      F.median(spread(bid, ask)).alias("median_spread"))
+                      F.min("ts_event").alias("time_min"), F.max("ts_event").alias("time_max")) \
+        .transform(with_medians, [], exact_median(quotes, [], spread(bid, ask), "median_spread"))
 
 
 def daily_bar_summary(bars: DataFrame) -> tuple[DataFrame, DataFrame]:

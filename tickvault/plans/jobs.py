@@ -1,19 +1,21 @@
 """Composed jobs (Z1-Z8) over a warehouse root of partitioned Parquet tables.
 
-A product is a plain dict entry (input globs, loaders, bar build, checks);
+A product is a plain dict entry (declared loads and, if it has one, a bar build);
 there is no dynamic import.  Every step is a Spark job over all the files at
 once -- no per-file, per-root or per-month Python loops.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
+from ..functions.symbols import series_root
 from ..operators import bars as B
 from ..operators import checks as V
 from ..operators import index_quality as IQ
@@ -26,31 +28,76 @@ from ..sources import sinks as W
 
 
 @dataclass(frozen=True)
-class Product:
-    instruments_glob: str
-    quotes_glob: str
-    trades_glob: str
-    instrument_table: str
-    quote_table: str
-    trade_table: str
-    bar_table: str
+class Load:
+    """One step of a product's load: files, how they are typed, the table they
+    go to and the write: ``replace`` (W2), ``ignore`` (W3) or ``append`` (W1).
+    ``partition`` is a column and the expression that gives it."""
+    glob: str
+    schema: str
+    typed: Callable[[DataFrame], DataFrame]
+    table: str
+    write: str
+    key: tuple[str, ...] = ()
+    partition: tuple[str, Callable[[], Column]] | None = None
+    order: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] | None = None
+
+
+@dataclass(frozen=True)
+class Bars:
+    """How a product's bars are built (Z2) and what its rows link to (Z3)."""
+    quotes: str
+    trades: str
+    table: str
+    dimension: str
     key: str
-    with_spread: bool
-    instrument_schema: str
+    with_spread: bool = False
+    underlying: str | None = None
+
+
+@dataclass(frozen=True)
+class Product:
+    loads: tuple[Load, ...]
+    bars: Bars | None = None
+
+
+TRADE_DATE = ("trade_date", lambda: F.to_date("ts_event"))
+MONTH = ("month", lambda: F.date_format("trading_date", "yyyy-MM"))
+
+
+def _ticks(key: str, quotes: str, trades: str, quote_table: str, trade_table: str, continuous: bool = False) -> tuple[Load, Load]:
+    """Quotes are inserted unless there; trades have no key and are appended
+    (a rerun doubles them, as in the reference).  Files are sorted by (key,
+    time) inside each day, so point lookups skip row groups."""
+    more = ("underlying_instrument_id",) if continuous else ()
+    return (Load(quotes, schemas.F_CONTINUOUS_QUOTE_L1 if continuous else schemas.F_QUOTE_L1, lambda d: R.load_quotes(d, continuous), quote_table,
+                 "ignore", ("trade_date", "ts_event", key, *more), TRADE_DATE, ("ts_rcv", "ts_event"), (key, "ts_event")),
+            Load(trades, schemas.F_CONTINUOUS_TRADE if continuous else schemas.F_TRADE, lambda d: R.load_trades(d, continuous), trade_table,
+                 "append", (), TRADE_DATE, (), (key, "ts_event")))
 
 
 # --- fixed values (must equal the reference's) -----------------------------
+CONTRACTS = Load("continuous_instruments/*.parquet", schemas.DIM_CONTINUOUS_CONTRACT, R.load_continuous_contracts,
+                 "dim_continuous_contract", "replace", ("contract_series",), None, ("contract_series",))
 PRODUCTS = {
-    "ES_OPTIONS_MDP3": Product("instruments/*.parquet", "quotes_l1/*.parquet", "trades/*.parquet",
-                               "dim_instrument", "f_quote_l1", "f_trade", "g_bar_1m", "instrument_id", True,
-                               schemas.DIM_INSTRUMENT),
-    "ES_FUTURES_MDP3": Product("fut_instruments/*.parquet", "fut_quotes_l1/*.parquet", "fut_trades/*.parquet",
-                               "dim_fut_instrument", "f_fut_quote_l1", "f_fut_trade", "g_fut_bar_1m", "instrument_id",
-                               False, schemas.DIM_FUT_INSTRUMENT),
-    "ES_CONTINUOUS_MDP3": Product("continuous_instruments/*.parquet", "continuous_quotes_l1/*.parquet",
-                                  "continuous_trades/*.parquet", "dim_continuous_contract", "f_continuous_quote_l1",
-                                  "f_continuous_trade", "g_continuous_bar_1m", "contract_series", False,
-                                  schemas.DIM_CONTINUOUS_CONTRACT),
+    "ES_OPTIONS_MDP3": Product(
+        (Load("instruments/*.parquet", schemas.DIM_INSTRUMENT, R.load_option_instruments, "dim_instrument", "replace",
+              ("instrument_id",), None, ("instrument_id",)),
+         *_ticks("instrument_id", "quotes_l1/*.parquet", "trades/*.parquet", "f_quote_l1", "f_trade")),
+        Bars("f_quote_l1", "f_trade", "g_bar_1m", "dim_instrument", "instrument_id", with_spread=True)),
+    "ES_FUTURES_MDP3": Product(
+        (Load("fut_instruments/*.parquet", schemas.DIM_FUT_INSTRUMENT, R.load_future_instruments, "dim_fut_instrument", "replace",
+              ("instrument_id",), None, ("instrument_id",)),
+         *_ticks("instrument_id", "fut_quotes_l1/*.parquet", "fut_trades/*.parquet", "f_fut_quote_l1", "f_fut_trade")),
+        Bars("f_fut_quote_l1", "f_fut_trade", "g_fut_bar_1m", "dim_fut_instrument", "instrument_id")),
+    "ES_CONTINUOUS_MDP3": Product(
+        (CONTRACTS, *_ticks("contract_series", "continuous_quotes_l1/*.parquet", "continuous_trades/*.parquet",
+                            "f_continuous_quote_l1", "f_continuous_trade", continuous=True)),
+        Bars("f_continuous_quote_l1", "f_continuous_trade", "g_continuous_bar_1m", "dim_continuous_contract", "contract_series",
+             underlying="underlying_instrument_id")),
+    "ES_CONTINUOUS_DAILY_MDP3": Product(
+        (CONTRACTS, Load("continuous_bars_daily/*.parquet", schemas.G_CONTINUOUS_BAR_DAILY, R.load_daily_bars, "g_continuous_bar_daily",
+                         "replace", ("month", "trading_date", "contract_series"), MONTH, ("underlying_instrument_id", "volume", "close")))),
 }
 # ---------------------------------------------------------------------------
 
@@ -73,49 +120,40 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame | None:
         p = self.path(name)
-        return W.read_as(self.spark, p, PARTITION_TYPES) if R.list_files(self.spark, p) else None
+        return W.read_as(self.spark, p, PARTITION_TYPES) if W.exists(self.spark, p) else None
 
     # Z1 ---------------------------------------------------------------------
     def ingest(self, product: str, source: str) -> None:
-        """Load instruments (upsert on id), quotes (insert-or-ignore on
-        (ts_event, key), partitioned by UTC date) and trades (append, as in
-        the reference: trades have no key, so a rerun doubles them)."""
-        p = PRODUCTS[product]
+        """A product's loads, one after the other; a load without files is
+        skipped.  Ticks are partitioned by UTC date, daily bars by month."""
         s = self.spark
         size_shuffle_partitions(s, source)
-        cont = product == "ES_CONTINUOUS_MDP3"
-        inst_raw = R.scan_optional(s, f"{source}/{p.instruments_glob}", p.instrument_schema)
-        if product == "ES_OPTIONS_MDP3":
-            inst = R.load_option_instruments(inst_raw)
-        elif product == "ES_FUTURES_MDP3":
-            inst = R.load_future_instruments(inst_raw)
-        else:
-            inst = R.load_continuous_contracts(inst_raw)
-        qschema = schemas.F_CONTINUOUS_QUOTE_L1 if cont else schemas.F_QUOTE_L1
-        tschema = schemas.F_CONTINUOUS_TRADE if cont else schemas.F_TRADE
-        quotes = R.load_quotes(R.scan_optional(s, f"{source}/{p.quotes_glob}", qschema), cont) \
-            .withColumn("trade_date", F.to_date("ts_event"))
-        trades = R.load_trades(R.scan_optional(s, f"{source}/{p.trades_glob}", tschema), cont) \
-            .withColumn("trade_date", F.to_date("ts_event"))
-        ikey = "contract_series" if cont else "instrument_id"
-        W.upsert_replace(s, inst, self.path(p.instrument_table), [ikey], [], [ikey])
-        qkey = ["trade_date", "ts_event", p.key] + (["underlying_instrument_id"] if cont else [])
-        # files sorted by (key, time) inside each day: row-group statistics
-        # prune point lookups by instrument/series and time range
-        W.upsert_ignore(s, quotes, self.path(p.quote_table), qkey, ["trade_date"], ["ts_rcv", "ts_event"],
-                        sort_by=[p.key, "ts_event"])
-        W.append(trades, self.path(p.trade_table), ["trade_date"], sort_by=[p.key, "ts_event"])
+        for load in PRODUCTS[product].loads:
+            if not R.list_files(s, f"{source}/{load.glob}"):
+                continue
+            rows = load.typed(R.scan_optional(s, f"{source}/{load.glob}", load.schema))
+            parts = [load.partition[0]] if load.partition else []
+            if load.partition:
+                rows = rows.withColumn(load.partition[0], load.partition[1]())
+            path, sort_by = self.path(load.table), load.sort_by
+            if load.write == "append":
+                W.append(rows, path, parts, sort_by)
+            elif load.write == "ignore":
+                W.upsert_ignore(s, rows, path, list(load.key), parts, list(load.order), sort_by)
+            else:
+                W.upsert_replace(s, rows, path, list(load.key), parts, list(load.order), sort_by)
 
     # Z2 ---------------------------------------------------------------------
     def build(self, product: str, width_seconds: int = 60, volume: str = "once") -> None:
-        """Incremental bars.  The high-water mark (B4) selects the quotes
-        to (re)build; the rebuilt days replace their partitions (W7)."""
-        p = PRODUCTS[product]
-        quotes, trades = self.table(p.quote_table), self.table(p.trade_table)
+        """Incremental bars (a product of daily bars has none to build).
+        The high-water mark (B4) selects the quotes to (re)build; the rebuilt
+        days replace their partitions (W7)."""
+        p = PRODUCTS[product].bars
+        quotes, trades = (self.table(p.quotes), self.table(p.trades)) if p else (None, None)
         if quotes is None:
             return
-        existing = self.table(p.bar_table)
-        days = [d for d in (f.rsplit("bar_date=", 1)[-1] for f in R.list_files(self.spark, f"{self.path(p.bar_table)}/bar_date=*"))
+        existing = self.table(p.table)
+        days = [d for d in (f.rsplit("bar_date=", 1)[-1] for f in R.list_files(self.spark, f"{self.path(p.table)}/bar_date=*"))
                 if d[:1].isdigit()]
         last = existing.filter(F.col("bar_date") == F.lit(max(days)).cast("date")) if existing is not None and days else existing
         cutoff = B.incremental_cutoff(last)
@@ -123,15 +161,14 @@ class Warehouse:
         t = B.incremental_quotes(trades, cutoff) if trades is not None else \
             self.spark.createDataFrame([], schemas.F_TRADE).withColumn(p.key, F.lit(None).cast("bigint"))
         order = ("ts_event", "ts_rcv")
-        und = "underlying_instrument_id" if product == "ES_CONTINUOUS_MDP3" else None
-        bars = B.quote_bars(q, t, p.key, width_seconds, p.with_spread, volume, order, und) \
+        bars = B.quote_bars(q, t, p.key, width_seconds, p.with_spread, volume, order, p.underlying) \
             .withColumn("bar_date", F.to_date("ts_minute"))
         if existing is not None:
             # keep older bars of the first rebuilt day
             first_day = F.to_date(F.lit(cutoff).cast("timestamp_ntz"))
             keep = existing.filter((F.col("bar_date") == first_day) & (F.col("ts_minute") < F.lit(cutoff).cast("timestamp_ntz")))
             bars = bars.unionByName(keep.select(*bars.columns))
-        W.delete_days_and_rebuild(self.spark, bars, self.path(p.bar_table), "bar_date")
+        W.delete_days_and_rebuild(self.spark, bars, self.path(p.table), "bar_date")
 
     # Z3 ---------------------------------------------------------------------
     def validate(self, product: str) -> DataFrame | None:
@@ -141,11 +178,11 @@ class Warehouse:
             return V.daily_bar_violations(bars) if bars is not None else None
         if product not in PRODUCTS:
             return None
-        p = PRODUCTS[product]
-        q, t, d = self.table(p.quote_table), self.table(p.trade_table), self.table(p.instrument_table)
+        p = PRODUCTS[product].bars
+        q, t, d = self.table(p.quotes), self.table(p.trades), self.table(p.dimension)
         facts = {n: x for n, x in (("quotes", q), ("trades", t)) if x is not None}
         if not facts or d is None:               # nothing to link, or nothing to link with: say which table is missing
-            return V.tables_exist(self.spark, {n: self.path(n) for n in (p.instrument_table, p.quote_table, p.trade_table)})
+            return V.tables_exist(self.spark, {n: self.path(n) for n in (p.dimension, p.quotes, p.trades)})
         out = V.unlinked(facts, d, p.key)
         if product == "ES_OPTIONS_MDP3" and q is not None:
             out = V.negative_spread(q).unionByName(out)
@@ -247,12 +284,19 @@ class Warehouse:
             W.delete_days_and_rebuild(self.spark, src.filter(F.col("symbol").isin(symbols)), self.path(table), "symbol", symbols)
 
     # Z8 ---------------------------------------------------------------------
-    def refresh_metadata(self, symbol_map: DataFrame, as_of) -> None:
+    def refresh_metadata(self, symbol_map: DataFrame, as_of) -> tuple[DataFrame, DataFrame | None]:
         """Active ranges (B12) + parsed metadata (B11) upserted, rolls (L1)
-        recomputed from the daily bars."""
+        recomputed from the daily bars and replaced in one commit; returns the
+        summary (B16) per root and, with daily bars, per series."""
         bars = self.table("g_continuous_bar_daily")
         md = I.build_metadata(symbol_map, bars, as_of)
         W.upsert_replace(self.spark, md, self.path("dim_instrument_metadata"), ["instrument_id"], [], ["instrument_id"])
-        if bars is not None:
-            rolls = L.detect_rolls(bars, self.table("dim_instrument_metadata"))
-            rolls.write.mode("overwrite").parquet(self.path("dim_roll_dates"))
+        md = self.table("dim_instrument_metadata")
+        if bars is None:
+            none = self.spark.createDataFrame([], schemas.DIM_ROLL_DATES)
+            return I.metadata_summary(md, none, none.withColumn("root", F.lit("")))[0], None
+        W.replace_table(L.detect_rolls(bars, md), self.path("dim_roll_dates"))
+        contracts = self.table("dim_continuous_contract")
+        if contracts is None:
+            contracts = bars.select("contract_series", series_root("contract_series").alias("root")).distinct()
+        return I.metadata_summary(md, self.table("dim_roll_dates"), contracts)

@@ -55,7 +55,8 @@ def q_price_csv(t):
 select date, round(value * 100) / 100 as value from {_SERIES} where series_id = 'DGS10'
 """)
 def q_vendor_csv(t):
-    """Vendor dates (MM/DD/YYYY), dollar signs, thousands commas, N/A."""
+    """Vendor dates (MM/DD/YYYY), dollar signs, thousands commas, N/A;
+    files in which a date cannot be read are rejected whole."""
     spark = _spark(t)
     path = scratch_path(spark, "vendor-csv")
     d = t[_SERIES].filter(F.col("series_id") == "DGS10")
@@ -63,23 +64,26 @@ def q_vendor_csv(t):
     good = d.select(F.date_format("date", "MM/dd/yyyy").alias("Date"), F.concat(F.lit("$"), F.format_number(cents, 2)).alias("Close"))
     empty = d.select(F.col("date").cast("string").alias("Date"), F.lit("N/A").alias("Close"))
     good.unionByName(empty).write.option("header", "true").csv(path)
-    return R.read_vendor_csv(spark, path)
+    torn = good.unionByName(d.select(F.lit("13/32/2024").alias("Date"), F.lit("1").alias("Close"))).coalesce(1)
+    torn.write.mode("append").option("header", "true").csv(path)
+    return R.read_vendor_csv(spark, path)[0]
 
 
 @query("scan_tolerant", ops="R12 R13 R14", oracle="""
-select event_id, value, 1 as missing, 1 as mistyped, 1 as skipped from events
+select event_id, value, 1 as missing, 1 as mistyped, 2 as skipped from events
 """)
 def q_scan_tolerant(t):
-    """Readable files beside one that is not Parquet; then required
-    columns and types of what was read."""
+    """Readable files beside one that is not Parquet and one without
+    rows; then required columns and types of what was read."""
     spark = _spark(t)
     path = scratch_path(spark, "tolerant")
     t["events"].select("event_id", "value").write.parquet(f"{path}/good.parquet")
     t["region"].limit(1).select(F.lit("not parquet").alias("value")).coalesce(1).write.text(f"{path}/bad.parquet")
-    df, skipped = R.scan_tolerant(spark, f"{path}/*", schema="event_id bigint, value double")
+    t["events"].select("event_id", "value").where("false").coalesce(1).write.parquet(f"{path}/empty.parquet")
+    df, skipped = R.scan_tolerant(spark, f"{path}/*", "event_id bigint, value double")
     return df.select("event_id", "value", F.lit(len(R.require_columns(df, ["event_id", "symbol"]))).alias("missing"),
                      F.lit(len(R.require_types(df, {"value": "string", "event_id": "bigint"}))).alias("mistyped"),
-                     F.lit(len(skipped)).alias("skipped"))
+                     skipped.agg(F.count(F.lit(1)).cast("int")).scalar().alias("skipped"))
 
 
 _PARTS = """(select event_id, ts, value, case when user_id % 5 = 0 then null else lpad(cast(user_id % 5 as varchar(2)), 3, '0') end as symbol from events)"""
@@ -169,30 +173,45 @@ def q_layouts(t):
     return a.unionByName(b).groupBy("trading_date", "contract_series", "close").agg(F.count(F.lit(1)).cast("int").alias("layouts"))
 
 
-@query("write_check_report", ops="W13 V10 V12", oracle="""
-select 'schema.table.bars' as check_id, 'PASS' as status, 'FAIL' as overall_status union all
-select 'schema.table.quotes', 'FAIL', 'FAIL' union all select 'schema.view.canonical', 'PASS', 'FAIL'
+@query("write_check_report", ops="W13 V3 V10 V12", oracle="""
+with v as (select 'schema.table.bars' as check_id, 0 as violations union all select 'schema.table.quotes', 1
+ union all select 'schema.view.canonical', 0
+ union all select 'bars.high_lt_low', count(*) from fx_bar_dirty where high < low)
+select check_id, case when violations > 0 then 'FAIL' else 'PASS' end as status, cast(violations as bigint) as violations, 'FAIL' as overall_status from v
 """)
 def q_check_report_files(t):
-    """Existence checks and their report, written as JSON."""
+    """Existence checks and bars whose high is below their low
+    (over all daily bars), and their report, written as JSON."""
     spark = _spark(t)
     path = scratch_path(spark, "report")
-    t["fx_canonical"].write.parquet(f"{path}/bars")
+    t["fx_bar_dirty"].write.parquet(f"{path}/bars")
+    bars = spark.read.parquet(f"{path}/bars")
+    bad = bars.agg(F.count_if(F.col("high") < F.col("low")).alias("n"))
+    crossed = bad.select(F.lit("bars.high_lt_low").alias("check_id"), F.lit("high below low").alias("name"),
+                         F.when(F.col("n") > 0, "FAIL").otherwise("PASS").alias("status"), F.lit("HARD").alias("severity"),
+                         F.col("n").alias("violations"), F.concat(F.col("n").cast("string"), F.lit(" violations")).alias("message"))
     found = checks.tables_exist(spark, {"bars": f"{path}/bars", "quotes": f"{path}/quotes"}) \
-        .unionByName(checks.view_exists(spark, "canonical", t["fx_canonical"]))
+        .unionByName(checks.view_exists(spark, "canonical", bars)).unionByName(crossed)
     W.write_check_report(found, checks.check_report(found), f"{path}/out")
     total = spark.read.json(f"{path}/out/summary").select("overall_status")
-    return spark.read.json(f"{path}/out/checks").select("check_id", "status", total.scalar().alias("overall_status"))
+    return spark.read.json(f"{path}/out/checks").select("check_id", "status", F.col("violations").cast("bigint").alias("violations"), total.scalar().alias("overall_status"))
 
 
-@query("canonical_map_replace", ops="X1b", oracle="select * from fx_canonical where not optional")
+@query("canonical_map_replace", ops="X1b W2", oracle="""
+select split_part(contract_series, '_', 1) as root, arg_max(contract_series, (n, contract_series)) as contract_series from
+ (select contract_series, count(*) as n from fx_bar_daily group by 1) s group by 1
+""")
 def q_map_replace(t):
-    """The canonical map replaced whole, twice."""
+    """A map of the series with most daily bars per root, replaced whole
+    by one made from all bars after one made from the first half."""
     spark = _spark(t)
     path = scratch_path(spark, "map")
-    W.replace_small_table(t["fx_canonical"], path)
-    W.replace_small_table(t["fx_canonical"].filter("not optional"), path)
-    return spark.read.parquet(path)
+    first = t["fx_bar_daily"].filter(F.col("trading_date") < F.lit("1995-01-01").cast("date"))
+    for bars in (first, t["fx_bar_daily"]):
+        n = bars.groupBy("contract_series").agg(F.count(F.lit(1)).alias("n"))
+        W.replace_small_table(n.groupBy(F.substring_index("contract_series", "_", 1).alias("root"))
+                              .agg(F.max_by("contract_series", F.struct("n", "contract_series")).alias("contract_series")), path)
+    return W.read_table(spark, path)
 
 
 def _warehouse(t):
@@ -296,13 +315,49 @@ def q_sync_volatility(t):
     return w.table("market_data").select("trading_date", "symbol", "close")
 
 
-@query("job_refresh_metadata", ops="Z8 B11 L1", oracle="""
-select instrument_id, native_symbol from fx_symbol_map
+@query("job_refresh_metadata", ops="Z8 B11 L1 B16", oracle="""
+with parsed as (select instrument_id, regexp_extract(native_symbol, '^([A-Z0-9]{1,4}?)([FGHJKMNQUVXZ])([0-9]{1,2})$', 1) as root from fx_symbol_map),
+ steps as (select contract_series, trading_date, underlying_instrument_id as id, lag(underlying_instrument_id) over (partition by contract_series order by trading_date) as was
+  from fx_bar_daily where underlying_instrument_id is not null),
+ rolls as (select contract_series, count(*) as n, min(trading_date) as first, max(trading_date) as last from steps where was is not null and id <> was group by 1)
+select 'series' as part, contract_series as name, n as count, first, last from rolls
+union all select 'rows', 'instruments', count(*), null, null from fx_symbol_map
 """)
 def q_refresh_metadata(t):
-    """Metadata from the symbol table and daily bars, refreshed twice."""
+    """Metadata from the symbol table and daily bars, refreshed twice; the
+    rolls' summary per series and the number of instruments."""
     w = _warehouse(t)
     t["fx_bar_daily"].write.parquet(w.path("g_continuous_bar_daily"))
     w.refresh_metadata(t["fx_symbol_map"], "2026-01-01 00:00:00")
-    w.refresh_metadata(t["fx_symbol_map"], "2026-01-01 00:00:00")
-    return w.table("dim_instrument_metadata").select("instrument_id", "native_symbol")
+    _, series = w.refresh_metadata(t["fx_symbol_map"], "2026-01-01 00:00:00")
+    out = series.select(F.lit("series").alias("part"), F.col("contract_series").alias("name"), F.col("roll_count").alias("count"),
+                        F.col("first_roll").alias("first"), F.col("last_roll").alias("last"))
+    none = F.lit(None).cast("date")
+    n = w.table("dim_instrument_metadata").agg(F.count(F.lit(1)).alias("count"))
+    return out.unionByName(n.select(F.lit("rows").alias("part"), F.lit("instruments").alias("name"), "count", none.alias("first"), none.alias("last")))
+
+
+_DAILY = "(select trading_date, contract_series, underlying_instrument_id, open, high, low, close, volume from fx_bar_daily)"
+
+
+@query("job_ingest_daily_product", rnd=("open", "high", "low", "close"), ops="Z1 R6 R7 W2", oracle=f"""
+select b.trading_date, b.contract_series, b.underlying_instrument_id, b.open, b.high, b.low,
+ case when b.volume % 3 = 0 then b.close + 1 else b.close end as close, b.volume, d.root
+ from {_DAILY} b join (select contract_series, min(root) as root from fx_ohlcv_raw group by 1) d using (contract_series)
+""")
+def q_ingest_daily_product(t):
+    """Z1 of the product of daily bars: definitions and bars from files, then
+    files with other closes for a third of the bars (the new row wins whole);
+    a product without bars to build."""
+    spark, w = _spark(t), _warehouse(t)
+    one, two = scratch_path(spark, "daily"), scratch_path(spark, "daily-again")
+    contracts = t["fx_ohlcv_raw"].groupBy("contract_series").agg(F.min("root").alias("root"))
+    contracts.withColumn("roll_rule", F.lit("c")).write.parquet(f"{one}/continuous_instruments/a.parquet")
+    bars = spark.sql(f"select * from {_DAILY} b")
+    bars.write.parquet(f"{one}/continuous_bars_daily/a.parquet")
+    bars.filter("volume % 3 = 0").withColumn("close", F.col("close") + 1).write.parquet(f"{two}/continuous_bars_daily/a.parquet")
+    for source in (one, two, two):
+        w.ingest("ES_CONTINUOUS_DAILY_MDP3", source)
+    w.build("ES_CONTINUOUS_DAILY_MDP3")
+    roots = w.table("dim_continuous_contract").select("contract_series", "root")
+    return w.table("g_continuous_bar_daily").drop("month").join(roots, "contract_series")

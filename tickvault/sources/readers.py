@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.columns import col
 from ..operators.dedupe import keep_last
+from ..session import scratch_path, ship_package
 
 # --- fixed values (must equal the reference's) -----------------------------
 OPTION_LOAD_DEFAULTS = {"exerc_style": "American", "multiplier": 50, "tick_size": 0.25}
@@ -127,24 +128,44 @@ def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"CSV missing required columns date/close; found {raw.columns}")
     d = raw.select(F.to_date(F.col(f"`{dc}`").try_cast("timestamp")).alias("date"),
                    F.col(f"`{cc}`").try_cast("double").alias("value"),
-                   F.col("_metadata.file_path").alias("_f"), F.monotonically_increasing_id().alias("_i"))
+                   *_file_order())
     d = d.filter(F.col("date").isNotNull() & F.col("value").isNotNull())
-    return keep_last(d, ["date"], ["_f", "_i"]).select("date", "value")
+    return keep_last(d, ["date"], ["_file", "_block", "_row"]).select("date", "value")
 
 
-def read_vendor_csv(spark: SparkSession, path: str) -> DataFrame:
+def _file_order() -> list[F.Column]:
+    """The place of a row of a text file: file, start of the block read, and an
+    id that grows inside the block (a block is read by one task)."""
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row")]
+
+
+def read_vendor_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Like R9, plus ``MM/DD/YYYY`` dates, ``$``/``,`` stripped and N/A
-    tokens as null.  The date format is chosen per row (``coalesce`` of the
-    two parsers), a superset of the reference's per-file choice."""
+    tokens as null.  The date format is chosen per file: ``MM/DD/YYYY`` if all
+    its dates are such, else a general parse if that reads them all; a file with
+    a date that neither reads is rejected as a whole.  Rows without a date or
+    value are left out; of two rows of a date in a file the last stays.
+
+    Returns the rows (date, value) of accepted files, and (file, date_format,
+    error) of all files."""
     raw = spark.read.option("header", "true").csv(path)
     dc, cc = _ci(raw, "date"), _ci(raw, "close")
     if dc is None or cc is None:
         raise ValueError(f"CSV missing required columns date/close; found {raw.columns}")
     txt = F.trim(F.col(f"`{dc}`"))
-    date = F.coalesce(F.try_to_timestamp(txt, F.lit(VENDOR_DATE_FORMAT)), txt.try_cast("timestamp"))
+    txt = F.when(txt != "", txt)
+    vendor, general = F.try_to_timestamp(txt, F.lit(VENDOR_DATE_FORMAT)), txt.try_cast("timestamp")
     v = F.regexp_replace(F.trim(F.col(f"`{cc}`").cast("string")), r"[$,]", "")
     v = F.when(v.isin(*NA_TOKENS), F.lit(None)).otherwise(v).try_cast("double")
-    return raw.select(F.to_date(date).alias("date"), v.alias("value")).filter(F.col("value").isNotNull())
+    rows = raw.select(F.to_date(vendor).alias("_vendor"), F.to_date(general).alias("_general"), txt.alias("_text"), v.alias("value"), *_file_order())
+    reads = lambda c: F.every(F.col("_text").isNull() | F.col(c).isNotNull())
+    files = rows.groupBy(F.col("_file").alias("file")).agg(F.when(reads("_vendor"), "vendor").when(reads("_general"), "general").alias("date_format"))
+    files = files.withColumn("error", F.when(F.col("date_format").isNull(), "Failed to parse dates"))
+    good = rows.join(files.where("error is null").select(F.col("file").alias("_file"), "date_format"), "_file")
+    good = good.withColumn("date", F.when(F.col("date_format") == "vendor", F.col("_vendor")).otherwise(F.col("_general")))
+    good = good.where("date is not null and value is not null").select("date", "value", "_file", "_block", "_row")
+    return keep_last(good, ["_file", "date"], ["_block", "_row"]).select("date", "value"), files
 
 
 def date_from_filename(path_col=None) -> F.Column:
@@ -156,28 +177,45 @@ def date_from_filename(path_col=None) -> F.Column:
     return F.when(s != "", s.try_cast("date"))
 
 
-def scan_tolerant(spark: SparkSession, glob: str, fmt: str = "parquet", schema=None) -> tuple[DataFrame, list[str]]:
-    """Read every readable file, skip corrupt/empty ones; return the
-    frame and the skipped paths (listed files minus files that produced
-    rows -- one distinct over a single column)."""
-    reader = spark.read.option("ignoreCorruptFiles", "true").format(fmt)
-    if schema is not None:
-        reader = reader.schema(schemas.struct(schema) if isinstance(schema, str) else schema)
+def open_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """(path, rows, error) of Parquet files, or of the files in folders: each is
+    opened whole on an executor, its footer and all its row groups, one file at
+    a time.  A file without rows is an error too."""
+    def opened(pair):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        path, data = pair
+        try:
+            f = pq.ParquetFile(pa.BufferReader(data))
+            rows = sum(f.read_row_group(g).num_rows for g in range(f.num_row_groups))
+            return path, rows, None if rows else "no rows"
+        except Exception as e:  # whatever is wrong with a file is its report
+            return path, None, f"{type(e).__name__}: {e}"[:500]
+
+    ship_package(__name__)
+    return spark.createDataFrame(spark.sparkContext.binaryFiles(",".join(files)).map(opened), "path string, rows long, error string")
+
+
+def scan_tolerant(spark: SparkSession, glob: str, schema=None) -> tuple[DataFrame, DataFrame]:
+    """The rows of all readable Parquet files of a glob, and (path, rows,
+    error) of those left out.  A file that breaks anywhere is left out whole:
+    the files are opened first, and rows of bad ones are dropped by an anti
+    join, so no list of files passes through the driver."""
+    st = schemas.struct(schema) if isinstance(schema, str) else schema
+    none = spark.createDataFrame([], "path string, rows long, error string")
     files = list_files(spark, glob)
     if not files:
-        return spark.createDataFrame([], schemas.struct(schema) if isinstance(schema, str) else T.StructType([])), []
-    df = reader.load(files)
-    seen = set()
-    for r in df.select(F.col("_metadata.file_path")).distinct().collect():
-        parts = _norm(r[0]).split("/")
-        for i in range(2, len(parts) + 1):          # the file and every parent directory
-            seen.add("/".join(parts[:i]))
-    return df, [f for f in files if _norm(f) not in seen]
-
-
-def _norm(path: str) -> str:
-    import re
-    return re.sub(r"^file:/*", "/", path).rstrip("/")
+        return spark.createDataFrame([], st if st is not None else T.StructType([])), none
+    report = scratch_path(spark, "bad-files")
+    open_files(spark, files).where("error is not null").write.parquet(report)
+    bad = spark.read.schema(none.schema).parquet(report)
+    reader = spark.read.option("ignoreCorruptFiles", "true").format("parquet")
+    rows = (reader.schema(st) if st is not None else reader).load(files)
+    return rows.join(bad.select(_plain_path(F.col("path")).alias("_bad")), _plain_path(F.url_decode(F.replace(rows["_metadata"]["file_path"], F.lit("+"), F.lit("%2B")))) == F.col("_bad"), "left_anti"), bad
+
+
+def _plain_path(path: F.Column) -> F.Column:
+    return F.regexp_replace(path, "^file:/*", "/")
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

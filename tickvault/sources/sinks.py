@@ -14,8 +14,9 @@ Plain Parquet has no MERGE, so keyed writes are done partition-wise:
    ``partitionOverwriteMode=dynamic``, and remove the staging tables.
 
 The target is never read and overwritten by the same plan.  An unpartitioned
-target is written beside the old one and then takes its place.  A rerun with
-the same batch gives the same table (idempotent).
+target has versions: a new one is written beside the old and committed by one
+file (``current``).  A rerun with the same batch gives the same table
+(idempotent).
 """
 
 from __future__ import annotations
@@ -32,8 +33,26 @@ from ..session import configure, scratch_path
 from .readers import list_files
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return bool(list_files(spark, path))
+def _commits(spark: SparkSession, path: str) -> list[str]:
+    """Names of a versioned table's commits, the last one at the end."""
+    return sorted(f.rsplit("/", 1)[-1] for f in list_files(spark, f"{path.rstrip('/')}/_commits/*-*"))
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Where a table's files are: for a versioned table, the version that its
+    last commit names; for any other, the path itself."""
+    commits = _commits(spark, path)
+    return f"{path.rstrip('/')}/_versions/{commits[-1].split('-', 1)[1]}" if commits else path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Does a table have files or partitions, or a committed version?"""
+    return bool(_commits(spark, path) or list_files(spark, f"{path.rstrip('/')}/[!_.]*"))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table as it was last committed."""
+    return spark.read.parquet(current(spark, path))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -52,6 +71,7 @@ def read_as(spark: SparkSession, path: str, types: StructType) -> DataFrame:
     """A table with the types of the columns of ``types``; partition values
     are read as such, never guessed from directory names."""
     want = {f.name: f.dataType for f in types}
+    path = current(spark, path)
     found = spark.read.parquet(path).schema
     return spark.read.schema(StructType([StructField(f.name, want.get(f.name, f.dataType)) for f in found])).parquet(path)
 
@@ -71,8 +91,8 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], sor
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None) -> None:
-    """Plain insert."""
-    _write(df, path, "append", partition_by, sort_by)
+    """Plain insert (into the current version of a versioned table)."""
+    _write(df, current(df.sparkSession, path), "append", partition_by, sort_by)
 
 
 def _staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
@@ -109,13 +129,33 @@ def _touched(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str])
 
 
 def _switch(spark: SparkSession, df: DataFrame, path: str, sort_by: Sequence[str] | None = None) -> None:
-    """Replace an unpartitioned table: written beside it, then renamed."""
-    beside = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
-    _write(df, beside, "error", (), sort_by)
-    fs, old = _fs(spark, path)
-    fs.delete(old, True)
-    if not fs.rename(_fs(spark, beside)[1], old):
-        raise OSError(f"{beside} could not take the place of {path}")
+    """Replace an unpartitioned table: a new version is written whole, then
+    committed by one empty file whose name holds the next number and the
+    version.  That file appears at once or not at all, so a reader, or a writer
+    that crashes at any point, sees the old table or the new one.  Writers of
+    one table come one after the other."""
+    version = uuid.uuid4().hex[:12]
+    _write(df, f"{path.rstrip('/')}/_versions/{version}", "error", (), sort_by)
+    _commit(spark, path, version)
+    _tidy(spark, path)
+
+
+def _commit(spark: SparkSession, path: str, version: str) -> None:
+    commits = _commits(spark, path)
+    number = int(commits[-1].split("-")[0]) + 1 if commits else 1
+    fs, file = _fs(spark, f"{path.rstrip('/')}/_commits/{number:012d}-{version}")
+    fs.create(file, False).close()
+
+
+def _tidy(spark: SparkSession, path: str) -> None:
+    """Remove what neither the last commit nor the one before it needs (readers
+    may still be at that one): files of the time before versions, older
+    versions and commits, versions never committed."""
+    root, commits = path.rstrip("/"), _commits(spark, path)
+    keep = {c.split("-", 1)[1] for c in commits[-2:]}
+    old = [f"{root}/_commits/{c}" for c in commits[:-2]]
+    old += [v for v in list_files(spark, f"{root}/_versions/*") if v.rsplit("/", 1)[-1] not in keep]
+    remove(spark, *old, *(list_files(spark, f"{root}/[!_.]*") if len(commits) > 1 else ()))
 
 
 def _overwrite_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str],
@@ -140,8 +180,12 @@ def upsert_replace(spark: SparkSession, batch: DataFrame, path: str, key: Sequen
     row wins whole; inside the batch the last by ``order``).  ``partition_by``
     must be part of ``key`` so a key never moves between partitions."""
     configure(spark)
-    if not _exists(spark, path):
-        _write(dedupe.keep_last(batch, key, order), path, "overwrite", partition_by, sort_by)
+    if not exists(spark, path):
+        first = dedupe.keep_last(batch, key, order)
+        if partition_by:
+            _write(first, path, "overwrite", partition_by, sort_by)
+        else:
+            _switch(spark, first, path, sort_by)
         return
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
@@ -156,7 +200,7 @@ def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequenc
     """``insert or ignore`` -- append only keys not yet present (the
     existing row wins; inside the batch the first by ``order``)."""
     configure(spark)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         _write(dedupe.keep_first(batch, key, order), path, "overwrite", partition_by, sort_by)
         return
     batch, staging = _staged(batch, "batch")
@@ -175,13 +219,17 @@ def replace_by_key_list(old: DataFrame, src: DataFrame, keys: Sequence, col: str
     return old.filter(~F.col(col).isin(k)).unionByName(src.filter(F.col(col).isin(k)).select(*old.columns))
 
 
+def replace_table(df: DataFrame, path: str, sort_by: Sequence[str] | None = None) -> None:
+    """Full replace of an unpartitioned table in one commit; df may read it."""
+    _switch(df.sparkSession, df, path, sort_by)
+
+
 def replace_small_table(df: DataFrame, path: str) -> None:
-    """Full replace of a configuration-sized table (the canonical map):
-    written to staging, then beside the table, then renamed."""
-    spark = df.sparkSession
+    """Full replace of a configuration-sized table (the canonical map),
+    in one file and one commit."""
     staged, staging = _staged(df, "small-table")
-    _switch(spark, staged.coalesce(1), path)
-    remove(spark, staging)
+    _switch(df.sparkSession, staged.coalesce(1), path)
+    remove(df.sparkSession, staging)
 
 
 def create_like(df: DataFrame) -> DataFrame:
@@ -192,7 +240,7 @@ def create_like(df: DataFrame) -> DataFrame:
 def insert_missing_dates(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
                          partition_by: Sequence[str] = ()) -> None:
     """Append only (series, date) pairs not present; never overwrite."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         append(batch, path, partition_by)
         return
     batch, staging = _staged(batch, "batch")
