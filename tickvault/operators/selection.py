@@ -33,7 +33,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: F.Column, name: str)
     near = 2.0 / ACCURACY
     ends = rows.groupBy(*one).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", [0.5 - near, 0.5 + near], ACCURACY).alias("_q"))
     ends = ends.select(F.struct(*one).alias("_g"), "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
-    rows = rows.select(F.struct(*one).alias("_g"), "_v").alias("r").join(ends.alias("e"), F.col("r._g").eqNullSafe(F.col("e._g")))
+    rows = rows.select(F.struct(*one).alias("_g"), "_v").alias("r")
+    if keys:
+        rows = rows.join(ends.alias("e"), F.col("r._g").eqNullSafe(F.col("e._g")))
+    else:
+        rows = rows.select("*", *(ends.select(c).scalar().alias(c) for c in ("_n", "_lo", "_hi"))).alias("r")
     share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))  # null if the ends are equal
     part = F.floor(F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * BINS).cast("int")
     part = F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).otherwise(part)
