@@ -16,11 +16,12 @@ from tickvault.llm.embedding import near_duplicates
 from tickvault.llm.graph import components
 from tickvault.llm.html_text import extract, learn_costs
 from tickvault.llm.jaccard import jaccard_components
-from tickvault.llm.language import UNKNOWN, bundles, fit as fit_language, identify
+from tickvault.llm.language import UNKNOWN, accepted, bundles, fit as fit_language, identify
 from tickvault.llm.licence import scan
 from tickvault.llm.mixing import mix_sources
 from tickvault.llm.quality import SYMBOLS, Model, classify, gram_counts, perplexity
 from tickvault.llm.substring import remove_repeats
+from tickvault.llm.tokens import splitmix
 from tickvault.llm.toxicity import features, fit as fit_toxicity, score
 
 SMALL, CHECK = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -292,6 +293,62 @@ def test_language_memory_of_many_letters():
     assert (bundles([" ".join(texts)])[0] != 0).any()
 
 
+def plain_bundle(text, dimensions):
+    """Bind rotated letter vectors trigram by trigram, and add them up."""
+    n = dimensions // 64
+
+    def letter(c):
+        bits = splitmix(np.uint64(ord(c) if c != " " else 0) * np.uint64(n) + np.arange(n, dtype=np.uint64) + np.uint64(1))
+        return np.unpackbits(bits.view(np.uint8)).astype(int) * 2 - 1
+
+    line = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    total = np.zeros(dimensions, int)
+    for a, b, c in zip(line, line[1:], line[2:]):
+        total += np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)
+    return total
+
+
+def test_language_against_plain(spark):
+    rng = random.Random(3)
+    speak = lambda s, n: " ".join("".join(rng.choice(s) for _ in range(rng.randint(1, 6))) for _ in range(n))
+    rows = [(i, speak(s, rng.randint(1, 60)), lang, None, 0) for i, (s, lang) in enumerate([("abcdef", "x"), ("defghi", "y"), ("жзийкл", "z"), ("ac fx", None)] * 15)]
+    rows += [(90, "A1b-C'd", None, None, 0), (91, "", "x", None, 0), (92, "4 5", None, None, 0)]
+    d = docs_of(spark, rows)
+    found = {r["doc_id"]: r for r in identify(d, F.col("text"), fit_language(d, F.col("text"), F.col("lang"), 256), ["doc_id"]).collect()}
+    proto = {k: sum(plain_bundle(t, 256) for _, t, lang, _, _ in rows if lang == k) for k in "xyz"}
+    for i, t, *_ in rows:
+        v = plain_bundle(t, 256)
+        cos = {k: float(v @ p / max(1e-9, np.linalg.norm(v) * np.linalg.norm(p))) for k, p in proto.items()}
+        best = max(sorted(cos), key=cos.get)
+        assert found[i]["lang_pred"] == (best if v.any() else UNKNOWN), i
+        assert abs(found[i]["score"] - max(0.0, cos[best])) < 1e-6
+
+
+def test_language_gate(spark):
+    """Texts in scripts and languages that were not learned go; short and long
+    clean texts stay, labelled or not."""
+    rng = random.Random(8)
+    learned = [tuple(r) for r in spark.read.parquet(f"{CHECK}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    speak = lambda syllables, lo, hi: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(2, 4))) for _ in range(rng.randint(lo, hi)))
+    new = [(10_000 + i, speak("абвгдежзийклмнопрстуфхцчшщ", 1, 300)) for i in range(150)]
+    new += [(20_000 + i, speak("qxzwkyjvþæðø", 1, 300)) for i in range(150)]
+    new += [(30_000 + i, speak(["kää", "yö", "llä", "ukk", "vyy", "hjo", "nnö", "pää", "tyk", "jää"], 20, 300)) for i in range(150)]
+    lines = [(t.split(), k) for _, t, k in learned if t and len(t.split()) > 40]
+    clean = []
+    for i in range(300):
+        words, _ = rng.choice(lines)
+        at, n = rng.randrange(len(words) - 30), rng.randint(2, 30)
+        clean.append((40_000 + i, " ".join(words[at:at + n])))
+    clean = [c for c in clean if sum(ch.isalpha() for ch in c[1]) > 8]
+    d = spark.createDataFrame(learned + [(*x, None) for x in new + clean], "doc_id long, text string, lang string")
+    stay = {r["doc_id"] for r in accepted(d, F.col("text"), F.col("lang"), ["doc_id"]).collect()}
+    rate = lambda lo: sum(i // 10_000 == lo for i in stay)
+    assert sum(i < 10_000 for i in stay) >= 0.998 * len(learned)
+    assert rate(1) <= 3 and rate(2) <= 3 and rate(3) <= 3
+    assert rate(4) >= 0.98 * len(clean)
+    assert accepted(d.limit(0), F.col("text"), F.col("lang"), ["doc_id"]).count() == 0
+
+
 def test_language_awkward(spark):
     d = docs_of(spark, [(*r, 1) for r in awkward()] + [(50, "123 !?", "en", None, 0, 1)], ", score int")
     found = identify(d, F.col("text"), fit_language(d, F.col("text"), F.col("lang")), ["doc_id", "score"]).collect()

