@@ -11,14 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickvault.llm.common import fingerprint, table, written
 from tickvault.llm.contamination import cut_spans, find_contamination
 from tickvault.llm.jaccard import jaccard_components
-from tickvault.llm.language import UNKNOWN, fit, identify
+from tickvault.llm.language import accepted
 from tickvault.llm.mixing import mix_sources
 from tickvault.llm.q_mixing import with_quality
 from tickvault.llm.substring import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Least cosine with a language's prototype; a few letters of a language have more.
-LEAST_COSINE = 0.05
 
 
 def _worded(docs: DataFrame) -> DataFrame:
@@ -28,11 +26,10 @@ def _worded(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters or like no language; a missing lang is
-    the language found."""
-    found = identify(docs, F.col("text"), fit(docs, F.col("text"), F.col("lang")), COLUMNS)
-    accepted = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_COSINE))
-    return accepted.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    """Drops documents without letters and those unlike the rows of every
+    language; a missing lang is the language found."""
+    found = accepted(docs, F.col("text"), F.col("lang"), COLUMNS)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
