@@ -88,10 +88,51 @@ def test_check_results_of_two_runs_stay(spark, tmp_dir):
     assert spark.read.parquet(table).filter("check_id = 'quotes.negative_spread'").agg(F.sum("violations")).first()[0] == 2
 
 
-def test_late_daily_bar_makes_no_roll(spark, tmp_dir):
+BARS = "trading_date date, contract_series string, underlying_instrument_id bigint"
+
+
+def bar(d, i, series="ES_FRONT_CALENDAR"):
+    return (dt.date(2025, 1, 1) + dt.timedelta(d - 1), series, i)
+
+
+def roll_run(spark, tmp_dir, chunks, delay):
     src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/rolls", f"{tmp_dir}/ckpt"
-    day = lambda d, i: (dt.date(2025, 1, d), "ES_FRONT_CALENDAR", i)
-    for rows in ([day(2, 1), day(3, 1)], [day(6, 2)], [day(2, 7)], [day(7, 2)]):
-        spark.createDataFrame(rows, "trading_date date, contract_series string, underlying_instrument_id bigint").write.mode("append").parquet(src)
-        ST.run_roll_stream(spark, src, table, ckpt)
-    assert [(r["roll_date"], r["old_instrument_id"], r["new_instrument_id"]) for r in spark.read.parquet(table).collect()] == [(dt.date(2025, 1, 6), 1, 2)]
+    for rows in chunks:                                       # every run starts again from the checkpoint
+        spark.createDataFrame(rows, BARS).write.mode("append").parquet(src)
+        ST.run_roll_stream(spark, src, table, ckpt, delay=delay)
+    cols = ("contract_series", "roll_date", "old_instrument_id", "new_instrument_id")
+    return [sorted(tuple(r[c] for c in cols) for r in ST.read_rolls(spark, table, late).collect()) for late in (False, True)]
+
+
+def test_shuffled_bars_give_the_rolls_of_the_batch(spark, tmp_dir):
+    """Bars up to six days late, two series, one with a null id; the state
+    outlives the runs."""
+    import random
+    from tickvault.operators.rolls import detect_rolls
+    rng = random.Random(4)
+    bars = [bar(d, rng.choice([1, 1, 1, 2, None]), s) for d in range(1, 41) for s in ("ES_FRONT_CALENDAR", "CL_RANK_1_VOLUME")]
+    late = sorted(bars, key=lambda b: (b[0] - dt.date(2025, 1, 1)).days + rng.randint(0, 6))
+    chunks = [late[i:i + 27] for i in range(0, len(late), 27)] + [[bar(99, None, "")]]
+    rolls, side = roll_run(spark, tmp_dir, chunks, "7 days")
+    want = detect_rolls(spark.createDataFrame(bars, BARS)).drop("rank").collect()
+    assert rolls == sorted(map(tuple, want)) and rolls and side == []
+
+
+def test_late_daily_bar_is_kept_aside(spark, tmp_dir):
+    chunks = [[bar(2, 1), bar(3, 1)], [bar(6, 2)], [bar(5, 7)], [bar(9, 2)], [bar(2, 8)], [bar(20, None, "")]]
+    rolls, side = roll_run(spark, tmp_dir, chunks, "2 days")
+    s = "ES_FRONT_CALENDAR"
+    assert rolls == [(s, dt.date(2025, 1, 5), 1, 7), (s, dt.date(2025, 1, 6), 7, 2)]     # 5 January came late, but in time
+    assert side == [(s, dt.date(2025, 1, 2), None, 8)]
+
+
+def test_first_arrival_inside_and_over_batches(spark, tmp_dir):
+    from tickvault.operators.dedupe import keep_first
+    schema = "ts_event timestamp_ntz, instrument_id bigint, seq int, v double"
+    t = lambda m: ts(f"2025-01-02 10:{m:02d}:00")
+    chunks = [[(t(1), 1, 5, 0.5), (t(1), 1, 4, 0.4), (t(2), None, 9, 0.9)], [(t(1), 1, 3, 0.3), (t(1), 2, 8, 0.8), (t(2), None, 7, None)], [(t(59), 9, 0, 0.0)]]
+    for rows in chunks:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_dir}/src")
+        ST.run_dedupe_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", schema, ["ts_event", "instrument_id"], "30 minutes", order=["seq"])
+    want = keep_first(spark.createDataFrame(chunks[0] + chunks[1], schema), ["ts_event", "instrument_id"], ["seq"])
+    assert sorted(map(str, spark.read.parquet(f"{tmp_dir}/out").collect())) == sorted(map(str, want.collect()))

@@ -56,6 +56,26 @@ def q_stream_dedupe(t):
     return spark.read.parquet(p["table"]).drop("_d")
 
 
+@query("stream_dedupe_first", ops="ST2 D1", oracle="""
+select event_id, ts_event, ts_rcv, instrument_id, bid_px, bid_sz, ask_px, ask_sz, batch from
+ (select *, row_number() over (partition by ts_event, instrument_id order by batch, event_id) as rn from fx_quote_landing) x where rn = 1
+""")
+def q_stream_dedupe_first(t):
+    """ST2 by arrival: first and re-sent rows mixed inside the micro-batches,
+    the re-sent ones in earlier runs too; the least (batch, event id) of every
+    key stays, as in D1.  A row far ahead moves the watermark past the last key."""
+    spark, land = t["fx_quote_landing"].sparkSession, t["fx_quote_landing"]
+    p = ST.new_scratch(spark, "stream-dedupe-first")
+    names = [c.split()[0] for c in _LAND.split(", ")]
+    last = land.agg((F.max("ts_event") + F.expr("interval 60 days")).alias("ts_event"))
+    end = last.select(*[F.col(c) if c == "ts_event" else F.lit(None).cast(land.schema[c].dataType).alias(c) for c in names])
+    early = (F.col("batch") == 2) | (F.col("event_id") % 2 == 0)
+    for part in (land.filter(early), land.filter(~early), end):
+        part.select(*names).write.mode("append").parquet(p["source"])
+        ST.run_dedupe_stream(spark, p["source"], p["table"], p["checkpoint"], _LAND, ["ts_event", "instrument_id"], "40 days", order=["batch", "event_id"])
+    return spark.read.parquet(p["table"])
+
+
 @query("stream_checks", ops="ST4 V1 V2", oracle="""
 select 'quotes.negative_spread' as check_id, count(*) filter (where ask_px < bid_px) as violations from fx_quotes
 union all
@@ -79,12 +99,16 @@ _YEAR_CHUNKS = [(1990, 1996), (1997, 1998), (1999, 2000), (2001, 2100)]
 
 @query("stream_rolls", ops="ST5 L1", oracle=f"select * from {_ROLLS} r")
 def q_stream_rolls(t):
-    """ST5: rolls detected by a stateful stream over daily bars arriving in
-    date-ordered chunks (one run per chunk from the same checkpoint)."""
+    """ST5: rolls detected by a stateful stream over daily bars that arrive 0,
+    20 or 40 days after their date (one run per chunk from the same
+    checkpoint); a row without an id moves the watermark past the last bar."""
     spark = t["fx_bar_daily"].sparkSession
     p = ST.new_scratch(spark, "stream-rolls")
     bars = t["fx_bar_daily"].select("trading_date", "contract_series", "underlying_instrument_id")
-    for lo, hi in _YEAR_CHUNKS:
-        bars.filter(F.year("trading_date").between(lo, hi)).write.mode("append").parquet(p["source"])
-        ST.run_roll_stream(spark, p["source"], p["table"], p["checkpoint"])
-    return spark.read.parquet(p["table"])
+    arrival = F.year(F.date_add("trading_date", (F.crc32(F.concat("contract_series", F.col("trading_date").cast("string"))) % 3 * 20).cast("int")))
+    end = bars.agg(F.date_add(F.max("trading_date"), 100).alias("trading_date")) \
+        .select("trading_date", F.lit("").alias("contract_series"), F.lit(None).cast("bigint").alias("underlying_instrument_id"))
+    for part in [bars.filter(arrival.between(lo, hi)) for lo, hi in _YEAR_CHUNKS] + [end]:
+        part.write.mode("append").parquet(p["source"])
+        ST.run_roll_stream(spark, p["source"], p["table"], p["checkpoint"], delay="45 days")
+    return ST.read_rolls(spark, p["table"])

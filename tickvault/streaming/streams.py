@@ -8,15 +8,20 @@ deduplicates with a unique index.  Here:
   mid OHLC from quote events and the traded volume from trade events, so no
   stream-stream join is needed.  Late events within the watermark update
   their bar instead of being lost.
-* ST2 ``stream_dedupe``: ``dropDuplicatesWithinWatermark`` on the key.  Which
-  of a key's rows inside one micro-batch stays is open; the first batch wins.
+* ST2 ``stream_dedupe``: with an arrival ``order``, the least arrival of every
+  key (``first_arrivals``), over micro-batches and inside one, as in D1; a key
+  is given out when the watermark passes its event time.  Without an order
+  ``dropDuplicatesWithinWatermark``: rows go out at once, the first batch wins,
+  and which of a key's rows inside one micro-batch stays is open.
 * ST3 ``stream_upsert``: ``foreachBatch`` calling the partition upsert (W2),
   which is idempotent, so a replayed batch changes nothing.
 * ST4 ``stream_checks``: ``foreachBatch`` computing V1/V2 per micro-batch
   against a static dimension, appended to a check table.
-* ST5 ``stream_rolls``: ``applyInPandasWithState`` keyed by series, the state
-  being the last underlying id and date; emits a roll row when the id
-  changes.  Per key and micro-batch it sees only that batch's rows.
+* ST5 ``stream_rolls``: ``transformWithState`` keyed by series.  A list state
+  holds the bars that wait, an event-time timer releases them in date order
+  once the watermark has passed them, and a value state holds the last bar
+  released; a roll is given out where the id changes.  Bars that come after
+  their neighbours were compared go to a side table (``late=true``).
 
 Event time must be ``timestamp`` (not ``timestamp_ntz``) for watermarks, so
 streams cast ``ts_event`` on input and back on output (session zone UTC).
@@ -25,12 +30,13 @@ Checkpoints live under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.columns import first_by, last_by
 from ..functions.symbols import series_rank
@@ -108,13 +114,26 @@ def run_bars_stream(spark: SparkSession, source: str, table: str, checkpoint: st
     q.awaitTermination()
 
 
+def first_arrivals(rows: DataFrame, key: Sequence[str], order: Sequence[str], ts: str = "ts") -> DataFrame:
+    """ST2: the row of least ``order`` per (``ts``, key), the form of D1 for a
+    stream with a watermark on ``ts``: partial aggregates, one state row per key
+    until the watermark passes ``ts``.  Copies of a key carry the same ``ts``,
+    which must not be null."""
+    rest = [c for c in rows.columns if c not in (ts, *key)]
+    first = rows.groupBy(ts, *key).agg(first_by(F.struct(*rest), order).alias("_r"))
+    return first.select(*[F.col(c) if c in (ts, *key) else F.col(f"_r.{c}") for c in rows.columns])
+
+
 def run_dedupe_stream(spark: SparkSession, source: str, table: str, checkpoint: str, schema: str,
-                      key: Sequence[str], watermark: str = "1 day", max_files: int | None = None) -> None:
-    """ST2: first row per key within the watermark, appended to Parquet."""
+                      key: Sequence[str], watermark: str = "1 day", max_files: int | None = None,
+                      order: Sequence[str] | None = None) -> None:
+    """ST2: first row per key within the watermark, appended to Parquet; by
+    ``order`` if given, else by micro-batch."""
     configure(spark)
     s = event_stream(spark, source, schema, max_files).withColumn("ts", F.col("ts_event").cast("timestamp")) \
-        .withWatermark("ts", watermark).dropDuplicatesWithinWatermark(list(key)).drop("ts")
-    q = (s.writeStream.outputMode("append").format("parquet").option("path", table)
+        .withWatermark("ts", watermark)
+    s = first_arrivals(s, key, order) if order else s.dropDuplicatesWithinWatermark(list(key))
+    q = (s.drop("ts").writeStream.outputMode("append").format("parquet").option("path", table)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -145,60 +164,105 @@ def run_checks_stream(spark: SparkSession, source: str, schema: str, dim: DataFr
     q.awaitTermination()
 
 
-ROLL_SCHEMA = ("contract_series string, rank int, roll_date date, old_instrument_id bigint, "
-               "new_instrument_id bigint")
-ROLL_STATE = "last_id bigint, last_date date, late_rows bigint"
-
-
-def _roll_state_fn(key, pdfs, state):
-    """Per series: this batch's rows in date order, compared (vectorised)
-    with the previous row, the first one with the stored last id; emits
-    (series, rank, date, old, new) at every change.  Rows not later than the
-    stored date came too late to be compared with their neighbours: they emit
-    nothing and are counted in the state."""
-    series = key[0]
-    last_id, last_date, late = state.get if state.exists else (None, None, 0)
-    cols = ["contract_series", "rank", "roll_date", "old_instrument_id", "new_instrument_id"]
-    df = pd.concat(list(pdfs), ignore_index=True)
-    df = df[df["underlying_instrument_id"].notna()].sort_values("trading_date", kind="stable")
-    if last_date is not None:
-        old = df["trading_date"] <= last_date
-        late, df = late + int(old.sum()), df[~old]
-    if df.empty:
-        if last_id is not None:
-            state.update((last_id, last_date, late))
-        yield pd.DataFrame(columns=cols)
-        return
-    ids = df["underlying_instrument_id"].astype("int64").to_numpy()
-    first_prev = ids[0] if last_id is None else last_id
-    prev = np.concatenate([[first_prev], ids[:-1]])
-    m = ids != prev
-    out = pd.DataFrame({"contract_series": series, "rank": df["rank"].to_numpy()[m].astype("int32"),
-                        "roll_date": df["trading_date"].to_numpy()[m], "old_instrument_id": prev[m],
-                        "new_instrument_id": ids[m]})
-    state.update((int(ids[-1]), df["trading_date"].iloc[-1], late))
-    yield out[cols]
-
-
-def roll_stream(bars: DataFrame) -> DataFrame:
-    """ST5: roll rows from a stream of daily bars arriving in date order per
-    series (late, older bars are not re-ordered against the state)."""
-    ship_package(__name__)                   # the state function runs in Python workers
-    b = bars.select("contract_series", series_rank("contract_series").alias("rank"), "trading_date",
-                    "underlying_instrument_id")
-    return b.groupBy("contract_series").applyInPandasWithState(
-        _roll_state_fn, outputStructType=ROLL_SCHEMA, stateStructType=ROLL_STATE,
-        outputMode="append", timeoutConf="NoTimeout")
-
-
-def run_roll_stream(spark: SparkSession, source: str, table: str, checkpoint: str, max_files: int | None = None) -> None:
+ROLL_SCHEMA = "contract_series string, roll_date date, old_instrument_id bigint, new_instrument_id bigint, late boolean"
+BAR_STATE = "trading_date date, id bigint"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EPOCH, DAY_MS = dt.date(1970, 1, 1), 86_400_000
+
+
+def _ms(day: dt.date) -> int:
+    return (day - EPOCH).days * DAY_MS
+
+
+class RollProcessor(StatefulProcessor):
+    """State of one series: the bars that wait (as many as the watermark's delay
+    has days) and the last one released.  Bars of one date are ordered by id."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", BAR_STATE)
+        self.last = handle.getValueState("last", BAR_STATE)
+
+    def handleInputRows(self, key, rows, timerValues):
+        last, late, new = self.last.get(), [], []
+        for part in rows:
+            part = part[part["underlying_instrument_id"].notna()]
+            for day, i in zip(part["trading_date"], part["underlying_instrument_id"].astype("int64")):
+                (late if last is not None and day <= last[0] else new).append((day, int(i)))
+        if new:
+            self.waiting.appendList(new)
+            self.handle.registerTimer(_ms(min(new)[0]))
+        if late:
+            yield self._rows(key, [(day, None, i, True) for day, i in late])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        """Compare every bar the watermark has passed with the one before it;
+        the earliest of those that still wait sets the next timer."""
+        until = timerValues.getCurrentWatermarkInMs()
+        bars = sorted((r[0], int(r[1])) for r in self.waiting.get())
+        ready, rest = [b for b in bars if _ms(b[0]) <= until], [b for b in bars if _ms(b[0]) > until]
+        if not ready:
+            return
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_ms(rest[0][0]))
+        else:
+            self.waiting.clear()
+        last = self.last.get()
+        before = [None if last is None else int(last[1])] + [i for _, i in ready[:-1]]
+        self.last.update(ready[-1])
+        rolls = [(day, old, i, False) for (day, i), old in zip(ready, before) if old is not None and old != i]
+        if rolls:
+            yield self._rows(key, rolls)
+
+    def _rows(self, key, found) -> pd.DataFrame:
+        out = pd.DataFrame(found, columns=["roll_date", "old_instrument_id", "new_instrument_id", "late"])
+        out["old_instrument_id"] = out["old_instrument_id"].astype("Int64")
+        out.insert(0, "contract_series", key[0])
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+def roll_stream(bars: DataFrame, delay: str = "10 days") -> DataFrame:
+    """ST5: rolls (L1) from a stream of daily bars that arrive in any order
+    within ``delay``, and with ``late`` the bars that arrived after a later one
+    of their series was compared (date and id, no old id).  The event time is
+    dropped below the state, or Spark would drop late bars unseen."""
+    ship_package(__name__)                   # the processor runs in Python workers
+    b = bars.withColumn("ts", F.col("trading_date").cast("timestamp")).withWatermark("ts", delay) \
+        .select("contract_series", "trading_date", "underlying_instrument_id")
+    rolls = b.groupBy("contract_series").transformWithStateInPandas(
+        RollProcessor(), outputStructType=ROLL_SCHEMA, outputMode="append", timeMode="eventTime")
+    return rolls.select("contract_series", series_rank("contract_series").alias("rank"), "roll_date",
+                        "old_instrument_id", "new_instrument_id", "late")
+
+
+def run_roll_stream(spark: SparkSession, source: str, table: str, checkpoint: str, max_files: int | None = None,
+                    delay: str = "10 days") -> None:
+    """ST5 from a file source; rolls and late bars are partitions of one table,
+    so both are written exactly once.  This kind of state needs RocksDB, which
+    is set for this query only."""
     schema = "trading_date date, contract_series string, underlying_instrument_id bigint"
-    q = (roll_stream(event_stream(spark, source, schema, max_files)).writeStream.outputMode("append")
-         .format("parquet").option("path", table).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        q = (roll_stream(event_stream(spark, source, schema, max_files), delay).writeStream.outputMode("append")
+             .format("parquet").partitionBy("late").option("path", table).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
     q.awaitTermination()
 
 
+def read_rolls(spark: SparkSession, table: str, late: bool = False) -> DataFrame:
+    """Rolls written by ``run_roll_stream``, or the bars that came too late."""
+    return spark.read.schema(ROLL_SCHEMA.replace("roll_date", "rank int, roll_date")).parquet(table) \
+        .filter(F.col("late") == late).drop("late")
+
+
 def new_scratch(spark: SparkSession, name: str) -> dict[str, str]:
     """Fresh source / table / checkpoint paths under the shared folder."""
     base = scratch_path(spark, name)
