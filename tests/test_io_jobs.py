@@ -202,3 +202,48 @@ def test_jobs_end_to_end(spark, tmp_dir):
     t["fx_market_data"].write.parquet(other.path("market_data"))
     wh.sync_volatility(other, {"market_data": ["@VX=101XN"]})
     assert wh.table("market_data").select("symbol").distinct().count() == 1
+
+
+def test_rerun_after_a_crash_loads_each_file_once(spark, tmp_dir, monkeypatch):
+    """Stopped before, within and after the append: the next run ends with one
+    set of trades, and a file that grew is loaded as a new one."""
+    import pytest
+    src, wh = f"{tmp_dir}/src", Warehouse(spark, f"{tmp_dir}/wh")
+    day = lambda d, n: spark.range(n).select(F.lit(dt.datetime(2025, 1, d)).cast("timestamp_ntz").alias("ts_event"), F.lit(None).cast("timestamp_ntz").alias("ts_rcv"),
+                                             F.col("id").alias("instrument_id"), F.lit(1.0).alias("last_px"), F.lit(1.0).alias("last_sz"), F.lit("B").alias("aggressor"))
+    run = lambda **k: wh.ingest("ES_FUTURES_MDP3", src, **k)
+    rows = lambda: wh.table("f_fut_trade").count()
+    day(1, 10).coalesce(1).write.parquet(f"{src}/fut_trades/a [1].parquet")
+    real = W.append
+
+    def none(*a):
+        raise RuntimeError("stopped")
+
+    def half(df, *a):
+        real(df.limit(3), *a)
+        raise RuntimeError("stopped")
+
+    def whole(df, *a):
+        real(df, *a)
+        raise RuntimeError("stopped")
+
+    for crash in (none, half, whole):
+        monkeypatch.setattr(W, "append", crash)
+        with pytest.raises(RuntimeError):
+            run()
+    monkeypatch.setattr(W, "append", real)
+    run()
+    assert rows() == 10
+    run()
+    day(2, 5).coalesce(1).write.parquet(f"{src}/fut_trades/b.parquet")
+    monkeypatch.setattr(W, "append", half)
+    with pytest.raises(RuntimeError):
+        run()
+    monkeypatch.setattr(W, "append", real)
+    run()
+    run()
+    assert rows() == 15
+    run(rerun="again")
+    assert rows() == 30
+    run()
+    assert rows() == 30

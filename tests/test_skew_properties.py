@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickvault.operators import dedupe
-from tickvault.operators.windows import lag_chunked
+from tickvault.operators.windows import forward_fill, forward_fill_chunked, lag_chunked
 
 rows_st = st.lists(
     st.tuples(st.one_of(st.just("HOT"), st.sampled_from(["A", "B", "C", None])),   # key, hot-heavy
@@ -34,6 +34,30 @@ def test_lag_chunked_equals_window_lag(spark, rows, width):
     assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == sorted(map(tuple, want.collect()), key=lambda r: r[1])
 
 
+@SETTINGS
+@given(rows=rows_st, width=st.integers(min_value=1, max_value=50))
+def test_fill_chunked_equals_window_fill(spark, rows, width):
+    df = _frame(spark, [(k, v if v % 3 == 0 else None) for k, v in rows])
+    want, got = forward_fill(df, ["k"], ["seq"], "v"), forward_fill_chunked(df, ["k"], "seq", "v", width)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == sorted(map(tuple, want.collect()), key=lambda r: r[1])
+
+
+def test_fill_of_one_hot_key_is_split(spark):
+    """A million rows of one key: equal to N3, and no task holds a fifth."""
+    df = spark.range(1_000_000).select(F.lit("HOT").alias("k"), F.col("id").alias("seq"), F.when(F.xxhash64("id") % 5000 == 0, F.col("id")).alias("v"))
+    total = lambda d: d.agg(F.sum(F.xxhash64("seq", "v").cast("decimal(38,0)")), F.count("v")).first()
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        got = forward_fill_chunked(df, ["k"], "seq", "v", 10_000)
+        assert got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("v")).agg(F.max("n")).first()[0] < 200_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.shuffle.partitions", old[1])
+    assert total(got) == total(forward_fill(df, ["k"], ["seq"], "v"))
+
+
 @SETTINGS
 @given(rows=rows_st)
 def test_keep_first_last_match_reference(spark, rows):

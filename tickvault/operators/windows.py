@@ -3,7 +3,7 @@
 Windows over daily series (one row per series and day) are bounded by the
 calendar, so a plain ``partitionBy(series)`` window is safe at any data size.
 Windows over ticks are not: one symbol may hold a third of all rows.  For
-those, ``lag_chunked`` splits every partition into ranges of the order column,
+those, ``lag_chunked`` (and ``forward_fill_chunked``) splits every partition into ranges of the order column,
 computes the lag inside each range in parallel, and stitches range borders
 with a small aggregate -- exact, and no task sees a whole hot key.
 """
@@ -51,16 +51,38 @@ def lag_chunked(df: DataFrame, partition: Sequence[str], order_col: str, value:
     prev_chunk = last_per_chunk.withColumn(
         "_prev_last", F.lag("_last").over(Window.partitionBy(*partition).orderBy("_chunk"))
     ).drop("_last")
-    # Null-safe equality on the partition columns (a null key is a group too).
-    pc = prev_chunk.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(partition)],
-                           F.col("_chunk").alias("_chunk_r"), "_prev_last")
-    cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(partition)] + \
-        [F.col("_chunk") == F.col("_chunk_r")]
-    j = d.join(pc, cond, "left")
+    j = _with_range(d, prev_chunk, partition, "_prev_last")
     res = j.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")))
     return res.select(*df.columns, out)
 
 
+def _with_range(d: DataFrame, ranges: DataFrame, partition: Sequence[str], value: str) -> DataFrame:
+    """Attach a value per (partition, range) to the rows; null-safe equality on
+    the partition columns (a null key is a group too)."""
+    r = ranges.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(partition)], F.col("_chunk").alias("_chunk_r"), value)
+    cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(partition)] + [F.col("_chunk").eqNullSafe(F.col("_chunk_r"))]
+    return d.join(r, cond, "left")
+
+
+def forward_fill_chunked(df: DataFrame, partition: Sequence[str], order_col: str, value: str,
+                         chunk_width: int, out: str | None = None, tiebreak: str | None = None) -> DataFrame:
+    """N3 for partitions of unbounded size (ticks): as ``lag_chunked``, the fill
+    runs per (partition, range of ``order_col``), and rows before a range's
+    first value take the last value of an earlier range.  Rows of equal order
+    without a ``tiebreak`` are in no defined order; a null order comes first."""
+    out = out or value
+    order = [order_col] + ([tiebreak] if tiebreak else [])
+    d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)).cast("long")).withColumn("_v", F.col(value))
+    seen = Window.partitionBy(*partition, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_fill", F.last("_v", ignorenulls=True).over(seen))
+    key = F.struct(*[F.col(c) for c in order])
+    last = d.groupBy(*partition, "_chunk").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), key)).alias("_last"))
+    before = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("_carried", F.last("_last", ignorenulls=True).over(before))
+    names = list(df.columns) + ([out] if out not in df.columns else [])
+    return _with_range(d, carried, partition, "_carried").withColumn(out, F.coalesce("_fill", "_carried")).select(*names)
+
+
 def daily_count_window(df: DataFrame, ts: str = "ts_event") -> DataFrame:
     """Rows of the day attached to each row, then per (year, month):
     days, rows, and the row-weighted average daily count."""

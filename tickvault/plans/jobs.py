@@ -23,6 +23,7 @@ from ..operators import instruments as I
 from ..operators import rolls as L
 from ..operators.curves import canonical_bars
 from ..session import configure, size_shuffle_partitions
+from ..sources import ledger as LG
 from ..sources import readers as R
 from ..sources import sinks as W
 
@@ -66,9 +67,9 @@ MONTH = ("month", lambda: F.date_format("trading_date", "yyyy-MM"))
 
 
 def _ticks(key: str, quotes: str, trades: str, quote_table: str, trade_table: str, continuous: bool = False) -> tuple[Load, Load]:
-    """Quotes are inserted unless there; trades have no key and are appended
-    (a rerun doubles them, as in the reference).  Files are sorted by (key,
-    time) inside each day, so point lookups skip row groups."""
+    """Quotes are inserted unless there; trades have no key and are appended, a
+    file once (see ``ingest``).  Files are sorted by (key, time) inside each
+    day, so point lookups skip row groups."""
     more = ("underlying_instrument_id",) if continuous else ()
     return (Load(quotes, schemas.F_CONTINUOUS_QUOTE_L1 if continuous else schemas.F_QUOTE_L1, lambda d: R.load_quotes(d, continuous), quote_table,
                  "ignore", ("trade_date", "ts_event", key, *more), TRADE_DATE, ("ts_rcv", "ts_event"), (key, "ts_event")),
@@ -123,25 +124,37 @@ class Warehouse:
         return W.read_as(self.spark, p, PARTITION_TYPES) if W.exists(self.spark, p) else None
 
     # Z1 ---------------------------------------------------------------------
-    def ingest(self, product: str, source: str) -> None:
+    def ingest(self, product: str, source: str, rerun: str = "skip") -> None:
         """A product's loads, one after the other; a load without files is
-        skipped.  Ticks are partitioned by UTC date, daily bars by month."""
+        skipped.  Ticks are partitioned by UTC date, daily bars by month.
+
+        Trades have no key: a file that was loaded is left out of a rerun by the
+        ledger; ``rerun="again"`` appends it again, as the reference does."""
         s = self.spark
         size_shuffle_partitions(s, source)
         for load in PRODUCTS[product].loads:
-            if not R.list_files(s, f"{source}/{load.glob}"):
+            glob, path = f"{source}/{load.glob}", self.path(load.table)
+            if not R.list_files(s, glob):
                 continue
-            rows = load.typed(R.scan_optional(s, f"{source}/{load.glob}", load.schema))
-            parts = [load.partition[0]] if load.partition else []
-            if load.partition:
-                rows = rows.withColumn(load.partition[0], load.partition[1]())
-            path, sort_by = self.path(load.table), load.sort_by
             if load.write == "append":
-                W.append(rows, path, parts, sort_by)
-            elif load.write == "ignore":
-                W.upsert_ignore(s, rows, path, list(load.key), parts, list(load.order), sort_by)
-            else:
-                W.upsert_replace(s, rows, path, list(load.key), parts, list(load.order), sort_by)
+                ledger = self.path(f"_ledger/{load.table}")
+                if rerun == "again":
+                    LG.undo_open(s, ledger, path)
+                    self._append(load, R.scan_optional(s, glob, load.schema))
+                else:
+                    LG.load_once(s, glob, ledger, path, lambda files, load=load: self._append(load, R.scan_paths(s, files, load.schema)))
+                continue
+            rows, parts = self._typed(load, R.scan_optional(s, glob, load.schema))
+            upsert = W.upsert_ignore if load.write == "ignore" else W.upsert_replace
+            upsert(s, rows, path, list(load.key), parts, list(load.order), load.sort_by)
+
+    def _typed(self, load: Load, raw: DataFrame) -> tuple[DataFrame, list[str]]:
+        rows = load.typed(raw)
+        return (rows.withColumn(load.partition[0], load.partition[1]()), [load.partition[0]]) if load.partition else (rows, [])
+
+    def _append(self, load: Load, raw: DataFrame) -> None:
+        rows, parts = self._typed(load, raw)
+        W.append(rows, self.path(load.table), parts, load.sort_by)
 
     # Z2 ---------------------------------------------------------------------
     def build(self, product: str, width_seconds: int = 60, volume: str = "once") -> None:

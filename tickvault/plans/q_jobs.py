@@ -361,3 +361,25 @@ def q_ingest_daily_product(t):
     w.build("ES_CONTINUOUS_DAILY_MDP3")
     roots = w.table("dim_continuous_contract").select("contract_series", "root")
     return w.table("g_continuous_bar_daily").drop("month").join(roots, "contract_series")
+
+
+@query("job_ingest_rerun", rnd=("last_px",), ops="Z1 W1", oracle="""
+select ts_event, instrument_id, last_px, last_sz, case when instrument_id % 4 = 0 then 2 else 1 end as copies, count(*) as n
+ from fx_trades group by all
+""")
+def q_ingest_rerun(t):
+    """Z1 run again with a new file beside the first: trades are loaded once;
+    a quarter is then appended again on purpose."""
+    spark, w = _spark(t), _warehouse(t)
+    src, more = scratch_path(spark, "source"), scratch_path(spark, "again")
+    trades = t["fx_trades"].select("ts_event", "ts_rcv", "instrument_id", "last_px", "last_sz", "aggressor")
+    trades.filter("instrument_id % 2 = 0").write.parquet(f"{src}/fut_trades/a.parquet")
+    w.ingest("ES_FUTURES_MDP3", src)
+    trades.filter("instrument_id % 2 = 1").write.parquet(f"{src}/fut_trades/b.parquet")
+    w.ingest("ES_FUTURES_MDP3", src)
+    w.ingest("ES_FUTURES_MDP3", src)
+    trades.filter("instrument_id % 4 = 0").write.parquet(f"{more}/fut_trades/a.parquet")
+    w.ingest("ES_FUTURES_MDP3", more, rerun="again")
+    found = w.table("f_fut_trade").groupBy("ts_event", "instrument_id", "last_px", "last_sz").agg(F.count(F.lit(1)).alias("rows"))
+    copies = F.when(F.col("instrument_id") % 4 == 0, 2).otherwise(1)
+    return found.select("ts_event", "instrument_id", "last_px", "last_sz", copies.cast("int").alias("copies"), (F.col("rows") / copies).cast("bigint").alias("n"))

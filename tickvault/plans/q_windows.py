@@ -126,6 +126,21 @@ def q_ffill(t):
     return N.forward_fill(t["fx_macro_obs"], ["series_id"], ["date"], "value")
 
 
+_BOOKS = """(select event_id, ts_event, case when instrument_id % 3 = 0 then null else instrument_id % 40 end as book,
+  case when event_id % 9 < 6 then null else bid_px end as px from fx_quotes)"""
+
+
+@query("forward_fill_ticks", rnd=("px",), ops="N3 G6", oracle=f"""
+select event_id, book, last_value(px ignore nulls) over (partition by book order by event_id rows between unbounded preceding and current row) as px
+ from {_BOOKS} b
+""")
+def q_forward_fill_ticks(t):
+    """N3 over ticks: a third of all rows have one (null) key; ranges of event
+    numbers are filled apart."""
+    b = t["fx_quotes"].sparkSession.sql(f"select * from {_BOOKS} b")
+    return N.forward_fill_chunked(b, ["book"], "event_id", "px", 5000).select("event_id", "book", "px")
+
+
 @query("group_size", ops="N4", oracle="""
 select event_id, symbol, count(*) over (partition by symbol) as group_size from fx_quote_raw
 """)

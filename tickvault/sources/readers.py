@@ -7,6 +7,7 @@ read (``ReadSchema``) and filters added later are pushed to the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,12 @@ def scan_optional(spark: SparkSession, glob: str, schema: T.StructType | str, fm
     return spark.read.schema(st).format(fmt).load(glob)
 
 
+def scan_paths(spark: SparkSession, paths: list[str], schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
+    """R1 for listed files: names are taken as they are, not as globs."""
+    st = schemas.struct(schema) if isinstance(schema, str) else schema
+    return spark.read.schema(st).format(fmt).load([re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths])
+
+
 def load_option_instruments(raw: DataFrame) -> DataFrame:
     """R2: typed option instrument projection with defaults."""
     d = OPTION_LOAD_DEFAULTS
