@@ -89,3 +89,58 @@ def test_a_first_write_that_crashes_is_no_table(spark, tmp_dir, monkeypatch):
     assert not W.exists(spark, path)
     W.replace_table(d, path)
     assert W.exists(spark, path) and W.read_table(spark, path).count() == 3
+
+
+def _rows_read(df):
+    """Rows that came out of the file scan of a query, which it runs."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    if "ResultQueryStage" in plan.nodeName():
+        plan = plan.plan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_bloom_filters_skip_files_of_a_lookup(spark, tmp_dir):
+    d = spark.range(400_000).select(F.md5(F.col("id").cast("string")).alias("k"), "id").repartition(4)
+    W.append(d, f"{tmp_dir}/plain")
+    W.append(d, f"{tmp_dir}/bloom", bloom=["k"])
+    keys = [r["k"] for r in d.filter("id < 10").collect()]
+    read = {n: sum(_rows_read(spark.read.parquet(f"{tmp_dir}/{n}").filter(F.col("k") == k)) for k in keys) for n in ("plain", "bloom")}
+    assert read["plain"] == 4_000_000 and 1_000_000 <= read["bloom"] < 1_500_000    # one file of four, rarely a second
+
+
+def test_an_insert_reads_only_rows_near_its_keys(spark, tmp_dir):
+    """1 % of the keys at one end: files outside their range are not read; the
+    result is that of the whole anti join, nulls included."""
+    d = spark.range(0, 100_000, 1, 10).select("id", F.when(F.col("id") > 5, F.col("id").cast("string")).alias("name"))
+    W.append(d, f"{tmp_dir}/t", sort_by=["id"])
+    batch = spark.range(99_500, 100_500).select("id", F.col("id").cast("string").alias("name"))
+    there = spark.read.parquet(f"{tmp_dir}/t")
+    assert _rows_read(W._near(there, batch, ["id"])) <= 10_000
+    W.upsert_ignore(spark, batch, f"{tmp_dir}/t", ["id"], [], ["id"])
+    assert spark.read.parquet(f"{tmp_dir}/t").agg(F.count("id"), F.countDistinct("id")).first() == (100_500, 100_500)
+    odd = spark.createDataFrame([(3, None), (3, "x"), (200_000, None), (3, None)], "id long, name string")
+    W.upsert_ignore(spark, odd, f"{tmp_dir}/t", ["id", "name"], [], ["id"])
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 100_502
+    W.insert_missing_dates(spark, odd.distinct(), f"{tmp_dir}/t", ["id", "name"])
+    W.insert_missing_dates(spark, odd.limit(0), f"{tmp_dir}/t", ["id", "name"])
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 100_502
+
+
+def test_writes_count_what_they_write(spark, tmp_dir):
+    """Counts equal a scan after the write: with and without partitions, of an
+    empty batch, over two writes, and with a key that holds most rows."""
+    dim = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    d = spark.range(10_000).select(F.when(F.col("id") % 10 < 8, 1).when(F.col("id") % 10 == 8, 5).cast("int").alias("k"), (F.col("id") % 4).alias("p"), "id")
+    for parts in ([], ["p"]):
+        c = W.Counts({"alone": F.col("_linked").isNull(), "low": F.col("id") < 100}, (dim, ["k"]))
+        path = f"{tmp_dir}/t{len(parts)}"
+        W.append(d, path, parts, ["id"], c)
+        assert c.found == {"alone": 2000, "low": 100}
+        assert set(spark.read.parquet(path).columns) == {"k", "p", "id"} and spark.read.parquet(path).count() == 10_000
+        W.append(d.filter("id < 0"), path, parts, ["id"], c)
+        assert c.found == {"alone": 2000, "low": 100}
+        W.upsert_ignore(spark, d.filter("id < 50").withColumn("id", -F.col("id") - 1), path, ["p", "id"], parts, ["id"], ["id"], c)
+        assert c.found == {"alone": 2010, "low": 150}

@@ -82,12 +82,29 @@ def unpivot_checks(one_row: DataFrame, specs: Sequence[tuple[str, str, str, str]
                      .otherwise(F.concat(v.cast("string"), F.lit(f" {unit}"))).alias("message"))
 
 
+def counted(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts that are known already (of a write) as the one row of
+    ``unpivot_checks``."""
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{n} bigint" for n in counts))
+
+
+def spread_is_negative() -> Column:
+    return F.col("ask_px") < F.col("bid_px")
+
+
 def negative_spread(quotes: DataFrame) -> DataFrame:
     """V1: quotes with ask < bid (null prices do not count)."""
-    one = quotes.agg(F.count_if(F.col("ask_px") < F.col("bid_px")).alias("v"))
+    return negative_spread_row(quotes.agg(F.count_if(spread_is_negative()).alias("v")))
+
+
+def negative_spread_row(one: DataFrame) -> DataFrame:
     return unpivot_checks(one, [("quotes.negative_spread", "Negative spreads", "HARD", "v")])
 
 
+def unlinked_row(one: DataFrame, label: str) -> DataFrame:
+    return unpivot_checks(one, [(f"{label}.unlinked", f"Unlinked instruments ({label})", "HARD", "v")])
+
+
 def unlinked(facts: dict[str, DataFrame], dim: DataFrame, key: str = "instrument_id") -> DataFrame:
     """V2: rows of each fact without a dimension row (anti join; the planner
     broadcasts the dimension when its measured size is under the threshold)."""
@@ -95,26 +112,36 @@ def unlinked(facts: dict[str, DataFrame], dim: DataFrame, key: str = "instrument
     d = dim.select(key).distinct()
     for label, fact in facts.items():
         n = fact.select(key).join(d, key, "left_anti").agg(F.count(F.lit(1)).alias("v"))
-        c = unpivot_checks(n, [(f"{label}.unlinked", f"Unlinked instruments ({label})", "HARD", "v")])
+        c = unlinked_row(n, label)
         out = c if out is None else out.unionByName(c)
     return out
 
 
-def daily_bar_violations(bars: DataFrame, key: Sequence[str] = ("trading_date", "contract_series")) -> DataFrame:
-    """V3: the 12 daily-bar counts in one pass (group by key, then total)."""
+def daily_bar_conditions() -> list[Column]:
+    """V3: the conditions on a row, in the order of DAILY_BAR_CHECKS after its first."""
     o, h, l, c = (F.col(x) for x in ("open", "high", "low", "close"))
     root = series_root("contract_series")
-    conds = [
+    return [
         F.col("volume") < 0,
         (root != NEGATIVE_PRICE_ROOT) & ((o <= 0) | (h <= 0) | (l <= 0) | (c <= 0)),
         (root == NEGATIVE_PRICE_ROOT) & (o.isNull() | h.isNull() | l.isNull() | c.isNull()),
         F.col("trading_date").isNull(), F.col("contract_series").isNull(), c.isNull(),
         h < l, h < o, h < c, l > o, l > c,
     ]
+
+
+def daily_bar_violations(bars: DataFrame, key: Sequence[str] = ("trading_date", "contract_series")) -> DataFrame:
+    """V3: the 12 daily-bar counts in one pass (group by key, then total)."""
+    conds = daily_bar_conditions()
     per_key = bars.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
                                      *[F.count_if(x).alias(f"m{i + 1}") for i, x in enumerate(conds)])
     one = per_key.agg(F.count_if(F.col("_n") > 1).alias("m0"),
                       *[F.sum(f"m{i + 1}").alias(f"m{i + 1}") for i in range(len(conds))])
+    return daily_bar_rows(one)
+
+
+def daily_bar_rows(one: DataFrame) -> DataFrame:
+    """Rows of V3 from one row with the counts m0 (repeated keys), m1, ..."""
     specs = [(f"continuous_daily.validator.{slug(n)}", f"Continuous daily: {n}", "HARD", f"m{i}")
              for i, n in enumerate(DAILY_BAR_CHECKS)]
     return unpivot_checks(one, specs)

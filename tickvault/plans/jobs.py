@@ -42,6 +42,7 @@ class Load:
     partition: tuple[str, Callable[[], Column]] | None = None
     order: tuple[str, ...] = ()
     sort_by: tuple[str, ...] | None = None
+    bloom: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -98,7 +99,8 @@ PRODUCTS = {
              underlying="underlying_instrument_id")),
     "ES_CONTINUOUS_DAILY_MDP3": Product(
         (CONTRACTS, Load("continuous_bars_daily/*.parquet", schemas.G_CONTINUOUS_BAR_DAILY, R.load_daily_bars, "g_continuous_bar_daily",
-                         "replace", ("month", "trading_date", "contract_series"), MONTH, ("underlying_instrument_id", "volume", "close")))),
+                         "replace", ("month", "trading_date", "contract_series"), MONTH, ("underlying_instrument_id", "volume", "close"),
+                         ("trading_date",), ("contract_series",)))),
 }
 # ---------------------------------------------------------------------------
 
@@ -124,37 +126,75 @@ class Warehouse:
         return W.read_as(self.spark, p, PARTITION_TYPES) if W.exists(self.spark, p) else None
 
     # Z1 ---------------------------------------------------------------------
-    def ingest(self, product: str, source: str, rerun: str = "skip") -> None:
+    def ingest(self, product: str, source: str, rerun: str = "skip") -> DataFrame:
         """A product's loads, one after the other; a load without files is
         skipped.  Ticks are partitioned by UTC date, daily bars by month.
 
         Trades have no key: a file that was loaded is left out of a rerun by the
-        ledger; ``rerun="again"`` appends it again, as the reference does."""
+        ledger; ``rerun="again"`` appends it again, as the reference does.
+
+        Returns the product's checks (those of Z3) of the rows that this call
+        wrote, counted by the writes without a scan of their own: of ticks the
+        rows added, so that counts of calls add up to Z3's while the dimension
+        keeps its keys; of daily bars the months touched, whole, whose keys are
+        distinct by the write.  Without the dimension the rows say which table
+        is missing, as in Z3."""
         s = self.spark
+        counts: dict[str, W.Counts | None] = {}
         size_shuffle_partitions(s, source)
         for load in PRODUCTS[product].loads:
             glob, path = f"{source}/{load.glob}", self.path(load.table)
             if not R.list_files(s, glob):
                 continue
+            counts[load.table] = count = self._counts(product, load)
             if load.write == "append":
                 ledger = self.path(f"_ledger/{load.table}")
                 if rerun == "again":
                     LG.undo_open(s, ledger, path)
-                    self._append(load, R.scan_optional(s, glob, load.schema))
+                    self._append(load, R.scan_optional(s, glob, load.schema), count)
                 else:
-                    LG.load_once(s, glob, ledger, path, lambda files, load=load: self._append(load, R.scan_paths(s, files, load.schema)))
+                    LG.load_once(s, glob, ledger, path, lambda files, load=load, count=count: self._append(load, R.scan_paths(s, files, load.schema), count))
                 continue
             rows, parts = self._typed(load, R.scan_optional(s, glob, load.schema))
             upsert = W.upsert_ignore if load.write == "ignore" else W.upsert_replace
-            upsert(s, rows, path, list(load.key), parts, list(load.order), load.sort_by)
+            upsert(s, rows, path, list(load.key), parts, list(load.order), load.sort_by, count, load.bloom)
+        return self._counted(product, counts)
+
+    def _counts(self, product: str, load: Load) -> W.Counts | None:
+        """What a load's write counts for the product's checks."""
+        p = PRODUCTS[product].bars
+        if p is None:
+            bars = load.table == "g_continuous_bar_daily"
+            return W.Counts({f"m{i}": c for i, c in enumerate(V.daily_bar_conditions(), 1)}) if bars else None
+        dim = self.table(p.dimension) if load.table in (p.quotes, p.trades) else None
+        if dim is None:
+            return None
+        spread = {"spread": V.spread_is_negative()} if product == "ES_OPTIONS_MDP3" and load.table == p.quotes else {}
+        return W.Counts({"unlinked": F.col("_linked").isNull(), **spread}, (dim, [p.key]))
+
+    def _counted(self, product: str, counts: dict[str, W.Counts | None]) -> DataFrame:
+        """The rows of the product's checks from what its writes counted."""
+        s, p = self.spark, PRODUCTS[product].bars
+        if p is None:
+            known = counts.get("g_continuous_bar_daily")
+            return V.daily_bar_rows(V.counted(s, {"m0": 0, **{n: known.found.get(n, 0) for n in known.conditions}})) if known else s.createDataFrame([], V.CHECK_SCHEMA)
+        facts = {n: counts[t] for n, t in (("quotes", p.quotes), ("trades", p.trades)) if t in counts}
+        if not facts or any(c is None for c in facts.values()):
+            return V.tables_exist(s, {n: self.path(n) for n in (p.dimension, p.quotes, p.trades)})
+        rows = [V.unlinked_row(V.counted(s, {"v": c.found.get("unlinked", 0)}), n) for n, c in facts.items()]
+        rows += [V.negative_spread_row(V.counted(s, {"v": c.found.get("spread", 0)})) for c in facts.values() if "spread" in c.conditions]
+        out = rows[0]
+        for r in rows[1:]:
+            out = out.unionByName(r)
+        return out
 
     def _typed(self, load: Load, raw: DataFrame) -> tuple[DataFrame, list[str]]:
         rows = load.typed(raw)
         return (rows.withColumn(load.partition[0], load.partition[1]()), [load.partition[0]]) if load.partition else (rows, [])
 
-    def _append(self, load: Load, raw: DataFrame) -> None:
+    def _append(self, load: Load, raw: DataFrame, counts: W.Counts | None) -> None:
         rows, parts = self._typed(load, raw)
-        W.append(rows, self.path(load.table), parts, load.sort_by)
+        W.append(rows, self.path(load.table), parts, load.sort_by, counts, load.bloom)
 
     # Z2 ---------------------------------------------------------------------
     def build(self, product: str, width_seconds: int = 60, volume: str = "once") -> None:

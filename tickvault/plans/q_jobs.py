@@ -13,6 +13,7 @@ from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import sinks as W
 from .jobs import Warehouse
+from .q_checks import _v3_sql
 from .registry import query
 
 _SERIES = "fx_index_new"
@@ -383,3 +384,35 @@ def q_ingest_rerun(t):
     found = w.table("f_fut_trade").groupBy("ts_event", "instrument_id", "last_px", "last_sz").agg(F.count(F.lit(1)).alias("rows"))
     copies = F.when(F.col("instrument_id") % 4 == 0, 2).otherwise(1)
     return found.select("ts_event", "instrument_id", "last_px", "last_sz", copies.cast("int").alias("copies"), (F.col("rows") / copies).cast("bigint").alias("n"))
+
+
+_ONE_BAR = """(select trading_date, contract_series, open, high, low, close, volume from
+  (select *, row_number() over (partition by trading_date, contract_series order by volume, coalesce(close, -1), open, high) as rn from fx_bar_dirty) x where rn = 1)"""
+
+
+@query("job_ingest_counts", ops="Z1 Z3 V1 V2 V3", oracle=f"""
+with q as (select ask_px, bid_px, instrument_id from
+  (select *, row_number() over (partition by ts_event, instrument_id order by event_id) as rn from fx_quotes) x where rn = 1),
+ found as (select check_id, violations from ({_v3_sql().replace("fx_bar_dirty", _ONE_BAR + " d")}) v
+  union all select 'quotes.negative_spread', count(*) from q where ask_px < bid_px
+  union all select 'quotes.unlinked', count(*) from q where instrument_id not in (select instrument_id from fx_fut_instrument)
+  union all select 'trades.unlinked', count(*) from fx_trades where instrument_id not in (select instrument_id from fx_fut_instrument))
+select check_id, cast(violations as bigint) as counted, cast(violations as bigint) as scanned from found
+""")
+def q_ingest_counts(t):
+    """Z1's own checks, counted by its writes: options in two pulls (the second
+    holds the first's quotes again) and daily bars, beside Z3's scan."""
+    spark, w = _spark(t), _warehouse(t)
+    one, two = scratch_path(spark, "pull"), scratch_path(spark, "pull")
+    t["fx_fut_instrument"].select("instrument_id", "root", "symbol_feed").write.parquet(f"{one}/instruments/a.parquet")
+    fields = ["ts_rcv", "bid_px", "bid_sz", "ask_px", "ask_sz"]
+    quotes = t["fx_quotes"].groupBy("ts_event", "instrument_id").agg(F.min_by(F.struct(*fields), "event_id").alias("r")).select("ts_event", "instrument_id", "r.*")
+    quotes.filter("instrument_id % 2 = 0").write.parquet(f"{one}/quotes_l1/a.parquet")
+    quotes.write.parquet(f"{two}/quotes_l1/a.parquet")
+    t["fx_trades"].select("ts_event", "ts_rcv", "instrument_id", "last_px", "last_sz", "aggressor").write.parquet(f"{one}/trades/a.parquet")
+    spark.sql(f"select * from {_ONE_BAR} d").write.parquet(f"{one}/continuous_bars_daily/a.parquet")
+    products = ("ES_OPTIONS_MDP3", "ES_CONTINUOUS_DAILY_MDP3")
+    pulls = [w.ingest(products[0], one), w.ingest(products[0], two), w.ingest(products[1], one)]
+    counted = pulls[0].unionByName(pulls[1]).unionByName(pulls[2]).groupBy("check_id").agg(F.sum("violations").alias("counted"))
+    scanned = w.validate(products[0]).unionByName(w.validate(products[1])).select("check_id", F.col("violations").alias("scanned"))
+    return counted.join(scanned, "check_id", "full")

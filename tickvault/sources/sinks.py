@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DateType, DecimalType, IntegralType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from ..operators import dedupe
 from ..session import configure, scratch_path
@@ -76,23 +77,60 @@ def read_as(spark: SparkSession, path: str, types: StructType) -> DataFrame:
     return spark.read.schema(StructType([StructField(f.name, want.get(f.name, f.dataType)) for f in found])).parquet(path)
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], sort_by: Sequence[str] | None) -> None:
+@dataclass
+class Counts:
+    """Rows of a write that meet each condition, counted by the write itself.
+
+    With ``link`` (a dimension and its key) a row without a dimension row has a
+    null ``_linked`` in the conditions; null keys have none.  ``found`` holds the
+    counts after the write; a table that was written in two writes has their
+    sums.  The metrics are collected in the last stage, where Spark counts a
+    task that ran twice once."""
+    conditions: dict[str, Column]
+    link: tuple[DataFrame, Sequence[str]] | None = None
+    found: dict[str, int] = field(default_factory=dict)
+
+    def linked(self, df: DataFrame) -> DataFrame:
+        if not self.link:
+            return df
+        dim, key = self.link
+        return df.join(dim.select(*key).distinct().withColumn("_linked", F.lit(True)), list(key), "left")
+
+    def add(self, seen: dict) -> None:
+        for name in self.conditions:
+            self.found[name] = self.found.get(name, 0) + (seen.get(name) or 0)
+
+
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], sort_by: Sequence[str] | None,
+           counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     """Rows are clustered by partition (a large one is split over several
     tasks), and sorted by partition, then ``sort_by``: Spark keeps that order
     when it writes partitions, so every file and row group covers a narrow
     range of ``sort_by`` and later scans skip row groups by their statistics,
-    which replaces the reference's indexes."""
+    which replaces the reference's indexes.  Row groups get a Parquet bloom
+    filter (sized by their own distinct values) of each column of ``bloom``:
+    lookups by a column that the files are not sorted by skip row groups too."""
+    columns, seen = df.columns, Observation()
+    if counts:
+        df = counts.linked(df)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if counts:
+        df = df.observe(seen, *(F.count_if(c).alias(n) for n, c in counts.conditions.items())).select(*columns)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    for c in bloom:
+        w = w.option("parquet.bloom.filter.adaptive.enabled", "true").option(f"parquet.bloom.filter.enabled#{c}", "true")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    if counts:
+        counts.add(seen.get)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None) -> None:
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None,
+           counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     """Plain insert (into the current version of a versioned table)."""
-    _write(df, current(df.sparkSession, path), "append", partition_by, sort_by)
+    _write(df, current(df.sparkSession, path), "append", partition_by, sort_by, counts, bloom)
 
 
 def _staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
@@ -128,14 +166,34 @@ def _touched(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str])
     return existing.filter(cond)
 
 
-def _switch(spark: SparkSession, df: DataFrame, path: str, sort_by: Sequence[str] | None = None) -> None:
+def _near(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Target rows whose key columns lie between the least and the greatest
+    values of the (staged) batch, the only ones that can hold its keys.  The
+    bounds (one row, as text that casts back exactly) become literals, which the
+    scan uses to leave out row groups; as subqueries they are not pushed down
+    (checked).  A column with nulls in the batch keeps the target's nulls;
+    columns of other types (floating point, with NaN) are not bounded."""
+    bounded = [f for f in batch.select(*key).schema if isinstance(f.dataType, IntegralType | DecimalType | StringType | DateType | TimestampType | TimestampNTZType)]
+    if not bounded:
+        return existing
+    ends = [(F.min(f.name).cast("string"), F.max(f.name).cast("string"), F.count_if(F.col(f.name).isNull())) for f in bounded]
+    row = iter(batch.agg(*(c for end in ends for c in end)).first())
+    for f in bounded:
+        c, low, high, holes = F.col(f.name), next(row), next(row), next(row)
+        inside = c.between(F.lit(low).cast(f.dataType), F.lit(high).cast(f.dataType))
+        existing = existing.filter(inside | c.isNull() if holes else inside)
+    return existing
+
+
+def _switch(spark: SparkSession, df: DataFrame, path: str, sort_by: Sequence[str] | None = None,
+            counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     """Replace an unpartitioned table: a new version is written whole, then
     committed by one empty file whose name holds the next number and the
     version.  That file appears at once or not at all, so a reader, or a writer
     that crashes at any point, sees the old table or the new one.  Writers of
     one table come one after the other."""
     version = uuid.uuid4().hex[:12]
-    _write(df, f"{path.rstrip('/')}/_versions/{version}", "error", (), sort_by)
+    _write(df, f"{path.rstrip('/')}/_versions/{version}", "error", (), sort_by, counts, bloom)
     _commit(spark, path, version)
     _tidy(spark, path)
 
@@ -159,12 +217,12 @@ def _tidy(spark: SparkSession, path: str) -> None:
 
 
 def _overwrite_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str],
-                          tag: str, sort_by: Sequence[str] | None = None) -> None:
+                          tag: str, sort_by: Sequence[str] | None = None, counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     staged, staging = _staged(merged, tag)
     if partition_by:
-        _write(staged, path, "overwrite", partition_by, sort_by)
+        _write(staged, path, "overwrite", partition_by, sort_by, counts, bloom)
     else:
-        _switch(spark, staged, path, sort_by)
+        _switch(spark, staged, path, sort_by, counts, bloom)
     remove(spark, staging)
 
 
@@ -175,39 +233,43 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequen
 
 
 def upsert_replace(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
-                   partition_by: Sequence[str], order: Sequence[str], sort_by: Sequence[str] | None = None) -> None:
+                   partition_by: Sequence[str], order: Sequence[str], sort_by: Sequence[str] | None = None,
+                   counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     """``insert or replace`` into a partitioned Parquet table (the new
     row wins whole; inside the batch the last by ``order``).  ``partition_by``
-    must be part of ``key`` so a key never moves between partitions."""
+    must be part of ``key`` so a key never moves between partitions.
+    ``counts`` are of the touched partitions, whole."""
     configure(spark)
     if not exists(spark, path):
         first = dedupe.keep_last(batch, key, order)
         if partition_by:
-            _write(first, path, "overwrite", partition_by, sort_by)
+            _write(first, path, "overwrite", partition_by, sort_by, counts, bloom)
         else:
-            _switch(spark, first, path, sort_by)
+            _switch(spark, first, path, sort_by, counts, bloom)
         return
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
     old = _touched(existing, batch, partition_by)
     merged = dedupe.upsert_replace(old, batch.select(*existing.columns), key, order)
-    _overwrite_partitions(spark, merged, path, partition_by, "upsert", sort_by)
+    _overwrite_partitions(spark, merged, path, partition_by, "upsert", sort_by, counts, bloom)
     remove(spark, staging)
 
 
 def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
-                  partition_by: Sequence[str], order: Sequence[str], sort_by: Sequence[str] | None = None) -> None:
+                  partition_by: Sequence[str], order: Sequence[str], sort_by: Sequence[str] | None = None,
+                  counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     """``insert or ignore`` -- append only keys not yet present (the
-    existing row wins; inside the batch the first by ``order``)."""
+    existing row wins; inside the batch the first by ``order``).  ``counts``
+    are of the appended rows."""
     configure(spark)
     if not exists(spark, path):
-        _write(dedupe.keep_first(batch, key, order), path, "overwrite", partition_by, sort_by)
+        _write(dedupe.keep_first(batch, key, order), path, "overwrite", partition_by, sort_by, counts, bloom)
         return
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
-    old = _touched(existing, batch, partition_by)
+    old = _near(_touched(existing, batch, partition_by), batch, key)
     new_rows, fresh = _staged(dedupe.upsert_ignore(old, batch.select(*existing.columns), key, order), "append")
-    append(new_rows, path, partition_by, sort_by)
+    append(new_rows, path, partition_by, sort_by, counts, bloom)
     remove(spark, staging, fresh)
 
 
@@ -245,7 +307,7 @@ def insert_missing_dates(spark: SparkSession, batch: DataFrame, path: str, key:
         return
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
-    old = _touched(existing, batch, partition_by)
+    old = _near(_touched(existing, batch, partition_by), batch, key)
     new_rows, fresh = _staged(dedupe.insert_missing(old, batch.select(*existing.columns), key), "missing")
     append(new_rows, path, partition_by)
     remove(spark, staging, fresh)
