@@ -329,10 +329,9 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     # node of another component, and in the last round all that signatures allow
     rest, bits = tiles, "half"
     for turn in range(NEAREST_ROUNDS + 1):
-        before, (rest, load, bags) = rest, _mixed(rest, roots, nodes.select("node", F.col(bits).alias("bits")))
+        before, (rest, bags) = rest, _mixed(rest, roots, nodes.select("node", F.col(bits).alias("bits")))
         drop(before)
-        crossed = _crossed(rest, load, bags, percent, turn < NEAREST_ROUNDS)
-        drop(load)
+        crossed = _crossed(rest, bags, percent, turn < NEAREST_ROUNDS)
         found = verified(crossed, "crossed")
         if not found.isEmpty():
             links = written(links.unionAll(found), "links")
@@ -346,25 +345,28 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     return _labelled(base, nodes, roots, at)
 
 
-def _mixed(tiles: DataFrame, roots: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+def _mixed(tiles: DataFrame, roots: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
     """Rows of the tiles that hold several components (those outside a tile's
-    largest are minor), into how many parts tiles are cut, and the number of
-    bags that they fill."""
+    largest are minor), each with the number of parts that its tile's outsiders
+    (few) and members (many) are cut into, and the number of bags that they
+    fill.  Rows are in the order of nodes: equal signatures lie side by side, so
+    the table and the shuffle made from it are small."""
     placed = written(tiles.select("h", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     sizes = placed.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("h", F.col("top.root").alias("major"))
+    tops = sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("n").alias("m")).where("roots > 1")
+    few, many = F.ceil((F.col("m") - F.col("top.n")) / OUTSIDERS), F.ceil(F.col("m") / MEMBERS)
+    mixed = tops.select("h", F.col("top.root").alias("major"), few.cast("int").alias("few"), many.cast("int").alias("many"))
     rest = placed.join(mixed, "h").withColumn("minor", F.col("root") != F.col("major"))
-    rest = written(rest.join(nodes, "node").select("h", "node", "size", "root", "minor", "bits"), "rest")
+    rest = rest.join(nodes, "node").select("h", "node", "size", "root", "minor", "few", "many", "bits").sortWithinPartitions("node")
+    rest = written(rest, "rest")
     drop(placed)
-    load = rest.groupBy("h").agg(F.count_if("minor").alias("q"), F.count(F.lit(1)).alias("m"))
-    load = written(load.select("h", F.ceil(F.col("q") / OUTSIDERS).cast("int").alias("few"), F.ceil(F.col("m") / MEMBERS).cast("int").alias("many")), "load")
     held = rest.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
-    return rest, load, max(512, held // BAG_BYTES)
+    return rest, max(512, held // BAG_BYTES)
 
 
-def _crossed(rest: DataFrame, load: DataFrame, bags: int, percent: int, nearest: bool) -> DataFrame:
+def _crossed(rest: DataFrame, bags: int, percent: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) of _cross over all tiles; of a node the nearest if so asked."""
-    sides = rest.join(load, "h").withColumn("side", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    sides = rest.withColumn("side", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("few")).otherwise(F.col("many")))
     across = F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("many")).otherwise(F.col("few")) - 1))
     sides = sides.withColumn("own", own.cast("int")).withColumn("across", across)
