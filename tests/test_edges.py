@@ -122,3 +122,21 @@ def test_high_water_mark_modes(spark):
     reb = first.filter(F.col("ts_minute") < F.lit(cutoff)).unionByName(
         bars.bars_futures(bars.incremental_quotes(q, cutoff, "rebuild"), t, 60))
     assert sorted(map(tuple, reb.collect())) == sorted(map(tuple, bars.bars_futures(q, t, 60).collect()))
+
+
+def test_missing_minutes_of_rare_symbols(spark):
+    """A symbol with few rows over many days lists every minute between them,
+    a null symbol all of its span, and nothing but rows per day is shuffled."""
+    from tickvault.operators import calendar as C
+    rows = [("a", "2024-01-01 23:58:10"), ("a", "2024-01-02 00:01:30"), ("a", "2024-01-02 00:01:59"), ("a", "2024-01-04 00:00:00"),
+            ("b", "2024-01-01 10:00:00"), ("b", "2024-01-01 10:01:00"), ("c", None), (None, "2024-01-01 00:00:00"), (None, "2024-01-01 00:02:00")]
+    q = spark.createDataFrame(rows, "symbol string, t string").select("symbol", F.col("t").cast("timestamp_ntz").alias("ts_event"))
+    got = sorted((r["symbol"] or "", str(r["minute"])) for r in C.missing_minutes(q).collect())
+    a = spark.sql("select explode(sequence(timestamp_ntz'2024-01-01 23:58:00', timestamp_ntz'2024-01-04 00:00:00', interval 1 minute)) m").collect()
+    there = {"2024-01-01 23:58:00", "2024-01-02 00:01:00", "2024-01-04 00:00:00"}
+    none = [("", f"2024-01-01 00:0{i}:00") for i in range(3)]
+    assert got == none + [("a", str(r["m"])) for r in a if str(r["m"]) not in there]
+    days = {(r["symbol"], r["day"].day): r["minutes"] for r in C.missing_minutes(q, by_day=True).collect()}
+    assert {k: len(v) for k, v in days.items()} == {("a", 1): 1, ("a", 2): 1439, ("a", 3): 1440, (None, 1): 3}
+    plan = C.missing_minutes(q)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan  # which would shuffle the grid

@@ -160,19 +160,33 @@ def minute_coverage(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_eve
                       F.col("first_minute").alias("first_ts"), F.col("last_minute").alias("last_ts"))
 
 
-def missing_minutes(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_event") -> DataFrame:
+def missing_minutes(quotes: DataFrame, symbol: str = "symbol", ts: str = "ts_event", by_day: bool = False) -> DataFrame:
     """G7 list form: minutes between a symbol's first and last minute with no
-    row.  The grid is built per (symbol, day), repartitioned, then exploded to
-    minutes, so a symbol spanning years is spread over many tasks."""
+    row; with ``by_day`` one row per symbol and ``day`` that lack any, ``minutes``
+    being the list as numbers 0 to 1439 of that day.
+
+    Only rows per (symbol, day) are shuffled, a day's present minutes as one
+    array; a day's missing ones are the runs between them, made in one task.
+    Days are small rows with much work, so they are dealt over a fixed number of
+    tasks, which adaptive execution does not merge: a symbol spanning years is
+    spread over many."""
+    of_day = lambda c: F.hour(c) * 60 + F.minute(c)
     m = quotes.select(symbol, F.date_trunc("minute", col(ts)).cast("timestamp_ntz").alias("minute")).distinct()
     b = m.groupBy(symbol).agg(F.min("minute").alias("_s"), F.max("minute").alias("_e"))
-    days = b.select(symbol, "_s", "_e", F.explode(F.sequence(F.to_date("_s"), F.to_date("_e"))).alias("_day"))
-    days = days.repartition(symbol, "_day")
-    day_start = F.col("_day").cast("timestamp_ntz")
-    lo = F.greatest(day_start, F.col("_s"))
-    hi = F.least(day_start + F.expr("INTERVAL 1439 MINUTES"), F.col("_e"))
-    grid = days.select(symbol, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MINUTE"))).alias("minute"))
-    return grid.join(m, [symbol, "minute"], "left_anti")
+    days = b.select(symbol, "_s", "_e", F.explode(F.sequence(F.to_date("_s"), F.to_date("_e"))).alias("day"))
+    there = m.groupBy(symbol, F.to_date("minute").alias("day")).agg(F.collect_list(of_day("minute")).alias("_there"))
+    tasks = int(quotes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lo = F.when(F.col("day") == F.to_date("_s"), of_day("_s")).otherwise(0)
+    hi = F.when(F.col("day") == F.to_date("_e"), of_day("_e")).otherwise(1439)
+    ends = F.array_sort(F.concat(F.array(lo - 1, hi + 1), F.coalesce("_there", F.array().cast("array<int>"))))
+    gap = lambda a, b: F.when(b - a > 1, F.sequence(a + 1, b - 1)).otherwise(F.array().cast("array<int>"))
+    left = F.flatten(F.zip_with(F.slice("_ends", 1, F.size("_ends") - 1), F.slice("_ends", 2, F.size("_ends") - 1), gap))
+    missing = days.repartition(tasks, symbol, "day").join(there, [symbol, "day"], "left").select(symbol, "day", ends.alias("_ends"))
+    missing = missing.select(symbol, "day", left.alias("minutes"))
+    if by_day:
+        return missing.where(F.size("minutes") > 0)
+    at = F.make_dt_interval(mins=F.col("_at"))
+    return missing.select(symbol, "day", F.explode("minutes").alias("_at")).select(symbol, (F.col("day").cast("timestamp_ntz") + at).alias("minute"))
 
 
 def day_count_pivot(df: DataFrame, symbol: str = "symbol", ts: str = "ts_event", wide: bool = False) -> DataFrame:

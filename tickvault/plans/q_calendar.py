@@ -152,8 +152,8 @@ select symbol, cast(minute as date) as day, count(*) as missing_minutes from mis
 """)
 def q_missing_minutes(t):
     """G7 list form over the whole minute grid, reported per (symbol, day)."""
-    miss = C.missing_minutes(t["fx_quote_raw"])
-    return miss.groupBy("symbol", F.to_date("minute").alias("day")).agg(F.count(F.lit(1)).alias("missing_minutes"))
+    miss = C.missing_minutes(t["fx_quote_raw"], by_day=True)
+    return miss.select("symbol", "day", F.size("minutes").cast("long").alias("missing_minutes"))
 
 
 @query("day_count_pivot", ops="G8", oracle="""
