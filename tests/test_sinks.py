@@ -2,6 +2,7 @@
 staging that is removed, tables that are replaced whole."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
@@ -144,3 +145,28 @@ def test_writes_count_what_they_write(spark, tmp_dir):
         assert c.found == {"alone": 2000, "low": 100}
         W.upsert_ignore(spark, d.filter("id < 50").withColumn("id", -F.col("id") - 1), path, ["p", "id"], parts, ["id"], ["id"], c)
         assert c.found == {"alone": 2010, "low": 150}
+
+
+def test_upserts_of_many_partition_values(spark, tmp_dir, monkeypatch):
+    """A table of more ids than get a directory each is dealt over buckets:
+    upserts, inserts and appends give the same rows, and stay in that layout."""
+    monkeypatch.setattr(W, "PARTITIONS", 20)
+    monkeypatch.setattr(W, "BUCKETS", 4)
+    d = spark.range(200).select((F.col("id") % 50).alias("p"), F.col("id").alias("k"), F.lit(1.0).alias("v"))
+    d = d.unionAll(spark.createDataFrame([(None, 900, 1.0)], d.schema))
+    key, parts, path = ["p", "k"], ["p"], f"{tmp_dir}/t"
+    W.upsert_ignore(spark, d, path, key, parts, ["v"])
+    dirs = sorted(os.listdir(path))
+    assert len([x for x in dirs if "=" in x]) <= 4 and not any(x.startswith("p=") for x in dirs)
+    W.upsert_replace(spark, d.where("k % 20 = 0").withColumn("v", F.lit(2.0)), path, key, parts, ["v"])
+    W.upsert_ignore(spark, spark.createDataFrame([(3, 3, 9.0), (3, 777, 3.0), (77, 778, 3.0), (None, 900, 9.0)], d.schema), path, key, parts, ["v"])
+    W.insert_missing_dates(spark, spark.createDataFrame([(3, 3, 9.0), (4, 779, 4.0)], d.schema), path, key, parts)
+    W.append(spark.createDataFrame([(5, 780, 5.0)], d.schema), path, parts)
+    got = {(r["p"], r["k"]): r["v"] for r in W.read_table(spark, path).collect()}
+    want = {(i % 50, i): 2.0 if i % 20 == 0 else 1.0 for i in range(200)}
+    want |= {(3, 777): 3.0, (77, 778): 3.0, (4, 779): 4.0, (5, 780): 5.0}
+    assert {k: v for k, v in got.items() if k[0] is not None} == want and got[None, 900] == 2.0
+    assert W.read_table(spark, path).columns == ["p", "k", "v"] and W.read_table(spark, path).count() == len(got)
+    few = f"{tmp_dir}/few"
+    W.upsert_ignore(spark, d.where("p < 3"), few, key, parts, ["v"])
+    assert sorted(x for x in os.listdir(few) if "=" in x) == ["p=0", "p=1", "p=2"]

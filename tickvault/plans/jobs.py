@@ -123,7 +123,7 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame | None:
         p = self.path(name)
-        return W.read_as(self.spark, p, PARTITION_TYPES) if W.exists(self.spark, p) else None
+        return W.read_as(self.spark, p, PARTITION_TYPES).drop(W.BUCKET) if W.exists(self.spark, p) else None
 
     # Z1 ---------------------------------------------------------------------
     def ingest(self, product: str, source: str, rerun: str = "skip") -> DataFrame:

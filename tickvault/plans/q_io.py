@@ -93,14 +93,15 @@ union all select {_QCOLS} from latest
 """)
 def q_parquet_upsert(t):
     """W2 on real files: batch 1 written (first row per key), then batch 2
-    upserted into the instrument partitions it touches through a staging
-    table; the table read back equals the merge plan."""
+    upserted into the instrument partitions it touches (buckets of instruments,
+    if they are many) through a staging table; the table read back equals the
+    merge plan."""
     spark, land = t["fx_quote_landing"].sparkSession, t["fx_quote_landing"]
     path = scratch_path(spark, "quote-table")
     key, order = ["ts_event", "instrument_id"], ["batch", "event_id"]
     W.upsert_ignore(spark, land.filter("batch = 1"), path, key, ["instrument_id"], order)
     W.upsert_replace(spark, land.filter("batch = 2"), path, key, ["instrument_id"], order)
-    return spark.read.parquet(path).select(*_QCOLS.split(", "))
+    return W.read_as(spark, path, land.schema).select(*_QCOLS.split(", "))
 
 
 @query("replace_by_key_list", rnd=("close",), ops="W4", oracle="""

@@ -13,6 +13,12 @@ Plain Parquet has no MERGE, so keyed writes are done partition-wise:
 5. overwrite exactly those partitions of the target from staging with
    ``partitionOverwriteMode=dynamic``, and remove the staging tables.
 
+A table that an upsert creates with more than PARTITIONS values of its partition
+columns (ids, not dates) is partitioned by a hash of them, in BUCKETS
+directories of rows sorted by them: a directory and a file for each value would
+cost a listing, a task's writer and a move each, whatever they hold.  Later
+writes find the layout in the table.
+
 The target is never read and overwritten by the same plan.  An unpartitioned
 target has versions: a new one is written beside the old and committed by one
 file (``current``).  A rerun with the same batch gives the same table
@@ -34,6 +40,10 @@ from ..session import configure, scratch_path
 from .readers import list_files
 
 
+#: Most partition values, not dates, that an upsert gives a directory each; of more, the directories that a new table is dealt over by their hash.
+PARTITIONS, BUCKETS, BUCKET = 1000, 256, "part_bucket"
+
+
 def _commits(spark: SparkSession, path: str) -> list[str]:
     """Names of a versioned table's commits, the last one at the end."""
     return sorted(f.rsplit("/", 1)[-1] for f in list_files(spark, f"{path.rstrip('/')}/_commits/*-*"))
@@ -53,7 +63,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table as it was last committed."""
-    return spark.read.parquet(current(spark, path))
+    return spark.read.parquet(current(spark, path)).drop(BUCKET)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -127,10 +137,31 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], sor
         counts.add(seen.get)
 
 
+def _layout(df: DataFrame, path: str, partition_by: Sequence[str], create: bool) -> list[str]:
+    """The columns of a table's directories: partition_by, or BUCKET where the
+    table has it or is to be created (``create``) for too many values."""
+    spark, many = df.sparkSession, False
+    if partition_by and exists(spark, path):
+        many = bool(list_files(spark, f"{path.rstrip('/')}/{BUCKET}=*"))
+    elif create and partition_by and not any(isinstance(f.dataType, DateType) for f in df.select(*partition_by).schema):
+        many = df.select(*partition_by).distinct().limit(PARTITIONS + 1).count() > PARTITIONS
+    return [BUCKET] if many else list(partition_by)
+
+
+def _placed(df: DataFrame, dirs: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] | None) -> tuple[DataFrame, Sequence[str] | None]:
+    """df with the columns of the directories, and what its files are sorted by."""
+    if list(dirs) != [BUCKET]:
+        return df, sort_by
+    bucket = F.pmod(F.xxhash64(*(F.col(c).cast("string") for c in partition_by)), F.lit(BUCKETS)).cast("int")
+    return df.withColumn(BUCKET, bucket), [*partition_by, *(c for c in sort_by or () if c not in partition_by)]
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None,
            counts: Counts | None = None, bloom: Sequence[str] = ()) -> None:
     """Plain insert (into the current version of a versioned table)."""
-    _write(df, current(df.sparkSession, path), "append", partition_by, sort_by, counts, bloom)
+    dirs = _layout(df, path, partition_by, False)
+    df, sort_by = _placed(df, dirs, partition_by, sort_by)
+    _write(df, current(df.sparkSession, path), "append", dirs, sort_by, counts, bloom)
 
 
 def _staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
@@ -240,18 +271,21 @@ def upsert_replace(spark: SparkSession, batch: DataFrame, path: str, key: Sequen
     must be part of ``key`` so a key never moves between partitions.
     ``counts`` are of the touched partitions, whole."""
     configure(spark)
+    dirs = _layout(batch, path, partition_by, True)
     if not exists(spark, path):
         first = dedupe.keep_last(batch, key, order)
         if partition_by:
-            _write(first, path, "overwrite", partition_by, sort_by, counts, bloom)
+            first, sort_by = _placed(first, dirs, partition_by, sort_by)
+            _write(first, path, "overwrite", dirs, sort_by, counts, bloom)
         else:
             _switch(spark, first, path, sort_by, counts, bloom)
         return
+    batch, sort_by = _placed(batch, dirs, partition_by, sort_by)
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
-    old = _touched(existing, batch, partition_by)
+    old = _touched(existing, batch, dirs)
     merged = dedupe.upsert_replace(old, batch.select(*existing.columns), key, order)
-    _overwrite_partitions(spark, merged, path, partition_by, "upsert", sort_by, counts, bloom)
+    _overwrite_partitions(spark, merged, path, dirs, "upsert", sort_by, counts, bloom)
     remove(spark, staging)
 
 
@@ -262,14 +296,17 @@ def upsert_ignore(spark: SparkSession, batch: DataFrame, path: str, key: Sequenc
     existing row wins; inside the batch the first by ``order``).  ``counts``
     are of the appended rows."""
     configure(spark)
+    dirs = _layout(batch, path, partition_by, True)
     if not exists(spark, path):
-        _write(dedupe.keep_first(batch, key, order), path, "overwrite", partition_by, sort_by, counts, bloom)
+        first, sort_by = _placed(dedupe.keep_first(batch, key, order), dirs, partition_by, sort_by)
+        _write(first, path, "overwrite", dirs, sort_by, counts, bloom)
         return
+    batch, sort_by = _placed(batch, dirs, partition_by, sort_by)
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
-    old = _near(_touched(existing, batch, partition_by), batch, key)
+    old = _near(_touched(existing, batch, dirs), batch, key)
     new_rows, fresh = _staged(dedupe.upsert_ignore(old, batch.select(*existing.columns), key, order), "append")
-    append(new_rows, path, partition_by, sort_by, counts, bloom)
+    _write(new_rows, current(spark, path), "append", dirs, sort_by, counts, bloom)
     remove(spark, staging, fresh)
 
 
@@ -305,11 +342,13 @@ def insert_missing_dates(spark: SparkSession, batch: DataFrame, path: str, key:
     if not exists(spark, path):
         append(batch, path, partition_by)
         return
+    dirs = _layout(batch, path, partition_by, False)
+    batch, sort_by = _placed(batch, dirs, partition_by, None)
     batch, staging = _staged(batch, "batch")
     existing = read_as(spark, path, batch.schema)
-    old = _near(_touched(existing, batch, partition_by), batch, key)
+    old = _near(_touched(existing, batch, dirs), batch, key)
     new_rows, fresh = _staged(dedupe.insert_missing(old, batch.select(*existing.columns), key), "missing")
-    append(new_rows, path, partition_by)
+    _write(new_rows, current(spark, path), "append", dirs, sort_by)
     remove(spark, staging, fresh)
 
 
