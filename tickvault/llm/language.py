@@ -39,8 +39,8 @@ UNKNOWN = "und"
 #: The gate: standard deviations of noise, and the quantile of a language's own
 #: cosines of which SHARE is enough.
 NOISE, QUANTILE, SHARE = 4.0, 0.001, 0.25
-#: Most trigrams (of DIMENSIONS; fewer of more), and most cells of a table texts x trigrams, that are bundled at a time.
-GRAMS, CELLS = 1 << 14, 1 << 22
+#: Most trigrams (of DIMENSIONS; fewer of more), and most cells of a table texts x trigrams or of bundles, that are worked on at a time.
+GRAMS, CELLS = 1 << 12, 1 << 20
 _letters: dict[str, np.ndarray] = {}
 
 
@@ -131,7 +131,7 @@ def fit_each(training: DataFrame, text: Column, lang: Column, each: tuple[int, .
             names = np.array(batch.column(0).to_pylist(), object)
             grams, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             for d in each:
-                step = max(1, 8192 * DIMENSIONS // max(d, DIMENSIONS))
+                step = max(1, GRAMS * DIMENSIONS // max(d, DIMENSIONS))
                 for name in set(names):
                     for lo in range(0, len(names), step):
                         mine = np.flatnonzero(names[lo:lo + step] == name) + lo
@@ -174,7 +174,8 @@ def identify(docs: DataFrame, text: Column, prototypes: Prototypes, keep: list[s
                 n[lo:hi] = [c.sum() for _, c in counted]
                 few = np.flatnonzero(n[lo:hi] < SHORT) if wide else np.zeros(0, np.int64)
                 many = np.setdiff1d(np.arange(hi - lo), few)
-                for some, model in [(many, prototypes), *((few[i:i + 512], wide) for i in range(0, len(few), 512))]:
+                cut = lambda some, d: (some[i:i + max(1, CELLS // d)] for i in range(0, len(some), max(1, CELLS // d)))
+                for some, model in [*((x, prototypes) for x in cut(many, DIMENSIONS)), *((x, wide) for x in cut(few, WIDE))]:
                     if len(some) and model[0]:
                         for i, pair in zip(some, compare([counted[i] for i in some], *model)):
                             found[lo + i] = pair
