@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickvault.llm import queries
-from tickvault.llm.common import pack_texts, unpack_texts
+from tickvault.llm.common import map_arrow, pack_texts, unpack_texts
 from tickvault.llm.contamination import cut_spans, find_contamination
 from tickvault.llm.embedding import near_duplicates
 from tickvault.llm.graph import components
@@ -395,3 +395,43 @@ def test_packing(spark):
     rows = docs_of(spark, awkward())
     back = unpack_texts(pack_texts(rows.select("doc_id", "text"), "text"), "text")
     assert sorted(map(repr, back.collect())) == sorted(map(repr, rows.select("doc_id", "text").collect()))
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    """Tables of a round have as many files as their edges need, not one for
+    each shuffle partition."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = components(spark.createDataFrame([(i + 1, i) for i in range(60) if i % 6], "a long, b long"))
+        assert len(found.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+        assert {r["node"]: r["root"] for r in found.collect()} == {i: i - 1 - (i - 1) % 6 + 1 for i in range(1, 61) if i % 6 != 1 or i < 60}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_arrow_batches_of_long_texts(spark):
+    """Workers get long texts in small batches."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("long "), 4000).alias("text"))
+    got = map_arrow(texts, sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in got) == 2000 and max(r["size"] for r in got) < 8e6
+
+
+def test_language_memory_of_wide_bundles():
+    """Short texts against prototypes of many dimensions: tables stay small."""
+    import tracemalloc
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(90)) for _ in range(512)]
+    tracemalloc.start()
+    bundles(texts, 8192)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6

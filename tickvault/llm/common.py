@@ -17,6 +17,10 @@ from tickvault.sources.sinks import remove
 
 #: Texts are handed to the vectorised code in runs of whole documents of about this many bytes.
 CHUNK_BYTES = 1 << 20
+#: Most bytes of an Arrow batch that Spark hands to a Python worker.
+BATCH_BYTES = 4 << 20
+#: About as many small rows are worked on in one task (by_tasks).
+TASK_ROWS = 1 << 17
 
 
 def by_value() -> None:
@@ -28,7 +32,13 @@ def by_value() -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow over batches of at most BATCH_BYTES or one row, unless the
+    session says otherwise: a batch of long texts is held by the JVM, by Arrow
+    and, decoded, by Python at the same time."""
     by_value()
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(fn, schema)
 
 
@@ -46,6 +56,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def by_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """df, of about so many rows, by as many tasks as they need (one a core at
+    least), or by all its partitions if they are fewer: a step of few rows does
+    not start a task, and write a file, for every shuffle partition."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables of written() that nothing reads any more."""
     for t in tables:

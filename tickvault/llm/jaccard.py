@@ -37,7 +37,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import by_value, drop, fingerprint, map_arrow, record, text_chunks, written
+from tickvault.llm.common import by_tasks, by_value, drop, fingerprint, map_arrow, record, text_chunks, written
 from tickvault.llm.graph import components
 from tickvault.llm.tokens import Words, grams, inside, splitmix, words_of
 
@@ -288,39 +288,42 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     order[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
 
     at = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.col("print"))  # a null id comes last
-    nodes = written(base.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.min(at).alias("at"), F.min("doc_id").alias("doc_id")), "nodes")
+    nodes = written(by_tasks(base.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.min(at).alias("at"), F.min("doc_id").alias("doc_id")), seen.count()), "nodes")
     posted = written(map_arrow(rows, *_post(shingle, percent, order.astype(np.int32))), "posted")
-    shared = written(posted.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h"), "shared")
+    n = posted.count()
+    shared = written(by_tasks(posted.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h"), n), "shared")
     band = F.floor(F.log("size") / F.lit(math.log(100 / percent))).cast("int")
-    tiles = written(posted.join(shared, "h").select("h", "node", "size", band.alias("band")).distinct(), "tiles")
+    tiles = written(by_tasks(posted.join(shared, "h").select("h", "node", "size", band.alias("band")).distinct(), n), "tiles")
     drop(posted, shared)
 
     fits = F.lit(100) * F.least("size", "other_size") >= F.lit(percent) * F.greatest("size", "other_size")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """pairs (a, b) of nodes that are similar enough."""
-        facts = nodes.select("node", "n", "bits")
-        p = pairs.join(facts.toDF("a", "na", "xa"), "a").join(facts.toDF("b", "nb", "xb"), "b").select("a", "b", "na", "nb", "xa", "xb")
-        likely = written(map_arrow(p, *_filter(percent)), f"{name}-likely")
-        wanted = written(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"), f"{name}-wanted")
+        facts, n = nodes.select("node", "n", "bits"), pairs.count()
+        p = by_tasks(pairs.join(facts.toDF("a", "na", "xa"), "a"), n).join(facts.toDF("b", "nb", "xb"), "b").select("a", "b", "na", "nb", "xa", "xb")
+        likely = written(map_arrow(by_tasks(p, n), *_filter(percent)), f"{name}-likely")
+        ends = by_tasks(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n)
+        wanted = written(by_tasks(ends.join(nodes.select("node", "doc_id"), "node"), 2 * n), f"{name}-wanted")
         ids = wanted.select("node", F.coalesce("doc_id", F.lit(-1)).alias("_id"))
         found = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), "text").join(ids, "_id").select("node", "text")
         texts = written(map_arrow(found, *_texts(shingle)), f"{name}-texts")
-        q = likely.join(texts.toDF("b", "y"), "b").join(texts.toDF("a", "x"), "a").select("a", "b", "x", "y")
-        links = written(map_arrow(q, *_verify(shingle, percent)).distinct(), f"{name}-links")
+        q = by_tasks(likely.join(texts.toDF("b", "y"), "b"), n).join(texts.toDF("a", "x"), "a").select("a", "b", "x", "y")
+        links = written(by_tasks(map_arrow(by_tasks(q, n), *_verify(shingle, percent)).distinct(), n), f"{name}-links")
         drop(likely, wanted, texts)
         return links
 
     # every node meets the smallest node of all its tiles, in its own band and in the one below
     heads = tiles.groupBy("h", "band").agg(F.min(F.struct("node", "size")).alias("head")).select("h", "band", "head.node", "head.size")
-    heads = written(heads, "heads")
+    n = tiles.count()
+    heads = written(by_tasks(heads, n), "heads")
     pairs = None
     for step in (0, 1):
         heads_of = heads.select("h", (F.col("band") + step).alias("band"), F.col("node").alias("other"), F.col("size").alias("other_size"))
-        met = tiles.join(heads_of, ["h", "band"]).where(fits & (F.col("node") != F.col("other"))).groupBy("node").agg(F.min("other").alias("other"))
-        met = met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
+        met = by_tasks(tiles.join(heads_of, ["h", "band"]).where(fits & (F.col("node") != F.col("other"))), n).groupBy("node").agg(F.min("other").alias("other"))
+        met = by_tasks(met, n).select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
         pairs = met if pairs is None else pairs.unionAll(met)
-    stars = written(pairs.distinct(), "stars")
+    stars = written(by_tasks(pairs.distinct(), n), "stars")
     links = verified(stars, "stars")
     roots = components(links)
     drop(heads, stars)
@@ -331,15 +334,16 @@ def jaccard_components(docs: DataFrame, doc_id: Column, text: Column, shingle: i
     for turn in range(NEAREST_ROUNDS + 1):
         before, (rest, bags) = rest, _mixed(rest, roots, nodes.select("node", F.col(bits).alias("bits")))
         drop(before)
+        if not bags:
+            break
         crossed = _crossed(rest, bags, percent, turn < NEAREST_ROUNDS)
         found = verified(crossed, "crossed")
         if not found.isEmpty():
-            links = written(links.unionAll(found), "links")
-            roots = components(links)
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(found))
         # a tile without an allowed pair has none later: only tiles of nodes that had one go on, with whole signatures
-        ends = crossed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        go_on = rest.join(ends, "node", "left_semi").select("h").distinct()
-        before, rest, bits = rest, written(rest.join(go_on, "h", "left_semi").select("h", "node", "size"), "go-on"), "bits"
+        n, ends = rest.count(), crossed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        go_on = by_tasks(by_tasks(rest.join(by_tasks(ends, n), "node", "left_semi").select("h"), n).distinct(), n)
+        before, rest, bits = rest, written(by_tasks(rest.join(go_on, "h", "left_semi").select("h", "node", "size"), n), "go-on"), "bits"
         drop(before, crossed)
     drop(rest)
     return _labelled(base, nodes, roots, at)
@@ -349,19 +353,20 @@ def _mixed(tiles: DataFrame, roots: DataFrame, nodes: DataFrame) -> tuple[DataFr
     """Rows of the tiles that hold several components (those outside a tile's
     largest are minor), each with the number of parts that its tile's outsiders
     (few) and members (many) are cut into, and the number of bags that they
-    fill.  Rows are in the order of nodes: equal signatures lie side by side, so
+    fill (0: there are no such tiles).  Rows are in the order of nodes: equal signatures lie side by side, so
     the table and the shuffle made from it are small."""
-    placed = written(tiles.select("h", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
-    sizes = placed.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
+    n = tiles.count()
+    placed = written(by_tasks(tiles.select("h", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), n), "placed")
+    sizes = by_tasks(placed.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n")), n)
     tops = sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("n").alias("m")).where("roots > 1")
     few, many = F.ceil((F.col("m") - F.col("top.n")) / OUTSIDERS), F.ceil(F.col("m") / MEMBERS)
-    mixed = tops.select("h", F.col("top.root").alias("major"), few.cast("int").alias("few"), many.cast("int").alias("many"))
-    rest = placed.join(mixed, "h").withColumn("minor", F.col("root") != F.col("major"))
-    rest = rest.join(nodes, "node").select("h", "node", "size", "root", "minor", "few", "many", "bits").sortWithinPartitions("node")
+    mixed = by_tasks(tops.select("h", F.col("top.root").alias("major"), few.cast("int").alias("few"), many.cast("int").alias("many")), n)
+    rest = by_tasks(placed.join(mixed, "h"), n).withColumn("minor", F.col("root") != F.col("major"))
+    rest = by_tasks(rest.join(nodes, "node"), n).select("h", "node", "size", "root", "minor", "few", "many", "bits").sortWithinPartitions("node")
     rest = written(rest, "rest")
     drop(placed)
-    held = rest.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
-    return rest, max(512, held // BAG_BYTES)
+    held = rest.agg(F.sum(F.octet_length("bits") + 64)).first()[0]
+    return rest, max(512, held // BAG_BYTES) if held else 0
 
 
 def _crossed(rest: DataFrame, bags: int, percent: int, nearest: bool) -> DataFrame:
@@ -372,17 +377,19 @@ def _crossed(rest: DataFrame, bags: int, percent: int, nearest: bool) -> DataFra
     sides = sides.withColumn("own", own.cast("int")).withColumn("across", across)
     sides = sides.withColumn("tile", F.when(F.col("side") == 0, F.xxhash64("h", "own", "across")).otherwise(F.xxhash64("h", "across", "own")))
     work, schema = _cross(percent, nearest)
+    n = rest.count()
     by_value()
     pairs = sides.select(F.pmod("tile", F.lit(bags)).alias("bag"), "tile", "side", "minor", "node", "size", "root", "bits").groupBy("bag").applyInArrow(work, schema)
     if nearest:
-        pairs = pairs.groupBy("a").agg(F.min(F.struct("share", "b")).alias("best")).select(F.greatest("a", "best.b").alias("a"), F.least("a", "best.b").alias("b"))
-    return written(pairs.select("a", "b").distinct(), "crossed")
+        pairs = by_tasks(pairs.groupBy("a").agg(F.min(F.struct("share", "b")).alias("best")), n).select(F.greatest("a", "best.b").alias("a"), F.least("a", "best.b").alias("b"))
+    return written(by_tasks(pairs.select("a", "b").distinct(), n), "crossed")
 
 
 def _labelled(base: DataFrame, nodes: DataFrame, roots: DataFrame, at: Column) -> DataFrame:
     first = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "at")
-    smallest = first.groupBy("root").agg(F.min("at").alias("first"))
-    classes = written(first.select("node", "root").join(smallest, "root").select("node", "first"), "classes")
+    n = nodes.count()
+    smallest = by_tasks(first.groupBy("root").agg(F.min("at").alias("first")), n)
+    classes = written(by_tasks(by_tasks(first.select("node", "root"), n).join(smallest, "root").select("node", "first"), n), "classes")
     out = base.select("doc_id", "print", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
     alone = F.col("node").isNull()
     component = F.when(F.col("first.doc_id") < (1 << 63) - 1, F.col("first.doc_id"))
