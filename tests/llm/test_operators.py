@@ -435,3 +435,47 @@ def test_language_memory_of_wide_bundles():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 50e6
+
+
+def test_workers_give_memory_back():
+    """What a task has freed does not stay with its worker."""
+    import numpy as np
+    from tickvault.llm.common import give_back
+
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+    blocks = [np.ones(10_000) for _ in range(3000)]
+    last = np.ones(10_000)  # above the others
+    full = resident()
+    del blocks
+    give_back()
+    assert full - resident() > 150e6 and last.sum() == 10_000
+
+
+def test_substring_memory():
+    """Runs of a batch, and unpacked texts, are worked on piece by piece."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+    from tickvault.llm.substring import _counts, _cut, _postings
+
+    rng = random.Random(3)
+    text = " ".join(str(rng.randrange(10_000)) for _ in range(20_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([text] * 40)], names=["key", "text"])
+    for work in (_counts(35)[0], _postings(35)[0]):
+        tracemalloc.start()
+        for _ in work(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6, peak
+    packed = [zstandard.ZstdCompressor().compress(b"word " * 200_000)] * 20 + [None]
+    spans = [[{"start": 1, "stop": 3}]] * 19 + [None, None]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(21)), pa.array(packed), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["doc_id", "packed", "spans"])
+    out = list(_cut([("doc_id", "bigint")])[0](iter([whole])))
+    assert max(b.nbytes for b in out) < 8e6
+    table = pa.Table.from_batches(out).to_pydict()
+    assert table["doc_id"] == list(range(21)) and table["n_words"] == [200_000] * 20 + [0]
+    assert table["n_removed"] == [2] * 19 + [0, 0] and [None if t is None else len(t) for t in table["text"]] == [999_991] * 19 + [1_000_000, None]

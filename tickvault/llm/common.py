@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import time
 from collections.abc import Callable, Iterator
@@ -39,7 +40,22 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(fn, schema)
+
+    def task(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system: a Python worker stays
+    for later tasks, beside those that work, with all that it ever took."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):  # glibc
+        libc.malloc_trim(0)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

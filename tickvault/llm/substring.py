@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault.llm.common import fingerprint, map_arrow, pack_texts, record, text_chunks, written
+from tickvault.llm.common import BATCH_BYTES, fingerprint, map_arrow, pack_texts, record, text_chunks, written
 from tickvault.llm.tokens import Words, grams, inside, words_of
 
 WINDOW = 35
@@ -66,7 +66,7 @@ def _counts(window: int):
 
     def work(batches):
         for batch in batches:
-            for _, _, raw, offsets in text_chunks(batch, "text", 4 << 20):
+            for _, _, raw, offsets in text_chunks(batch, "text"):
                 w = words_of(raw, offsets, "plain")
                 _, at, g = phrases(w, window)
                 h, n = np.unique(g[np.unique(at)], return_counts=True)
@@ -82,7 +82,7 @@ def _postings(window: int):
     def work(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, raw, offsets in text_chunks(batch, "text", 4 << 20):
+            for lo, _, raw, offsets in text_chunks(batch, "text"):
                 w = words_of(raw, offsets, "plain")
                 _, at, g = phrases(w, window)
                 at = np.unique(at)
@@ -154,7 +154,8 @@ def _parse(window: int):
 
 
 def _cut(kept: list[tuple[str, str]]):
-    """Unpacks the text, cuts the spans' words, counts."""
+    """Unpacks the text, cuts the spans' words, counts; a batch out is of about
+    BATCH_BYTES unpacked."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def work(batches):
@@ -162,7 +163,8 @@ def _cut(kept: list[tuple[str, str]]):
         for batch in batches:
             packed, spans = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             texts, count, removed, merged = [], [], [], []
-            for p, mine in zip(packed, spans):
+            lo = size = 0
+            for i, (p, mine) in enumerate(zip(packed, spans)):
                 data = unpack.decompress(p) if p is not None else b""
                 raw = np.frombuffer(data, np.uint8)
                 out = []
@@ -185,8 +187,12 @@ def _cut(kept: list[tuple[str, str]]):
                 texts.append(None if p is None else text)
                 removed.append(sum(x["stop"] - x["start"] for x in out))
                 merged.append(out)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(merged, span)],
-                                             names=[*batch.schema.names[:-2], "text", "n_words", "n_removed", "spans"])
+                size += len(data)
+                if size >= BATCH_BYTES or i + 1 == len(packed):
+                    yield pa.RecordBatch.from_arrays([*batch.slice(lo, i + 1 - lo).columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(merged, span)],
+                                                     names=[*batch.schema.names[:-2], "text", "n_words", "n_removed", "spans"])
+                    texts, count, removed, merged = [], [], [], []
+                    lo, size = i + 1, 0
 
     return work, "".join(f"`{c}` {t}, " for c, t in kept) + "text string, n_words long, n_removed long, spans array<struct<start:long,stop:long>>"
 
